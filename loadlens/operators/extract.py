@@ -161,16 +161,14 @@ def stop_rows(df: DataFrame, ruleset: Ruleset, text: str = "text", keep=("source
     """One row per kept stop: the keep columns, type, rk and the stop fields."""
     docs = df.select(*keep, tx.normalise(F.col(text), ruleset.profile).alias(DOC_TEXT))
     docs = stop_arrays(docs, ruleset)
-    ranked = [
-        F.transform(
-            f"{t}_stops",
-            lambda s, i, t=t: F.struct(
-                F.lit(t).alias("type"), (i + 1).alias("rk"), *[F.coalesce(s[f], F.lit("")).alias(f) for f in stops.FIELDS]
-            ),
+
+    def ranked(kind):
+        item = lambda s, i: F.struct(
+            F.lit(kind).alias("type"), (i + 1).alias("rk"), *[F.coalesce(s[f], F.lit("")).alias(f) for f in stops.FIELDS]
         )
-        for t in segment.TYPES
-    ]
-    return docs.select(*keep, F.inline(F.concat(*ranked)))
+        return F.transform(f"{kind}_stops", item)
+
+    return docs.select(*keep, F.inline(F.concat(*[ranked(t) for t in segment.TYPES])))
 
 
 def extract(df: DataFrame, ruleset: Ruleset, text: str = "text", keep=("source_file",)) -> DataFrame:

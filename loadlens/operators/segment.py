@@ -129,12 +129,10 @@ def stops_ranked(df: DataFrame, text: str, splitter: Splitter) -> DataFrame:
     """One row per kept stop with its index rk among the stops of its type."""
     keep = [c for c in df.columns if c != text]
     by_type = blocks_by_type(df, text, splitter)
-    ranked = [
-        F.transform(
-            F.slice(f"{t}_blocks", 1, splitter.caps[t]),
-            lambda b, i, t=t: F.struct(F.lit(t).alias("type"), (i + 1).alias("rk"), b.alias("text")),
-        )
-        for t in TYPES
-    ]
-    rows = by_type.select(*keep, F.inline(F.concat(*ranked)))
+
+    def ranked(kind):
+        item = lambda b, i: F.struct(F.lit(kind).alias("type"), (i + 1).alias("rk"), b.alias("text"))
+        return F.transform(F.slice(f"{kind}_blocks", 1, splitter.caps[kind]), item)
+
+    rows = by_type.select(*keep, F.inline(F.concat(*[ranked(t) for t in TYPES])))
     return rows.withColumn("number", stop_number(F.col("text")))

@@ -160,7 +160,7 @@ NOISE = "k % 7"
 HEADER_TEXT = f"""concat(
     'Load Confirmation\\nLoad ', k, ' sheet 1\\n',
     {case(("k % 31 = 5", "' Stop 99: Delivery draft Address none\\n'"))},
-    {case((SILENT_DESK, f"concat('{CONTACT_LINE} Coyote at ', {DESK_PHONE}, ' today\\n')"))},
+    {case((SILENT_DESK, f"concat('{CONTACT_LINE} ', {DESK_PHONE}, ' today\\n')"))},
     {case(("k % 4 = 0", "concat('Total USD $', format_number(price, 2))"), ("k % 4 = 1", "concat('Line Haul USD $ ', format_number(price, 2))"), ("k % 4 = 2", "concat('Total $ ', format_number(price, 2))"), default="'Rate pending'")},
     '\\n\\n\\n\\n',
     {case((NO_DESK, "''"), (SILENT_DESK, "'## Booked By\\nDesk agent\\n'"), default=f"concat('## Booked By\\nAgent One ', {AGENT_EMAIL}, ' Phone: ', {AGENT_PHONE}, '\\nFax: ', " + case(("k % 3 = 0", "'None'"), default="'+1 (847) 810 4891'") + ", '\\n')")},
@@ -180,8 +180,22 @@ NOISY = """CASE k % 7
 CY_FOLDER = "/lake/raw/cy/txt_pymupdf4llm/"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores when the input has fewer splits than the cluster has slots.
+
+    Rendered text is many times larger than the row it comes from, so the small rows
+    are the cheap thing to move. Inputs with enough splits are left as they are.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+
+
+def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return spread(spark.read.parquet(f"{sf_dir}/{table}.parquet"))
+
+
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    table = read(spark, sf_dir, "orders")
     return table.selectExpr(*[f"{e} AS {n}" for n, e in ORDER.items()])
 
 
@@ -192,39 +206,57 @@ def per_stop(body: str, n: str = N) -> str:
 
 def confirmations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Layout CY: source_file, text and the order columns."""
-    base = orders(spark, sf_dir)
+    return render(orders(spark, sf_dir).withColumn("folder", F.lit("")))
+
+
+# A second copy of the low-priority documents, one unit dearer, found first by path.
+RESENT = "priority = '5-LOW'"
+RESENT_FOLDER = "-resent/"
+
+
+def confirmations_with_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folders = f"CASE WHEN {RESENT} THEN array('', '{RESENT_FOLDER}') ELSE array('') END"
+    base = orders(spark, sf_dir).withColumn("folder", F.explode(F.expr(folders)))
+    dearer = F.expr("CAST(price + CASE WHEN folder = '' THEN 0 ELSE 1 END AS DECIMAL(18,2))")
+    return render(base.withColumn("price", dearer))
+
+
+def render(base: DataFrame) -> DataFrame:
     raw = base.withColumn("raw", F.expr(f"concat({HEADER_TEXT}, array_join({per_stop(STOP_TEXT)}, ''))"))
     text = f"CASE WHEN k % 58 = 0 THEN NULL WHEN {EMPTY} THEN '' ELSE {NOISY.format(t='raw')} END"
     return raw.select(
         "*",
-        canonical_path(F.expr(f"concat('dbfs:{CY_FOLDER}', k, '.txt')"), PATH_STEPS["current"]).alias("source_file"),
+        canonical_path(F.expr(f"concat('dbfs:{CY_FOLDER}', folder, k, '.txt')"), PATH_STEPS["current"]).alias("source_file"),
         F.expr(text).alias("text"),
     ).drop("raw")
 
 
-def truth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Truth rows for layout CY, keyed by load number; every order is expected."""
-    base = orders(spark, sf_dir)
-    fields = ", ".join(f"'{f}', {e}" for f, e in STOP_TRUTH.items())
-    body = f"named_struct('type', CASE WHEN {PICKUP} THEN 'pickup' ELSE 'delivery' END, 'valid', NOT {COLLAPSED}, {fields})"
-    base = base.withColumn("stops", F.expr(per_stop(body)))
-    slot = lambda t, f, k: (
-        f"coalesce(get(filter(stops, s -> s.valid AND s.type = '{t}'), {k - 1}).{f}, '')"
-    )
-    stops = {
-        f"{t}_{f}_{k}": slot(t, f, k)
-        for t, n in rs.ONE_AND_TWO.items()
-        for k in range(1, n + 1)
-        for f in STOP_TRUTH
+def _truth(base: DataFrame, header: dict, stop: dict, pickup: str, valid: str, n: str) -> DataFrame:
+    fields = ", ".join(f"'{f}', {e}" for f, e in stop.items())
+    body = f"named_struct('type', CASE WHEN {pickup} THEN 'pickup' ELSE 'delivery' END, 'valid', {valid}, {fields})"
+    base = base.withColumn("stops", F.expr(per_stop(body, n)))
+    for t in rs.ONE_AND_TWO:
+        base = base.withColumn(t, F.expr(f"filter(stops, s -> s.valid AND s.type = '{t}')"))
+    values = {
+        **header,
+        **{
+            f"{t}_{f}_{k}": f"coalesce(get({t}, {k - 1}).{f}, '')"
+            for t, cap in rs.ONE_AND_TWO.items()
+            for k in range(1, cap + 1)
+            for f in stop
+        },
     }
-    header = {f: e for f, e in HEADER_TRUTH.items()}
-    header["loadConfirmationNumber"] = S("k")
-    values = {**header, **stops}
     return base.selectExpr(
-        f"concat('/lake/raw/cy/pdf/', k, '.pdf') AS source_file", *[f"{values[f]} AS {f}" for f in rs.CY.fields]
+        "concat('/lake/raw/cy/pdf/', k, '.pdf') AS source_file", *[f"{values[f]} AS {f}" for f in rs.CY.fields]
     )
 
 
+def truth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Truth rows for layout CY, keyed by load number; every order is expected."""
+    header = {**HEADER_TRUTH, "loadConfirmationNumber": S("k")}
+    return _truth(orders(spark, sf_dir), header, STOP_TRUTH, PICKUP, f"NOT {COLLAPSED}", N)
+
+
 # --- layout UTB -----------------------------------------------------------------------
 
 UTB_PICKUPS = "CAST(k % 5 AS INTEGER)"
@@ -371,3 +403,64 @@ def flat_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders(spark, sf_dir).selectExpr(
         "*", "concat('/lake/raw/utb_flat/', k, '.txt') AS source_file", f"{FLAT_TEXT} AS text"
     )
+
+
+# --- plain layout CY for scoring rule-set generations -----------------------------------
+
+PLAIN_STOPS = "CAST(2 + k % 2 AS INTEGER)"  # one pickup, then one or two deliveries
+PLAIN_PICKUP = "(i = 1)"
+PLAIN_OAK = f"({NUMBER} || ' OAK')"
+PLAIN_FORMS = [  # shown in the document, true address, true city; by k % 4
+    ("' RD Lakeland, FL '", "' RD'", "Lakeland"),
+    ("' RD SLIC Plant City, FL '", "' RD'", "Plant City"),
+    ("' RD SUITE 9 Lakeland, FL '", "' RD SUITE 9'", "Lakeland"),
+    ("' Plant City, FL '", "''", "Plant City"),
+]
+
+
+def _by_form(n: int, quote: str = "") -> str:
+    return case(*[(f"k % 4 = {f}", f"{quote}{form[n]}{quote}") for f, form in enumerate(PLAIN_FORMS)])
+
+
+PLAIN_STOP_TRUTH = {
+    "customer": "'United Mills'",
+    "address": f"{PLAIN_OAK} || {_by_form(1)}",
+    "city": _by_form(2, "'"),
+    "state": "'FL'",
+    "zipcode": ZIP5,
+    "start_datetime": f"{DAY} || 'T' || {pad(HOUR, 2)} || ':00:00'",
+    "end_datetime": f"{DAY} || 'T' || " + case((PLAIN_PICKUP, f"{pad(HOUR + ' + 5', 2)} || ':30:00'"), default=f"{pad(HOUR, 2)} || ':00:00'"),
+}
+PLAIN_HEADER_TRUTH = {
+    **HEADER_TRUTH,
+    "broker_name": f"'{rs.CY_NAME}'",
+    "broker_phone": AGENT_PHONE,
+    "broker_fax": "'+1 (847) 810 4891'",
+    **{f: f"'{v}'" for f, v in rs.CY_OFFICE.items()},
+    "broker_email": AGENT_EMAIL,
+    "loadConfirmationNumber": S("k"),
+    "totalCarrierPay": AMOUNT,
+    "carrier_name": CARRIER_NAME,
+    "carrier_mc": S("c"),
+    **{f"carrier_{f}": "''" for f in ("address", "city", "state", "zipcode", "phone", "fax")},
+    "carrier_email": CARRIER_EMAIL,
+}
+_PLAIN_STOP = f"""concat('Stop ', i, ': ', {case((PLAIN_PICKUP, "'Pick Up'"), default="'Delivery'")},
+    '\nScheduled For Wed ', {US_DATE}, ' ', {case((PLAIN_PICKUP, f"concat('from ', {pad(HOUR, 2)}, ':00 - ', {pad(HOUR + ' + 5', 2)}, ':30')"), default=f"concat('at ', {pad(HOUR, 2)}, ':00')")},
+    ' Facility United Mills Address ', {PLAIN_OAK}, {_by_form(0)}, {ZIP5}, ' \nContact None Phone 1\n')"""
+PLAIN_TEXT = f"""concat('Load ', k, '\n', '{" ".join(rs.CY_OFFICE[f] for f in ("broker_address", "broker_city"))}, GA 30005\n',
+    'Line Haul USD $ ', format_number(price, 2), '\n## Booked By\nAgent ', {AGENT_EMAIL}, ' Phone: ', {AGENT_PHONE},
+    '\nFax: +1 (847) 810 4891\n## Carrier\nCarrier Legal Name - ', {CARRIER_NAME}, ' [active]\nCarrier USDOT - ', c,
+    '\nCarrier desk Email ', {CARRIER_EMAIL}, '\n', array_join({per_stop(_PLAIN_STOP, PLAIN_STOPS)}, ''))"""
+
+
+def plain_confirmations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orders(spark, sf_dir).selectExpr(
+        "*", "concat('/lake/raw/cy/pdf/', k, '.pdf') AS source_file", f"{PLAIN_TEXT} AS text"
+    )
+
+
+def plain_truth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _truth(
+        orders(spark, sf_dir), PLAIN_HEADER_TRUTH, PLAIN_STOP_TRUTH, PLAIN_PICKUP, "true", PLAIN_STOPS
+    )
