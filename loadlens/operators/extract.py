@@ -178,13 +178,36 @@ def extract(df: DataFrame, ruleset: Ruleset, text: str = "text", keep=("source_f
     written by one task.
     """
     docs = df.select(*keep, tx.normalise(F.col(text), ruleset.profile).alias(DOC_TEXT))
-    docs = stop_fields(docs, ruleset)
-    docs = header(docs, ruleset.header, constants=ruleset.constants)
-    known = set(docs.columns)
-    out = [F.col(f) if f in known else F.lit("").alias(f) for f in ruleset.fields]
+    docs, out = _fields(docs, ruleset)
     if ruleset.stamp:
-        out.append(processed_at(local=ruleset.stamp == "local").alias("processed_at"))
-    return docs.select(*keep, *out)
+        out["processed_at"] = processed_at(local=ruleset.stamp == "local")
+    return docs.select(*keep, *[c.alias(f) for f, c in out.items()])
+
+
+def _fields(docs: DataFrame, ruleset: Ruleset) -> tuple[DataFrame, dict]:
+    """docs with the rule set's columns added, and the output columns by name."""
+    docs = header(stop_fields(docs, ruleset), ruleset.header, constants=ruleset.constants)
+    known = set(docs.columns)
+    return docs, {f: F.col(f) if f in known else F.lit("") for f in ruleset.fields}
+
+
+def extract_each(df: DataFrame, rulesets, text: str = "text", keep=("source_file",)) -> DataFrame:
+    """One row per document and rule set; fields a rule set does not have are null.
+
+    The rule sets, which share one text profile, run over the same row, so documents
+    are read and normalised once however many rule sets are compared.
+    """
+    (profile,) = {r.profile for r in rulesets}
+    every = list(dict.fromkeys(f for r in rulesets for f in r.fields))
+    docs = df.select(*keep, tx.normalise(F.col(text), profile).alias(DOC_TEXT))
+    done = []
+    for r in rulesets:
+        docs, out = _fields(docs, r)
+        null = F.lit(None).cast("string")
+        row = F.struct(F.lit(r.name).alias("ruleset"), *[out.get(f, null).alias(f) for f in every])
+        docs = docs.select(*keep, DOC_TEXT, *done, row.alias(r.name))
+        done.append(r.name)
+    return docs.select(*keep, F.inline(F.array(*done)))
 
 
 def extract_routed(df: DataFrame, rulesets: dict, source: str = "source", text: str = "text", keep=("source_file",)) -> DataFrame:
