@@ -67,28 +67,26 @@ def replace_all(c: Column, steps) -> Column:
     return reduce(lambda acc, s: F.regexp_replace(acc, rx(s[0], s[2]), s[1]), steps, c)
 
 
-# Normalisation steps (pattern, replacement, flags), in order.
+# Normalisation steps (pattern, replacement, flags, literal), in order. A
+# step with a literal is skipped for text that does not contain it.
 SPACES = [
-    (r"[ \t\u00A0]+", " ", ""),
-    (r"\r\n?", "\n", ""),
-    (r"\n{3,}", "\n\n", ""),
+    (r"[ \t\u00A0]+", " ", "", None),
+    (r"\r\n?", "\n", "", "\r"),
+    (r"\n{3,}", "\n\n", "", "\n\n\n"),
 ]
-BLOCK_STEPS = [(r"\*{2,}", "", "")] + SPACES
-LINE_STEPS = (
-    [
-        (r"\*{2,}", "", ""),
-        (r"PickUp\b", "Pickup", "i"),
-        (r"Del\.\s*Date", "Delivery Date", "i"),
-        (r"Miami Lake,s", "Miami Lakes", "i"),
-    ]
-    + SPACES
-    + [
-        (r"(?<=\w)\n(?=[A-Z0-9])", " ", ""),
-        # trims every line and drops the blank ones
-        (r"\s*[\n\u000B\u000C\u001C-\u001E\u0085\u2028\u2029]\s*", "\n", ""),
-    ]
-)
-FLAT_STEPS = [(r"\*", "", ""), (r"\s+", " ", "")]
+MARKS = (r"\*{2,}", "", "", "**")
+BLOCK_STEPS = [MARKS, *SPACES]
+LINE_STEPS = [
+    MARKS,
+    (r"PickUp\b", "Pickup", "i", None),
+    (r"Del\.\s*Date", "Delivery Date", "i", None),
+    (r"Miami Lake,s", "Miami Lakes", "i", None),
+    *SPACES,
+    (r"(?<=\w)\n(?=[A-Z0-9])", " ", "", "\n"),
+    # trims every line and drops the blank ones
+    (r"\s*[\n\u000B\u000C\u001C-\u001E\u0085\u2028\u2029]\s*", "\n", "", None),
+]
+FLAT_STEPS = [(r"\*", "", "", "*"), (r"\s+", " ", "", None)]
 
 NORMALISERS = {"blocks": BLOCK_STEPS, "lines": LINE_STEPS, "flat": FLAT_STEPS}
 
@@ -100,7 +98,14 @@ def let(value: Column, use) -> Column:
 
 def normalise(c: Column, profile: str = "blocks") -> Column:
     """Clean document text with the 'blocks', 'lines' or 'flat' profile; null becomes ''."""
-    return strip(replace_all(F.coalesce(c, F.lit("")), NORMALISERS[profile]))
+    text = F.coalesce(c, F.lit(""))
+    for pattern, by, flags, literal in NORMALISERS[profile]:
+        clean = lambda t: F.regexp_replace(t, rx(pattern, flags), by)
+        if literal is None:
+            text = clean(text)
+        else:
+            text = let(text, lambda t: F.when(F.contains(t, F.lit(literal)), clean(t)).otherwise(t))
+    return strip(text)
 
 
 def money(c: Column) -> Column:
@@ -113,7 +118,15 @@ def first_amount(text: Column, patterns) -> Column:
 
 
 def emails(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(rx(EMAIL, "")), F.lit(0))
+    """All e-mails in order. Only the words next to an '@' go through the pattern."""
+    near = F.transform(
+        F.split(text, "@"),
+        lambda p: F.when(
+            F.contains(p, F.lit(" ")),
+            F.concat_ws(" ", F.substring_index(p, " ", 1), F.substring_index(p, " ", -1)),
+        ).otherwise(p),
+    )
+    return F.regexp_extract_all(F.array_join(near, "@"), F.lit(rx(EMAIL, "")), F.lit(0))
 
 
 def emails_joined(text: Column, fold: bool = False) -> Column:

@@ -183,7 +183,7 @@ def spread(df: DataFrame) -> DataFrame:
     are the cheap thing to move. Inputs with enough splits are left as they are.
     """
     slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+    return df.repartition(4 * slots) if df.rdd.getNumPartitions() < slots else df
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

@@ -73,7 +73,8 @@ CY2_OFFICE = Group(
 # --- vendor CY: stops -------------------------------------------------------------
 
 WEEKDAYS = "Mon|Tue|Wed|Thu|Fri|Sat|Sun"
-DATE = rf"(?:{WEEKDAYS})\s+(\d{{2}}/\d{{2}}/\d{{4}})"
+# the leading check only spares the alternatives at most positions
+DATE = rf"(?=[MTWFS])(?:{WEEKDAYS})\s+(\d{{2}}/\d{{2}}/\d{{4}})"
 CY_TIMES = Times(
     date=DATE,
     range=r"from\s+(\d{1,2}:\d{2})\s*-\s*(\d{1,2}:\d{2})",
