@@ -83,8 +83,8 @@ LINE_STEPS = [
     (r"Miami Lake,s", "Miami Lakes", "i", None),
     *SPACES,
     (r"(?<=\w)\n(?=[A-Z0-9])", " ", "", "\n"),
-    # trims every line and drops the blank ones
-    (r"\s*[\n\u000B\u000C\u001C-\u001E\u0085\u2028\u2029]\s*", "\n", "", None),
+    # trims every line and drops the blank ones; the leading check skips other positions
+    (r"(?=[\s\u001C-\u001E])\s*[\n\u000B\u000C\u001C-\u001E\u0085\u2028\u2029]\s*", "\n", "", None),
 ]
 FLAT_STEPS = [(r"\*", "", "", "*"), (r"\s+", " ", "", None)]
 

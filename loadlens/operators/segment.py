@@ -15,13 +15,14 @@ from ..functions.text import SEP, let, rx, strip
 
 TYPES = ("pickup", "delivery")
 
-# Section and stop markers.
+# Section and stop markers. A leading (?=[...]) names the first letters of
+# the alternatives that follow and only spares trying them at other positions.
 PREFIX = r"(?:#{1,3}\s*)?"
 LINE_HEADER = r"Stop\s+\d+\s*:\s*(?:Pick\s*Up|Delivery)"
 LINE_PICKUP = r"Stop\s+\d+\s*:\s*Pick"
 ANY_HEADER = r"Stop\s+\d+:\s*(?:Pick\s*Up|Delivery)"
-LAST_BLOCK_END = r"(?:Charges|Contact\s+None|Facility\s+Notes)"
-TYPED_BLOCK_END = r"(?:Send Invoice|Special Instructions|Total|Please Sign)"
+LAST_BLOCK_END = r"(?=[CF])(?:Charges|Contact\s+None|Facility\s+Notes)"
+TYPED_BLOCK_END = r"(?=[STP])(?:Send Invoice|Special Instructions|Total|Please Sign)"
 TYPED_FALLBACK_END = r"(?=(?:Pickup|Delivery|Send Invoice|Total|$))"
 ADDRESS_WORD = r"\bAddress\b"
 BOOKED_BY = r"##\s*Booked\s+By\s*\n(.+?)(?=\n##|\z)"

@@ -243,7 +243,7 @@ UTB_STOP = LabelledStop(
             "place": r"City[:\s]*([A-Za-z\s]+),\s*([A-Z]{2})",
             "zipcode": r"Zip(?:\s*Code)?[:\s]*([0-9]{5})",
             "date": r"Pick(?:up)?\s*Date[:\s]*([0-9/]+)",
-            "times": r"(?:Pick(?:up)?\s*Time|Time)[:\s]*([0-9:]+)\s*-\s*([0-9:]+)",
+            "times": r"(?=[PT])(?:Pick(?:up)?\s*Time|Time)[:\s]*([0-9:]+)\s*-\s*([0-9:]+)",
         },
         "delivery": {
             "customer": r"Customer[:\s]*([A-Z0-9 &.\-]+?)(?=\s*(?:Delivery|Address|City|Zip|Phone|$))",
@@ -251,7 +251,7 @@ UTB_STOP = LabelledStop(
             "place": r"City[:\s]*([A-Za-z\s]+),\s*([A-Z]{2})",
             "zipcode": r"Zip(?:\s*Code)?[:\s]*([0-9]{5})",
             "date": r"Delivery\s*Date[:\s]*([0-9/]+)",
-            "times": r"(?:Delivery\s*Time|Time)[:\s]*([0-9:]+)\s*-\s*([0-9:]+)",
+            "times": r"(?=[DT])(?:Delivery\s*Time|Time)[:\s]*([0-9:]+)\s*-\s*([0-9:]+)",
         },
     },
     {"pickup": (), "delivery": ((r"\bDelivery\s*Time[:\s]*[0-9: -ETapm]*", "", "i"),)},
