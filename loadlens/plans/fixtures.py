@@ -8,7 +8,7 @@ Rendering and truth are map-only, so nothing here groups, ranks or shuffles.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import PATH_STEPS, canonical_path
@@ -315,7 +315,7 @@ def utb_stop_truth(kind: str) -> dict:
 
 def _utb_stop(kind: str) -> str:
     word = kind.title()
-    date_label = "concat('PickUp Date: ')" if kind == "pickup" else case(("k % 3 = 0", "'Del. Date: '"), default="'Delivery Date: '")
+    date_label = "'PickUp Date: '" if kind == "pickup" else case(("k % 3 = 0", "'Del. Date: '"), default="'Delivery Date: '")
     place = f"concat('City: ', {UTB_TOWN}, ', ', {STATE}, '\\nZip Code: ', {ZIP5}, '\\n')"
     numbered = f"""concat('{word} # ', i, '\\nCustomer: ', {UTB_CUSTOMER[kind]}, '\\n', {date_label}, {US_DATE},
         '\\nAddress #1: ', {STREET}, ' ST\\n{word} Time: ', {CLOCK_START}, ' - ', {CLOCK_END}, '\\n', {place})"""

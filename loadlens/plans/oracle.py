@@ -3,6 +3,8 @@ same scalar rules in RE2."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from . import fixtures as fx
 from . import queries as q
 from . import rulesets as rs
@@ -54,7 +56,7 @@ def _wide(file: str, header: dict, caps: dict, columns) -> str:
 CY_WIDE = f"WITH {ORDERS}, {CY_STOPS}, " + _wide(CY_FILE, fx.HEADER_TRUTH, rs.ONE_AND_TWO, rs.CY.fields)
 
 
-def _typed(base: str, counts: dict, truth, caps: dict, file: str, header: dict, columns) -> str:
+def _typed(counts: dict, truth, caps: dict, file: str, header: dict, columns) -> str:
     parts, union = [], []
     for t, n in counts.items():
         values = ", ".join(f"{e} AS {f}" for f, e in truth(t).items())
@@ -64,11 +66,11 @@ def _typed(base: str, counts: dict, truth, caps: dict, file: str, header: dict,
 
 
 UTB_WIDE = _typed(
-    "o", {"pickup": fx.UTB_PICKUPS, "delivery": fx.UTB_DELIVERIES}, fx.utb_stop_truth, rs.THREE_EACH,
+    {"pickup": fx.UTB_PICKUPS, "delivery": fx.UTB_DELIVERIES}, fx.utb_stop_truth, rs.THREE_EACH,
     UTB_FILE, fx.UTB_HEADER_TRUTH, rs.UTB.fields,
 )
 FLAT_WIDE = _typed(
-    "o", {"pickup": fx.FLAT_PICKUPS, "delivery": fx.FLAT_DELIVERIES}, lambda t: fx.FLAT_STOP_TRUTH[t], rs.ONE_AND_TWO,
+    {"pickup": fx.FLAT_PICKUPS, "delivery": fx.FLAT_DELIVERIES}, lambda t: fx.FLAT_STOP_TRUTH[t], rs.ONE_AND_TWO,
     FLAT_FILE, fx.FLAT_HEADER_TRUTH, rs.UTB_FLAT.fields,
 )
 
@@ -160,7 +162,7 @@ NORM_LINES = strip(sub(_lines, rf"{WS}*\n{WS}*", "chr(10)"))
 NORM_FLAT = strip(sub(sub("text", r"\*", "''"), f"{WS}+", "' '"))
 MAILS = rf"list_sort(list_distinct(regexp_extract_all(text, '[{WORD}.\-]+@[{WORD}.\-]+\.[{WORD}]+')))"
 PAGE_PATH = "(CASE WHEN url LIKE 'https:%' THEN 'dbfs:' ELSE 'file:' END || '/lake/raw/cy/txt_pymupdf4llm/' || replace(url, '-', '%20') || '.txt')"
-_steps = lambda *steps: __import__("functools").reduce(lambda x, s: sub(x, *s), steps, PAGE_PATH)
+_steps = lambda *steps: reduce(lambda x, s: sub(x, *s), steps, PAGE_PATH)
 _DBFS, _PDF, _TXT, _SPACE = (r"^dbfs:", "''"), ("/txt_pymupdf4llm/", "'/pdf/'"), (r"\.txt$", "'.pdf'"), ("%20", "' '")
 
 PAGES = "(SELECT conv_id, turn, CASE WHEN role <> 'system' THEN text END AS text FROM conversations)"
@@ -246,13 +248,8 @@ RULESETS = f"""WITH {ORDERS}, x(ruleset, form, wrong) AS (VALUES {_errors}),
 
 BLANK = f"({fx.EMPTY} OR status IN ('O', 'F'))"
 _blanked = lambda f: f"{case((BLANK, chr(39) * 2), default=fx.HEADER_TRUTH[f])} AS {f}"
-PAY_KNOWN = "status IN ('F', 'O', 'P')"
 _office = lambda value: case(("status = 'P'", "''"), default=value)
 
-UTB_TYPED = _typed(
-    "o", {"pickup": fx.UTB_PICKUPS, "delivery": fx.UTB_DELIVERIES}, fx.utb_stop_truth, rs.THREE_EACH,
-    UTB_FILE, fx.UTB_HEADER_TRUTH, rs.UTB.fields,
-)
 FILLED = ", ".join(
     f"('{f}', '{_category(f)}', (SELECT count(*) FILTER ({TARGET.get(f, f)} <> '') FROM sent))"
     for f in ALL_FIELDS
@@ -282,7 +279,7 @@ ORACLE = {
     "stops_time": _stop_query("start_datetime", "end_datetime"),
     "stops_unanchored": f"WITH {ORDERS}, {PLAIN_STOPS} SELECT {CY_FILE} AS source_file, CAST(i AS INTEGER) AS pos, type, CAST(i AS INTEGER) AS number, NOT last AS keeps_contact FROM s",
     "stops_time_variant": f"WITH {ORDERS}, {PLAIN_STOPS} SELECT {CY_FILE} AS source_file, type, CAST(rk AS INTEGER) AS rk, customer, CASE WHEN labelled THEN address ELSE '' END AS address, CASE WHEN labelled THEN city ELSE '' END AS city, start_datetime, end_datetime FROM s",
-    "stops_by_type": f"{UTB_TYPED} SELECT {UTB_FILE} AS source_file, type, CAST(rk AS INTEGER) AS rk, zipcode FROM s WHERE rk <= 3",
+    "stops_by_type": f"{UTB_WIDE} SELECT {UTB_FILE} AS source_file, type, CAST(rk AS INTEGER) AS rk, zipcode FROM s WHERE rk <= 3",
     "broker_contact": _header(
         ("broker_email", "broker_phone", "broker_fax"),
         {
