@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .exact_dedup import exact_dedup
+from .minhash import near_duplicates
 from .mixing import mix
 from .shared import documents
 
 
+def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir))
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(documents(spark, sf_dir))
 
@@ -17,7 +22,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir)).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op9_mix_sources, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op9_mix_sources, op10_exact_dedup)}
 
 ORACLE = {
     "op10_exact_dedup": """
