@@ -65,21 +65,20 @@ def _text_key(text: Column) -> Column:
 
 def exact_dedup(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", key=_text_key, capacity: int = 20_000,
-    max_depth: int = MAX_DEPTH, keep_columns=(),
+    max_depth: int = MAX_DEPTH,
 ) -> DataFrame:
-    """One row per document: doc_id, keep_id, group_size, kept, text_sha256, bucket, chain, keep_columns.
+    """One row per document: doc_id, keep_id, group_size, kept, text_sha256, bucket, chain.
 
     Texts are equal when their bytes are; null counts as empty, and all empty texts are one group.
     Of equal texts the row with the largest doc_id stays (a null id is the smallest). Rows that
     repeat id and text are one group like any other: exactly one of them stays. `chain` is the place
     of a text among the texts of its key, 0 unless hashes collide. No documents give no rows. Other
-    columns of docs, whatever their names, are not read unless named in keep_columns.
+    columns of docs, whatever their names, are not read.
     """
     body = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(
         F.col(doc_id).alias("doc_id"), key(body).cast("long").alias("key"), F.sha2(body, 256).alias("sha"),
         F.monotonically_increasing_id().alias("row"),
-        F.struct(*[F.col(c) for c in keep_columns] or [F.lit(0).alias("none")]).alias("other"),
     )
     entries = stored(rows, "entries")
     lookup, depth = directory(entries.select("key").distinct(), capacity, max_depth)
@@ -103,5 +102,20 @@ def exact_dedup(
     return found.select(
         "doc_id", F.col("stays.doc_id").alias("keep_id"), F.col("copies").alias("group_size"),
         (F.col("row") == F.col("stays.row")).alias("kept"), F.col("sha").alias("text_sha256"), "bucket", "chain",
-        *[F.col(f"other.{c}").alias(c) for c in keep_columns],
     )
+
+
+def drop_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows of docs that stay, with all their columns; of rows alike in id and text, one.
+
+    No column of docs may begin with `_stay_`.
+    """
+    judged = exact_dedup(docs, doc_id, text, **options).filter("kept")
+    stays = judged.select(F.xxhash64("doc_id").alias("_stay_id"), F.col("text_sha256").alias("_stay_sha"))
+    marked = docs.withColumns(
+        {"_stay_id": F.xxhash64(doc_id), "_stay_sha": F.sha2(F.coalesce(F.col(text), F.lit("")), 256)}
+    )
+    # the join deals rows out by id and text, so the window over the same two needs no other exchange
+    same = W.partitionBy("_stay_id", "_stay_sha").orderBy(F.lit(0))
+    first = marked.join(stays, ["_stay_id", "_stay_sha"]).withColumn("_stay_n", F.row_number().over(same))
+    return first.filter("_stay_n = 1").select(*docs.columns)

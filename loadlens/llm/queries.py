@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .exact_dedup import exact_dedup
 from .minhash import near_duplicates
 from .mixing import mix
+from .quality import judge_quality
 from .shared import documents
 
 
@@ -14,6 +15,10 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_quality(documents(spark, sf_dir))
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(documents(spark, sf_dir))
 
@@ -22,7 +27,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir)).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op9_mix_sources, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op3_quality_rules, op9_mix_sources, op10_exact_dedup)}
 
 ORACLE = {
     "op10_exact_dedup": """
