@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .bpe import encode_digests
 from .exact_dedup import exact_dedup
 from .minhash import near_duplicates
 from .mixing import mix
@@ -11,6 +12,13 @@ from .quality import judge_quality
 from .shared import documents
 
 
+def vocabulary(name: str = "byte_bpe_50k.json") -> str:
+    """The place of a public vocabulary file, which every executor has."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
 
@@ -19,6 +27,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(documents(spark, sf_dir))
 
 
+def op7_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_digests(documents(spark, sf_dir), vocabulary())
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(documents(spark, sf_dir))
 
@@ -27,7 +39,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir)).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op3_quality_rules, op9_mix_sources, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op3_quality_rules, op7_bpe_encode_decode, op9_mix_sources, op10_exact_dedup)}
 
 ORACLE = {
     "op10_exact_dedup": """
