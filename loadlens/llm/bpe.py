@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: The pattern by which byte-level vocabularies split text, and white space as it means it.
-WHITE = "\t-\r \x85\xa0  -     　"
+WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PATTERN = (
     rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{WHITE}\p{{L}}\p{{N}}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+"
 )
@@ -191,17 +191,29 @@ class ByteBPE:
                     heapq.heappush(queue, (merge[k][0], a))
         return [i for i in ids if i >= 0]
 
-    def encode_words(self, words: list[bytes]) -> list[bytes]:
-        """The ids of each word as little-endian unsigned 32-bit integers."""
+    def _proposed(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[int]]:
+        """The longest matches, and the numbers of the words that have an incompatible pair."""
         word, token = self.longest_matches(words)
         pair = np.flatnonzero(word[1:] == word[:-1])
         keys, which = np.unique(token[pair] * self.n + token[pair + 1], return_inverse=True)
         good = self.compatible(keys // self.n, keys % self.n)
-        failing = np.unique(word[pair[~good[which]]])
+        return word, token, np.unique(word[pair[~good[which]]]).tolist()
+
+    def count_words(self, words: list[bytes]) -> list[int]:
+        """The number of tokens of each word."""
+        word, _, failing = self._proposed(words)
+        out = np.bincount(word, minlength=len(words)).tolist()
+        for i in failing:
+            out[i] = len(self.merged(words[i]))
+        return out
+
+    def encode_words(self, words: list[bytes]) -> list[bytes]:
+        """The ids of each word as little-endian unsigned 32-bit integers."""
+        word, token, failing = self._proposed(words)
         packed = token.astype("<u4").tobytes()
         cut = np.searchsorted(word, np.arange(len(words) + 1)) * 4
         out = [packed[a:b] for a, b in zip(cut[:-1].tolist(), cut[1:].tolist())]
-        for i in failing.tolist():
+        for i in failing:
             out[i] = np.array(self.merged(words[i]), "<u4").tobytes()
         return out
 

@@ -10,6 +10,8 @@ from .minhash import near_duplicates
 from .mixing import mix
 from .quality import judge_quality
 from .shared import documents
+from .token_counts import count_tokens
+from .url_filter import filter_urls
 
 
 def vocabulary(name: str = "byte_bpe_50k.json") -> str:
@@ -27,6 +29,14 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(documents(spark, sf_dir))
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(documents(spark, sf_dir), vocabulary())
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op7_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(documents(spark, sf_dir), vocabulary())
 
@@ -39,7 +49,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir)).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op3_quality_rules, op7_bpe_encode_decode, op9_mix_sources, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op3_quality_rules, op5_token_counts, op6_url_filter, op7_bpe_encode_decode, op9_mix_sources, op10_exact_dedup)}
 
 ORACLE = {
     "op10_exact_dedup": """
