@@ -268,3 +268,13 @@ def near_duplicates(
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
     )
+
+
+def drop_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows of docs that stay, with all their columns: one id of each component, all rows of that id.
+
+    Documents without shingles stay. No column of docs may be named `_stay_id`.
+    """
+    judged = near_duplicates(docs, doc_id, text, **options).filter("NOT kept")
+    gone = judged.select(F.col("doc_id").alias("_stay_id")).distinct()
+    return docs.join(gone, F.col(doc_id).cast("long").eqNullSafe(F.col("_stay_id")), "left_anti")

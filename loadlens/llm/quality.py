@@ -187,6 +187,30 @@ def _judge(references: dict, char_limit: float, word_limit: float):
     return run
 
 
+def _keeping(judge, schema):
+    """The same judgement, but what comes out are the input rows that it keeps."""
+
+    def run(batches):
+        for batch in batches:
+            of = pa.RecordBatch.from_arrays(
+                [pa.array(np.arange(batch.num_rows)), batch.column("_lang"), batch.column("_text")], ["row", "lang", "text"]
+            )
+            for out in judge(iter([of])):
+                yield batch.select(schema).filter(out.column("kept"))
+
+    return run
+
+
+def keep_good(
+    docs: DataFrame, text: str = "text", lang: str = "lang",
+    char_limit: float = MOST_CHAR_DISTANCE, word_limit: float = MOST_WORD_DISTANCE,
+) -> DataFrame:
+    """The rows of docs that judge_quality keeps, with all their columns; none may be named `_lang` or `_text`."""
+    own = docs.withColumns({"_lang": F.col(lang).cast("string"), "_text": F.col(text)})
+    references = _reference_table(own.select(F.col("_lang").alias("lang"), F.col("_text").alias("text")))
+    return own.mapInArrow(_keeping(_judge(references, char_limit, word_limit), docs.columns), docs.schema)
+
+
 def _reference_table(docs: DataFrame) -> dict:
     """The references of the largest languages and, under None, of everything together."""
     counts = docs.select("lang", "text").mapInArrow(_references, "lang string, kind int, key long, n long")
