@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import encode_digests
 from .exact_dedup import exact_dedup
+from .language_model import score_texts
 from .minhash import near_duplicates
 from .mixing import mix
 from .quality import judge_quality
@@ -41,6 +42,10 @@ def op7_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(documents(spark, sf_dir), vocabulary())
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(documents(spark, sf_dir))
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(documents(spark, sf_dir))
 
@@ -49,7 +54,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir)).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op3_quality_rules, op5_token_counts, op6_url_filter, op7_bpe_encode_decode, op9_mix_sources, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op3_quality_rules, op5_token_counts, op6_url_filter, op7_bpe_encode_decode, op8_lm_scoring, op9_mix_sources, op10_exact_dedup)}
 
 ORACLE = {
     "op10_exact_dedup": """

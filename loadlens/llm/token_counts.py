@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import ByteBPE
+from .packing import pack, unpack
 
 CHUNK_CHARS = 1 << 24
 #: Buckets: as many as the input has partitions, within these bounds. More would only cut the lists of a chunk smaller.
@@ -24,26 +25,6 @@ LIMIT = 512
 MOST_REMEMBERED = 1_000_000
 
 
-def _pack(*arrays: np.ndarray) -> bytes:
-    """Arrays of unsigned integers in the fewest bytes each, compressed."""
-    out = []
-    for a in arrays:
-        kind = np.min_scalar_type(int(a.max()) if len(a) else 0)
-        body = a.astype(kind).tobytes()
-        out += [np.array([len(a), kind.itemsize], "<i8").tobytes(), body]
-    body = b"".join(out)
-    return np.array([len(body)], "<i8").tobytes() + pa.compress(body, "zstd", asbytes=True)
-
-
-def _unpack(packed: bytes) -> list[np.ndarray]:
-    body = pa.decompress(packed[8:], int(np.frombuffer(packed[:8], "<i8")[0]), "zstd", asbytes=True)
-    out, at = [], 0
-    while at < len(body):
-        n, size = np.frombuffer(body, "<i8", 2, at).tolist()
-        out.append(np.frombuffer(body, f"<u{size}", n, at + 16).astype(np.int64))
-        at += 16 + n * size
-    return out
-
 
 def _frequencies(path: str, buckets: int, kind: pa.DataType):
     """(row, text) -> a header per chunk, and per chunk and bucket its pre-tokens and who has them how often."""
@@ -82,10 +63,10 @@ def _frequencies(path: str, buckets: int, kind: pa.DataType):
                 span = slice(cut[b], cut[b + 1])
                 holders = np.unique(word[span], return_counts=True)[1]
                 text = b"".join(own)
-                packed = _pack(np.array([len(w) for w in own]), np.frombuffer(text, np.uint8))
+                packed = pack(np.array([len(w) for w in own]), np.frombuffer(text, np.uint8))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([key], pa.int64()), pa.array([b], pa.int32()), none, pa.array([None], pa.list_(pa.int64())),
-                     pa.array([packed], pa.binary()), pa.array([_pack(holders, doc[span], n[span])], pa.binary())], names,
+                     pa.array([packed], pa.binary()), pa.array([pack(holders, doc[span], n[span])], pa.binary())], names,
                 )
 
         rows, sizes, numbers, found, chars = [], [], {}, [], 0
@@ -117,7 +98,7 @@ def _sums(path: str, kind: pa.DataType):
         for batch in batches:
             done = []
             parts = [
-                None if packed is None else _unpack(packed) for packed in batch.column("words").to_pylist()
+                None if packed is None else unpack(packed) for packed in batch.column("words").to_pylist()
             ]
             texts = []
             for part in parts:
@@ -133,9 +114,9 @@ def _sums(path: str, kind: pa.DataType):
                 if part is None:
                     done.append(None)
                     continue
-                holders, doc, n = _unpack(lists)
+                holders, doc, n = unpack(lists)
                 each = np.repeat(np.array([pieces[w] for w in words], np.int64), holders)
-                done.append(_pack(np.bincount(doc, n * each).astype(np.int64)))
+                done.append(pack(np.bincount(doc, n * each).astype(np.int64)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("chunk"), batch.column("rows"), batch.column("sizes"), pa.array(done, pa.binary())],
                 ["chunk", "rows", "sizes", "sums"],
@@ -151,7 +132,7 @@ def _added(kind: pa.DataType, limit: int):
         total = np.zeros(len(rows), np.int64)
         for packed in table.column("sums").to_pylist():
             if packed is not None:
-                part = _unpack(packed)[0]
+                part = unpack(packed)[0]
                 total[: len(part)] += part
         return pa.table({"doc_id": rows, "n_bytes": sizes, "n_tokens": pa.array(total), "over_limit": pa.array(total > limit)})
 
