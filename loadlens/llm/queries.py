@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from .bpe import encode_digests
 from .exact_dedup import exact_dedup
 from .language_model import score_texts
+from .licences import oracle as licence_oracle
+from .licences import scan_licences
 from .minhash import near_duplicates
 from .mixing import mix
 from .quality import judge_quality
@@ -30,6 +32,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(documents(spark, sf_dir))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licences(documents(spark, sf_dir))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(documents(spark, sf_dir), vocabulary())
 
@@ -54,9 +60,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir)).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op3_quality_rules, op5_token_counts, op6_url_filter, op7_bpe_encode_decode, op8_lm_scoring, op9_mix_sources, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op3_quality_rules, op4_license_scan, op5_token_counts, op6_url_filter, op7_bpe_encode_decode, op8_lm_scoring, op9_mix_sources, op10_exact_dedup)}
 
 ORACLE = {
+    "op4_license_scan": licence_oracle(),
     "op10_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
