@@ -11,6 +11,7 @@ from .licences import oracle as licence_oracle
 from .licences import scan_licences
 from .minhash import near_duplicates
 from .mixing import mix
+from .pii import replace_pii
 from .quality import judge_quality
 from .shared import documents
 from .token_counts import count_tokens
@@ -28,6 +29,10 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
 
 
+def op2_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replace_pii(documents(spark, sf_dir))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(documents(spark, sf_dir))
 
@@ -60,7 +65,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir)).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op3_quality_rules, op4_license_scan, op5_token_counts, op6_url_filter, op7_bpe_encode_decode, op8_lm_scoring, op9_mix_sources, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op2_pii_surrogates, op3_quality_rules, op4_license_scan, op5_token_counts, op6_url_filter, op7_bpe_encode_decode, op8_lm_scoring, op9_mix_sources, op10_exact_dedup)}
 
 ORACLE = {
     "op4_license_scan": licence_oracle(),
