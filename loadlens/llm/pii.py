@@ -140,7 +140,7 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
         word = "".join(_ONSETS[draws.below(len(_ONSETS))] + _VOWELS[draws.below(len(_VOWELS))] for _ in range(size))
         ending = {"given_f": "a", "given_m": "o"}.get(kind, "nrsl"[draws.below(4)])
         return word[:-1] + ending if kind in ("given_f", "given_m") else word + ending
-    if re.fullmatch("[0-9a-f]+", value):
+    if kind == "secret" and re.fullmatch("[0-9a-f]+", value):
         return "".join("0123456789abcdef"[draws.below(16)] for _ in value)
     return "".join(_alike(c, draws) for c in value)
 
