@@ -275,12 +275,12 @@ def _encoded(path: str):
 
             def out():
                 return pa.RecordBatch.from_arrays(
-                    [row.slice(done, len(ids)), pa.array(ids, pa.binary()), pa.array(text, pa.string())], ["row", "ids", "text"]
+                    [row.slice(done, len(ids)), pa.array(ids, pa.list_(pa.int32())), pa.array(text, pa.string())], ["row", "ids", "text"]
                 )
 
             size = 0
             for packed in bpe.encode_all(texts):
-                ids.append(packed)
+                ids.append(np.frombuffer(packed, "<i4"))
                 text.append(bpe.decode(packed).decode())
                 size += len(packed)
                 if size > 1 << 24:
@@ -317,13 +317,9 @@ def encode(docs: DataFrame, path: str, row: str = "doc_id", text: str = "text")
     """
     docs = docs.select(F.col(row).alias("row"), F.col(text).alias("text"))
     kind = docs.schema["row"].dataType.simpleString()
-    done = docs.mapInArrow(_encoded(path), f"row {kind}, ids binary, text string")
-    # four bytes an id, little end first
-    word = lambda i: F.conv(F.hex(F.reverse(F.substring("ids", i * 4 + 1, 4))), 16, 10).cast("int")
-    ids = F.when(F.length("ids") == 0, F.array().cast("array<int>")).otherwise(
-        F.transform(F.sequence(F.lit(0), (F.length("ids") / 4 - 1).cast("int")), word)
-    )
-    return done.select(F.col("row").alias("doc_id"), ids.alias("ids"), F.col("text").alias("decoded"))
+    done = docs.mapInArrow(_encoded(path), f"row {kind}, ids array<int>, text string")
+    return done.select(F.col("row").alias("doc_id"), "ids", F.col("text").alias("decoded"))
+
 
 
 def encode_digests(docs: DataFrame, path: str, row: str = "doc_id", text: str = "text") -> DataFrame:

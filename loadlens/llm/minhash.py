@@ -271,10 +271,11 @@ def near_duplicates(
 
 
 def drop_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The rows of docs that stay, with all their columns: one id of each component, all rows of that id.
+    """The rows of docs that stay, with all their columns: one id of each component, and what is in none.
 
-    Documents without shingles stay. No column of docs may be named `_stay_id`.
+    Documents without shingles stay. The rows of a repeated id stay if any of them does. No column of docs may be
+    named `_stay_id`.
     """
-    judged = near_duplicates(docs, doc_id, text, **options).filter("NOT kept")
-    gone = judged.select(F.col("doc_id").alias("_stay_id")).distinct()
+    judged = near_duplicates(docs, doc_id, text, **options)
+    gone = judged.groupBy(F.col("doc_id").alias("_stay_id")).agg(F.max("kept").alias("any")).filter("NOT any").select("_stay_id")
     return docs.join(gone, F.col(doc_id).cast("long").eqNullSafe(F.col("_stay_id")), "left_anti")
