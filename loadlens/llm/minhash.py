@@ -7,9 +7,11 @@ Two documents of similarity 0.8 miss each other in all tables with probability 4
 - Documents with equal shingle sets are one class; only classes are compared, copies cost nothing more.
 - A class goes to a table only by groups that it shares with another class, so documents unlike all
   others (nearly all of them) have no table rows at all.
-- In a bucket every class is compared with the head of the bucket, not with every other. Buckets whose
-  classes are then in several components go on with the next head until none is left untested;
-  those of at most SMALL classes are finished at once. No candidate is dropped by number.
+- In a bucket every class is compared with the head of the bucket, not with every other; most groups of
+  copies are one component then and done.
+- Classes that buckets connect but links do not (yet) are compared with each other, in pairs of blocks of
+  bounded size: a task skips whoever it has already found connected and returns only links that connect
+  more. No candidate is dropped by number.
 - Candidates are compared by their 72 hashes first, then confirmed on their full shingle sets.
 """
 
@@ -28,7 +30,7 @@ from .words import LOWER, blocks, mixed, words_in
 
 GROUPS = 12  # in a collection
 PER_GROUP = 3
-SMALL = 16
+BLOCK = 400  # classes of one connected group that are compared with each other in one task
 #: Share of equal hashes from which a pair is confirmed on its sets. 72 hashes of a pair of similarity 0.8
 #: fall below with probability 1e-6.
 LEAST_EQUAL = 0.58
@@ -121,24 +123,53 @@ def _alike_sketches(batches):
         yield batch.select(["x", "y"]).filter(pa.array(keep))
 
 
+def _alike(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets are linked."""
+    if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+        return False
+    at = np.searchsorted(y, x)
+    at[at == len(y)] = 0
+    both = int((y[at] == x).sum())
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
+def _set(value) -> np.ndarray:
+    return np.frombuffer(value.as_buffer(), np.uint64)
+
+
 def _confirm(percent: int):
     def run(batches):
         for batch in batches:
-            keep = []
-            for a, b in zip(batch.column("set_x"), batch.column("set_y")):
-                x, y = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
-                if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
-                    keep.append(False)
-                    continue
-                at = np.searchsorted(y, x)
-                at[at == len(y)] = 0
-                both = int((y[at] == x).sum())
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
+            keep = [_alike(_set(a), _set(b), percent) for a, b in zip(batch.column("set_x"), batch.column("set_y"))]
             yield batch.select(["x", "y"]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
 
+def _connecting(percent: int):
+    """The rows of two blocks (or of one with itself) -> links that connect what labels do not."""
+
+    def run(table: pa.Table) -> pa.Table:
+        x, block = table.column("x").to_pylist(), np.array(table.column("block").to_pylist())
+        names = {}
+        root = np.array([names.setdefault(v, len(names)) for v in table.column("label").to_pylist()])
+        sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(len(x), -1)
+        sets = table.column("shingles").combine_chunks()
+        two, found = len(set(block.tolist())) > 1, []
+        for i in range(len(x) - 1):
+            other = i + 1 + np.flatnonzero((root[i + 1 :] != root[i]) & ((block[i + 1 :] != block[i]) | (not two)))
+            if not len(other):
+                continue
+            equal = (sketch[other] == sketch[i]).mean(axis=1)
+            for j in other[equal >= LEAST_EQUAL][np.argsort(-equal[equal >= LEAST_EQUAL])].tolist():
+                if root[j] != root[i] and _alike(_set(sets[i]), _set(sets[j]), percent):
+                    root[root == root[j]] = root[i]
+                    found.append((x[i], x[j]))
+        return pa.table({"x": pa.array([a for a, _ in found], pa.binary()), "y": pa.array([b for _, b in found], pa.binary())})
+
+    return run
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, label) for the nodes of edges (x, y): the smallest node of each connected component.
 
@@ -170,20 +201,15 @@ def _shared_groups(classes: DataFrame, low: int) -> DataFrame:
     return rows.join(many, ["g", "key"]).groupBy("set_id").agg(F.collect_list(F.struct("g", "key")).alias("held"))
 
 
-def _buckets(classes: DataFrame) -> DataFrame:
-    """(bucket, x, head, n) for the buckets of two or more classes; buckets of the same classes come once."""
+def _candidates(classes: DataFrame) -> DataFrame:
+    """Distinct (x, y): a class and the smallest class, the head, of a bucket that holds both."""
     first = _shared_groups(classes, 0).withColumnRenamed("held", "first")
     second = _shared_groups(classes, GROUPS).withColumnRenamed("held", "second")
     rows = first.join(second, "set_id").select("set_id", F.explode("first").alias("a"), "second")
     rows = rows.select(F.col("set_id").alias("x"), "a", F.explode("second").alias("b"))
     rows = stored(rows.select(F.xxhash64("a.g", "a.key", "b.g", "b.key").alias("bucket"), "x"), "tables")
-    of = F.xxhash64("x")
-    heads = rows.groupBy("bucket").agg(
-        F.min("x").alias("head"), F.count(F.lit(1)).alias("n"),
-        F.sum(F.shiftright(of, 24)).alias("s1"), F.sum(of.bitwiseAND((1 << 24) - 1)).alias("s2"),
-    )
-    heads = heads.filter("n > 1").groupBy("head", "n", "s1", "s2").agg(F.min("bucket").alias("bucket"))
-    return stored(rows.join(heads.select("bucket", "head", "n"), "bucket"), "buckets")
+    heads = rows.groupBy("bucket").agg(F.min("x").alias("y"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return stored(rows.join(heads, "bucket").filter("x <> y").select("x", "y").distinct(), "candidates")
 
 
 class _Confirmer:
@@ -214,8 +240,18 @@ class _Confirmer:
         return stored(full.select("x", "y", "set_x", "set_y").mapInArrow(_confirm(self.percent), "x binary, y binary"), "links")
 
 
+    def links_between(self, groups: DataFrame, block: int) -> DataFrame:
+        """(x, label, group) -> links between classes of one group but of several labels, as many as connect them."""
+        size = groups.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+        rows = groups.join(size, "group").withColumn("block", F.pmod(F.xxhash64("x"), F.col("blocks")).cast("int"))
+        rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        rows = rows.select("group", F.least("block", "with").alias("a"), F.greatest("block", "with").alias("b"), "x", "label", "block")
+        full = rows.join(self.sketches.withColumnRenamed("set_id", "x"), "x").join(self.sets.withColumnRenamed("set_id", "x"), "x")
+        return full.groupBy("group", "a", "b").applyInArrow(_connecting(self.percent), "x binary, y binary")
+
+
 def near_duplicates(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 4, percent: int = 80, small: int = SMALL
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 4, percent: int = 80, block: int = BLOCK
 ) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
@@ -235,30 +271,19 @@ def near_duplicates(
         F.min("doc_id").alias("rep"), F.any_value("groups").alias("groups"), F.any_value("sketch").alias("sketch")
     )
     classes = stored(classes, "classes")
-    buckets = _buckets(classes)
-    confirmer = _Confirmer(docs, classes, buckets.select(F.col("x").alias("set_id")).distinct(), shingle, percent)
-    links = confirmer.links(buckets.filter("x <> head").select("x", F.col("head").alias("y")).distinct())
-    labels = components(links)
-    open_ = buckets
-    while True:
-        named = open_.join(labels.withColumnRenamed("node", "x"), "x", "left").withColumn("label", F.coalesce("label", "x"))
-        # classes up to the head have been compared with all others of the bucket
-        several = named.groupBy("bucket").agg(F.min("label").alias("l"), F.max("label").alias("m")).filter("l <> m")
-        left = stored(named.join(several.select("bucket"), "bucket"), "open").filter("x > head")
-        if left.isEmpty():
-            break
-        few = left.filter(F.col("n") <= small).groupBy("bucket").agg(F.collect_list(F.struct("x", "label")).alias("all"))
-        few = few.select(F.explode("all").alias("a"), "all").select("a", F.explode("all").alias("b"))
-        pairs = few.filter("a.x > b.x AND a.label <> b.label").select(F.col("a.x").alias("x"), F.col("b.x").alias("y"))
-        many = left.filter(F.col("n") > small)
-        heads = many.groupBy("bucket").agg(F.min(F.struct("x", "label")).alias("next"))
-        many = stored(many.join(heads, "bucket"), "many")
-        more = many.filter("x > next.x AND label <> next.label").select("x", F.col("next.x").alias("y"))
-        found = confirmer.links(pairs.unionByName(more).distinct())
-        if not found.isEmpty():
-            links = stored(links.unionByName(found), "links")
-            labels = components(links)
-        open_ = many.select("bucket", "x", F.col("next.x").alias("head"), "n")
+    candidates = _candidates(classes)
+    needed = candidates.select(F.col("x").alias("set_id")).union(candidates.select("y")).distinct()
+    confirmer = _Confirmer(docs, classes, needed, shingle, percent)
+    links = confirmer.links(candidates)
+    labels = stored(components(links), "labels")
+    groups = components(candidates).select(F.col("node").alias("x"), F.col("label").alias("group"))
+    groups = groups.join(labels.withColumnRenamed("node", "x"), "x", "left").withColumn("label", F.coalesce("label", "x"))
+    groups = stored(groups, "groups")
+    # groups of two have been compared; others whose members links do not all connect go on
+    open_ = groups.groupBy("group").agg(F.min("label").alias("l"), F.max("label").alias("m"), F.count(F.lit(1)).alias("n"))
+    more = stored(confirmer.links_between(groups.join(open_.filter("l <> m AND n > 2").select("group"), "group"), block), "links")
+    if not more.isEmpty():
+        labels = components(links.unionByName(more))
     named = classes.select("set_id", "rep").join(labels.withColumnRenamed("node", "set_id"), "set_id", "left")
     named = named.withColumn("label", F.coalesce("label", "set_id"))
     least = named.groupBy("label").agg(F.min("rep").alias("component_id"))

@@ -125,12 +125,12 @@ def test_near_chains_and_odd_rows(docs_of):
 
 
 def test_near_many_unlike_classes_in_a_bucket(docs_of):
-    """Groups that share most words but not enough of them go through several heads."""
+    """Groups that share most words but not enough of them are compared in blocks."""
     rnd = random.Random(5)
     head = [f"h{i}" for i in range(60)]
     rows = [(i, " ".join(head + [f"t{i}_{rnd.randrange(9)}_{k}" for k in range(18)])) for i in range(60)]
     rows += [(100 + i, rows[i][1] + " end") for i in range(0, 60, 7)]
-    assert near_got(near_duplicates(docs_of(rows), small=2)) == near_expected(rows)
+    assert near_got(near_duplicates(docs_of(rows), block=7)) == near_expected(rows)
 
 
 def test_components(spark):
