@@ -34,7 +34,7 @@ CONTEXT_BITS = 13
 START = 1 << CONTEXT_BITS  # the context of a first word
 CONTEXTS = START + 1
 END = 0x5EED0E4D  # stands for the end of a text among word hashes
-CHUNK_BYTES = 1 << 24
+CHUNK_BYTES = 6 << 20
 BUCKETS = (12, 4096)
 STRENGTH = 1.0
 SMALL = 64  # customers up to which the chance to sit alone is exact
