@@ -42,14 +42,24 @@ def extract(c: Column, pattern: str, group: int = 1, flags: str = "i") -> Column
     return strip(F.regexp_extract(c, rx(pattern, flags), group))
 
 
-def captures(c: Column, pattern: str, groups: int, flags: str = "i") -> Column:
+def in_order(*pieces: str) -> str:
+    """A pattern that holds only if the pieces come one after the other.
+
+    Each piece is looked for once, after the one before, and never again: one pass over any text.
+    """
+    return r"\A" + "".join(rf"(?>(?s:.*?)(?:{p}))" for p in pieces)
+
+
+def captures(c: Column, pattern: str, groups: int, flags: str = "i", guard: str | None = None) -> Column:
     """Groups 1..n of the first match as an array read with get(a, g).
 
     One regex pass serves all groups. Without a match every get(a, g >= 1) is null.
-    Keep the result in a column of its own before reading several groups.
+    Keep the result in a column of its own before reading several groups. guard: a cheap
+    pattern that every text with a match fulfils; other texts are not tried.
     """
     whole = rx(r"\A(?s:.*?)(?:" + pattern + r")(?s:.*)\z", flags)
-    return F.split(F.regexp_replace(c, whole, "".join(f"{SEP}${g}" for g in range(1, groups + 1))), SEP)
+    found = F.split(F.regexp_replace(c, whole, "".join(f"{SEP}${g}" for g in range(1, groups + 1))), SEP)
+    return found if guard is None else F.when(c.rlike(rx(guard, flags)), found)
 
 
 def group(caps: Column, g: int) -> Column:
@@ -59,7 +69,10 @@ def group(caps: Column, g: int) -> Column:
 
 def first_filled(*cols: Column) -> Column:
     """First value that is neither null nor ''; else ''."""
-    return F.coalesce(*[F.nullif(c, F.lit("")) for c in cols], F.lit(""))
+    if not cols:
+        return F.lit("")
+    # each column is in the plan once, and the next one is tried only if it is empty
+    return let(F.coalesce(cols[0], F.lit("")), lambda v: F.when(v != "", v).otherwise(first_filled(*cols[1:])))
 
 
 def replace_all(c: Column, steps) -> Column:
@@ -75,8 +88,11 @@ SPACES = [
     (r"\n{3,}", "\n\n", "", "\n\n\n"),
 ]
 MARKS = (r"\*{2,}", "", "", "**")
-BLOCK_STEPS = [MARKS, *SPACES]
+# captures() relies on text without its separator
+NO_SEPARATOR = (SEP, "", "", SEP)
+BLOCK_STEPS = [NO_SEPARATOR, MARKS, *SPACES]
 LINE_STEPS = [
+    NO_SEPARATOR,
     MARKS,
     (r"PickUp\b", "Pickup", "i", None),
     (r"Del\.\s*Date", "Delivery Date", "i", None),
@@ -86,7 +102,7 @@ LINE_STEPS = [
     # trims every line and drops the blank ones; the leading check skips other positions
     (r"(?=[\s\u001C-\u001E])\s*[\n\u000B\u000C\u001C-\u001E\u0085\u2028\u2029]\s*", "\n", "", None),
 ]
-FLAT_STEPS = [(r"\*", "", "", "*"), (r"\s+", " ", "", None)]
+FLAT_STEPS = [NO_SEPARATOR, (r"\*", "", "", "*"), (r"\s+", " ", "", None)]
 
 NORMALISERS = {"blocks": BLOCK_STEPS, "lines": LINE_STEPS, "flat": FLAT_STEPS}
 

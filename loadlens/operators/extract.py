@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..functions.datetimes import processed_at
+from ..sources.documents import Reader
 from . import segment, stops
 
 DOC_TEXT = "_text"
@@ -31,7 +32,7 @@ class Rule:
         value = CLEANUPS[self.clean](tx.first_filled(*found))
         if self.default:
             # an empty document keeps empty fields
-            value = F.when((value == "") & (text != ""), F.lit(self.default)).otherwise(value)
+            value = tx.let(value, lambda v: F.when((v == "") & (text != ""), F.lit(self.default)).otherwise(v))
         return value
 
 
@@ -61,6 +62,7 @@ class Group:
     scope: str = "text"
     flags: str = "i"
     clean: dict = field(default_factory=dict)
+    guard: str | None = None  # holds for every text that the pattern matches
 
 
 @dataclass(frozen=True)
@@ -96,6 +98,7 @@ class Ruleset:
     stop: object = None
     caps: dict = field(default_factory=dict)
     stamp: str | None = None  # 'utc', 'local' or None
+    reader: Reader = Reader()
 
 
 def header(df: DataFrame, rules, text: str = DOC_TEXT, constants=None) -> DataFrame:
@@ -106,7 +109,7 @@ def header(df: DataFrame, rules, text: str = DOC_TEXT, constants=None) -> DataFr
     scope = lambda r: doc if r.scope == "text" else F.col(f"_{r.scope}")
     groups = [r for r in rules if isinstance(r, Group)]
     df = df.withColumns(
-        {f"_g{i}": tx.captures(scope(r), r.pattern, len(r.fields), r.flags) for i, r in enumerate(groups)}
+        {f"_g{i}": tx.captures(scope(r), r.pattern, len(r.fields), r.flags, r.guard) for i, r in enumerate(groups)}
     )
     out = {r.field: r.column(scope(r), doc) for r in rules if not isinstance(r, Group)}
     for i, r in enumerate(groups):
@@ -117,28 +120,28 @@ def header(df: DataFrame, rules, text: str = DOC_TEXT, constants=None) -> DataFr
     return df.withColumns(out)
 
 
-def stop_arrays(df: DataFrame, ruleset: Ruleset, text: str = DOC_TEXT) -> DataFrame:
-    """Add one array of parsed stops per type, cut at the rule set's caps."""
+def stop_arrays(df: DataFrame, ruleset: Ruleset, text: str = DOC_TEXT, capped: bool = True) -> DataFrame:
+    """Add one array of parsed stops per type, cut at the rule set's caps or whole.
+
+    The layout whose stops are looked up by number has those numbers only.
+    """
     doc = F.col(text)
     if isinstance(ruleset.stop, stops.NumberedStop):
         return df.withColumns(
             {f"{t}_stops": ruleset.stop.columns_from_text(doc, t, ruleset.caps[t]) for t in segment.TYPES}
         )
     df = segment.blocks_by_type(df, text, ruleset.splitter)
-    capped = {t: F.slice(f"{t}_blocks", 1, ruleset.caps[t]) for t in segment.TYPES}
+    kept = {t: F.slice(f"{t}_blocks", 1, ruleset.caps[t]) if capped else F.col(f"{t}_blocks") for t in segment.TYPES}
     if not ruleset.stop.same_for_all_types:
-        return df.withColumns({f"{t}_stops": ruleset.stop.columns(capped[t], t) for t in segment.TYPES})
+        return df.withColumns({f"{t}_stops": ruleset.stop.columns(kept[t], t) for t in segment.TYPES})
     # one pass over both types, then cut where the pickups end
     df = df.withColumns(
-        {
-            "_stops": ruleset.stop.columns(F.concat(*capped.values()), "any"),
-            "_pickups": F.least(F.size("pickup_blocks"), F.lit(ruleset.caps["pickup"])),
-        }
+        {"_stops": ruleset.stop.columns(F.concat(*kept.values()), "any"), "_pickups": F.size(kept["pickup"])}
     )
     return df.withColumns(
         {
             "pickup_stops": F.slice("_stops", F.lit(1), F.col("_pickups")),
-            "delivery_stops": F.slice("_stops", F.col("_pickups") + 1, F.lit(ruleset.caps["delivery"])),
+            "delivery_stops": F.slice("_stops", F.col("_pickups") + 1, F.size("_stops")),
         }
     )
 
@@ -157,10 +160,13 @@ def stop_fields(df: DataFrame, ruleset: Ruleset, text: str = DOC_TEXT) -> DataFr
     )
 
 
-def stop_rows(df: DataFrame, ruleset: Ruleset, text: str = "text", keep=("source_file",)) -> DataFrame:
-    """One row per kept stop: the keep columns, type, rk and the stop fields."""
+def stop_rows(df: DataFrame, ruleset: Ruleset, text: str = "text", keep=("source_file",), capped: bool = False) -> DataFrame:
+    """One row per stop: the keep columns, type, rk and the stop fields.
+
+    All stops of a document, or with capped those that have a slot in the wide row.
+    """
     docs = df.select(*keep, tx.normalise(F.col(text), ruleset.profile).alias(DOC_TEXT))
-    docs = stop_arrays(docs, ruleset)
+    docs = stop_arrays(docs, ruleset, capped=capped)
 
     def ranked(kind):
         item = lambda s, i: F.struct(
@@ -171,6 +177,19 @@ def stop_rows(df: DataFrame, ruleset: Ruleset, text: str = "text", keep=("source
     return docs.select(*keep, F.inline(F.concat(*[ranked(t) for t in segment.TYPES])))
 
 
+def stops_beyond_slots(df: DataFrame, ruleset: Ruleset, text: str = "text", keep=("source_file",)) -> DataFrame:
+    """Per document and stop type: its stops, the slots of the wide row, and how many stops have none."""
+    docs = df.select(*keep, tx.normalise(F.col(text), ruleset.profile).alias(DOC_TEXT))
+    docs = segment.blocks_by_type(docs, DOC_TEXT, ruleset.splitter)
+
+    def counted(kind):
+        stops, slots = F.size(f"{kind}_blocks"), F.lit(ruleset.caps[kind])
+        beyond = F.greatest(stops - slots, F.lit(0))
+        return F.struct(F.lit(kind).alias("type"), stops.alias("stops"), slots.alias("slots"), beyond.alias("beyond"))
+
+    return docs.select(*keep, F.inline(F.array(*[counted(t) for t in segment.TYPES])))
+
+
 def extract(df: DataFrame, ruleset: Ruleset, text: str = "text", keep=("source_file",)) -> DataFrame:
     """One wide row per document: the keep columns, then the rule set's fields.
 
@@ -213,13 +232,18 @@ def extract_each(df: DataFrame, rulesets, text: str = "text", keep=("source_file
 def extract_routed(df: DataFrame, rulesets: dict, source: str = "source", text: str = "text", keep=("source_file",)) -> DataFrame:
     """Each row goes through the rule set of its source; missing columns become ''.
 
-    Sources are filters on the partition column, so a branch reads only its directories.
+    Rows of any other source, null included, are kept with empty fields; `routed` tells
+    them apart. Sources are filters on the partition column, so a branch reads only its
+    directories; without such a column the input is read once per rule set and once more.
     """
     branches = [
-        extract(df.filter(F.col(source) == name), rules, text, (source, *keep)) for name, rules in rulesets.items()
+        extract(df.filter(F.col(source) == name), rules, text, (source, *keep)).withColumn("routed", F.lit(True))
+        for name, rules in rulesets.items()
     ]
+    unknown = ~F.coalesce(F.col(source).isin(list(rulesets)), F.lit(False))
+    branches.append(df.filter(unknown).select(source, *keep, F.lit(False).alias("routed")))
     merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), branches)
-    plain = {source, *keep, "processed_at"}
+    plain = {source, *keep, "processed_at", "routed"}
     return merged.select(
         *[F.col(c) if c in plain else F.coalesce(F.col(c), F.lit("")).alias(c) for c in merged.columns]
     )

@@ -5,29 +5,37 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A document is one string value, so a group must stay bounded: longer documents come
-# out as several parts, numbered in page order, none of them dropped or cut.
-PAGES_PER_PART = 10_000
+# Pages of a document whose texts are joined in one task first. The result is the same for
+# any number; it only bounds what has to be sorted together.
+PAGES_PER_RANGE = 1_000
 
 
-def _assemble(pages: DataFrame, doc, page: str, item: Column, join, pages_per_part: int) -> DataFrame:
-    part = F.floor(F.col(page) / pages_per_part).cast("int").alias("part")
-    ordered = F.array_sort(F.collect_list(item))
-    return pages.groupBy(*doc, part).agg(join(ordered).alias("text"))
+def _assemble(pages: DataFrame, doc, page: str, text: Column, by: str, pages_per_range: int) -> DataFrame:
+    """One row per document: its pages in order, those without a number last, in order of their text.
 
+    The pages of a range are joined first, then the few ranges of the document, so a long
+    document is one row like any other.
+    """
+    number = F.col(page)
+    item = F.when(text.isNotNull(), F.struct(number.isNull().alias("last"), number.alias("page"), text.alias("text")))
+    span = F.floor(number / pages_per_range).alias("_range")
+    # collect_list leaves nulls out, so a document of left-out pages keeps its row
+    joined = pages.groupBy(*doc, span).agg(F.array_sort(F.collect_list(item)).alias("_pages"))
+    part = F.when(F.size("_pages") > 0, F.array_join("_pages.text", by))
+    ranges = joined.select(*doc, F.struct(F.col("_range").isNull().alias("last"), "_range", part.alias("text")).alias("_part"))
+    whole = F.array_sort(F.collect_list(F.when(F.col("_part.text").isNotNull(), F.col("_part"))))
+    return ranges.groupBy(*doc).agg(whole.alias("_parts")).select(*doc, F.array_join("_parts.text", by).alias("text"))
 
-def assemble(pages: DataFrame, doc, page="page_no", text="text", pages_per_part=PAGES_PER_PART) -> DataFrame:
+
+def assemble(pages: DataFrame, doc, page="page_no", text="text", pages_per_range=PAGES_PER_RANGE) -> DataFrame:
     """Pages joined by a blank line; a failed (null) page is '' and keeps its slot."""
-    item = F.struct(F.col(page).alias("page"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return _assemble(pages, doc, page, item, lambda a: F.array_join(a["text"], "\n\n"), pages_per_part)
+    return _assemble(pages, doc, page, F.coalesce(F.col(text), F.lit("")), "\n\n", pages_per_range)
 
 
-def assemble_filled(pages: DataFrame, doc, page="page_no", text="text", pages_per_part=PAGES_PER_PART) -> DataFrame:
+def assemble_filled(pages: DataFrame, doc, page="page_no", text="text", pages_per_range=PAGES_PER_RANGE) -> DataFrame:
     """Pages with text only, each followed by a line end."""
-    filled = F.coalesce(F.col(text), F.lit("")) != ""
-    # collect_list leaves nulls out, so a document of empty pages keeps its row
-    item = F.when(filled, F.struct(F.col(page).alias("page"), F.concat(text, F.lit("\n")).alias("text")))
-    return _assemble(pages, doc, page, item, lambda a: F.array_join(a["text"], ""), pages_per_part)
+    filled = F.when(F.coalesce(F.col(text), F.lit("")) != "", F.concat(text, F.lit("\n")))
+    return _assemble(pages, doc, page, filled, "", pages_per_range)
 
 
 def ledger(files: DataFrame, ok: Column, by=()) -> DataFrame:

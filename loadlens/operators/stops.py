@@ -321,14 +321,17 @@ class NumberedStop:
 
     pattern: str  # with {label} and {number}
     labels: dict  # type -> label
+    guard: str | None = None  # the same placeholders; holds for every text that the pattern matches
 
     def columns_from_text(self, text: Column, kind: str, cap: int) -> Column:
         """One item per number; a number that is not found gives empty strings."""
-        numbered = [
-            self.pattern.replace("{label}", self.labels[kind]).replace("{number}", str(k))
-            for k in range(1, cap + 1)
-        ]
-        items = F.array(*[F.struct(captures(text, p, 8).alias("_m")) for p in numbered])
+        fill = lambda p, k: p and p.replace("{label}", self.labels[kind]).replace("{number}", str(k))
+        items = F.array(
+            *[
+                F.struct(captures(text, fill(self.pattern, k), 8, guard=fill(self.guard, k)).alias("_m"))
+                for k in range(1, cap + 1)
+            ]
+        )
         order = {"customer": 1, "address": 3, "city": 6, "state": 7, "zipcode": 8}
 
         def find(c):

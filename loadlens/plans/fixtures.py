@@ -123,7 +123,7 @@ STOP_TEXT = f"""concat(
     {case((NO_TIME, "'later '"), default=f"concat({pick('Mon|Tue|Wed|Thu|Fri|Sat|Sun', 'k + i')}, ' ', {SHOWN_DATE}, ' Confirmation None ', " + case((RANGE, f"concat('from ', {pad(HOUR, 2)}, ':00 - ', {pad(HOUR + ' + 5', 2)}, ':30')"), default=f"concat('at ', {HOUR}, ':15')") + ", ' ')")},
     'Numbers ~~|~~ ', {case(("(k + i) % 7 = 3", "'Facility Notes dock 4 '"))},
     {case((NO_FACILITY, "''"), default=f"concat('Facility ', {NAME}, ' ', " + case(("(c + i) % 2 = 0", "'Driver Work No Touch '")) + ")")},
-    {case((COLLAPSED, "'\\nContact None\\n'"), (CUT_OFF, f"concat('Address ', {ZONE})"), default=f"concat('Address ', {ZONE}, ' \\nContact None Phone +1 (863) 902 2707\\n## Facility Notes\\nFood Grade Trailer Required\\n')")})"""
+    {case((COLLAPSED, "'\\nContact None\\n'"), (CUT_OFF, f"concat('Address ', {ZONE})"), default=f"concat('Address ', {ZONE}, ' \\nContact None Phone +1 (555) 010 2707\\n## Facility Notes\\nFood Grade Trailer Required\\n')")})"""
 
 # --- header of layout CY ------------------------------------------------------------
 
@@ -134,7 +134,7 @@ DEFAULT_PHONE = rs.CY_BROKER[1].default
 CONTACT_LINE = rs.CY_BROKER[1].text_patterns[0].split(r"\s")[0]
 
 AGENT_EMAIL = f"('agent' || {S('k')} || '@{rs.CY_DOMAIN}')"
-AGENT_PHONE = f"('+1 (423) 385 ' || {pad('c % 10000', 4)} || ' x' || {S('k % 100')})"
+AGENT_PHONE = f"('+1 (555) 011 ' || {pad('c % 10000', 4)} || ' x' || {S('k % 100')})"
 DESK_PHONE = f"('800-555-' || {pad('k % 10000', 4)})"
 CARRIER_NAME = f"('HAUL ' || {S('c')} || ' LLC')"
 CARRIER_EMAIL = f"('dispatch' || {S('c')} || '@haul' || {S('c % 7')} || '.example')"
@@ -143,7 +143,7 @@ AMOUNT = S("price")
 HEADER_TRUTH = {
     "broker_name": f"'{rs.CY_NAME}'",
     "broker_phone": case((NO_DESK, f"'{DEFAULT_PHONE}'"), (SILENT_DESK, DESK_PHONE), default=AGENT_PHONE),
-    "broker_fax": case((f"{NO_DESK} OR {SILENT_DESK} OR k % 3 = 0", "''"), default="'+1 (847) 810 4891'"),
+    "broker_fax": case((f"{NO_DESK} OR {SILENT_DESK} OR k % 3 = 0", "''"), default="'+1 (555) 012 4891'"),
     **{f: f"'{v}'" for f, v in rs.CY_OFFICE.items()},
     "broker_email": case((f"{NO_DESK} OR {SILENT_DESK}", f"'{DEFAULT_EMAIL}'"), default=AGENT_EMAIL),
     "loadConfirmationNumber": S("k"),
@@ -163,7 +163,7 @@ HEADER_TEXT = f"""concat(
     {case((SILENT_DESK, f"concat('{CONTACT_LINE} ', {DESK_PHONE}, ' today\\n')"))},
     {case(("k % 4 = 0", "concat('Total USD $', format_number(price, 2))"), ("k % 4 = 1", "concat('Line Haul USD $ ', format_number(price, 2))"), ("k % 4 = 2", "concat('Total $ ', format_number(price, 2))"), default="'Rate pending'")},
     '\\n\\n\\n\\n',
-    {case((NO_DESK, "''"), (SILENT_DESK, "'## Booked By\\nDesk agent\\n'"), default=f"concat('## Booked By\\nAgent One ', {AGENT_EMAIL}, ' Phone: ', {AGENT_PHONE}, '\\nFax: ', " + case(("k % 3 = 0", "'None'"), default="'+1 (847) 810 4891'") + ", '\\n')")},
+    {case((NO_DESK, "''"), (SILENT_DESK, "'## Booked By\\nDesk agent\\n'"), default=f"concat('## Booked By\\nAgent One ', {AGENT_EMAIL}, ' Phone: ', {AGENT_PHONE}, '\\nFax: ', " + case(("k % 3 = 0", "'None'"), default="'+1 (555) 012 4891'") + ", '\\n')")},
     '## Carrier\\nCarrier Legal Name - ', {CARRIER_NAME}, ' [active]\\nCarrier USDOT - ', c, '\\n',
     {case(("k % 6 = 0", "''"), default=f"concat('Carrier desk Email ', {CARRIER_EMAIL}, '\\n')")})"""
 
@@ -176,18 +176,10 @@ NOISY = """replace(replace(replace({t},
 CY_FOLDER = "/lake/raw/cy/txt_pymupdf4llm/"
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores when the input has fewer splits than the cluster has slots.
-
-    Rendered text is many times larger than the row it comes from, so the small rows
-    are the cheap thing to move. Inputs with enough splits are left as they are.
-    """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(4 * slots) if df.rdd.getNumPartitions() < slots else df
-
-
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/{table}.parquet"))
+    """A table dealt out evenly: rendered text is many times larger than the row it comes from."""
+    rows = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -263,12 +255,12 @@ NO_CARRIER = "(k % 13 = 5)"
 UTB_BROKER = "USA Truck Brokers Inc."
 UTB_STREET = f"({S('100 + c % 900')} || ' NW ' || {S('k % 90')} || ' Court Suite ' || {S('k % 300')})"
 UTB_MAIL = f"('a' || {S('c')} || '@usatruckbrokers.com; z' || {S('k')} || '@usatruckbrokers.com')"
-UTB_TEL = f"('305-819-' || {pad('k % 10000', 4)})"
+UTB_TEL = f"('305-555-' || {pad('k % 10000', 4)})"
 
 UTB_HEADER_TRUTH = {
     "broker_name": case((NO_INVOICE, "''"), default=f"'{UTB_BROKER}'"),
     "broker_phone": case((NO_INVOICE, "''"), default=UTB_TEL),
-    "broker_fax": case((NO_INVOICE, "''"), default="'305-819-7146'"),
+    "broker_fax": case((NO_INVOICE, "''"), default="'305-555-0146'"),
     "broker_address": case((NO_INVOICE, "''"), default=UTB_STREET),
     "broker_city": case((NO_INVOICE, "''"), default="'Miami Lakes'"),
     "broker_state": case((NO_INVOICE, "''"), default="'FL'"),
@@ -328,7 +320,7 @@ UTB_TEXT = f"""concat('**Trip #:** T-', k, '\\n\\n',
     array_join({per_stop(_utb_stop('pickup'), UTB_PICKUPS)}, ''),
     array_join({per_stop(_utb_stop('delivery'), UTB_DELIVERIES)}, ''),
     'Special Instructions none\\n',
-    {case((NO_INVOICE, "''"), default=f"concat('Send Invoice to:\\n{UTB_BROKER}\\n  ', {UTB_STREET}, '\\nMiami Lake,s, FL ', {ZIP5.replace('i * 101', '7')}, '\\nTel: ', {UTB_TEL}, ' Fax: 305-819-7146\\nz', k, '@usatruckbrokers.com a', c, '@usatruckbrokers.com z', k, '@usatruckbrokers.com\\n')")},
+    {case((NO_INVOICE, "''"), default=f"concat('Send Invoice to:\\n{UTB_BROKER}\\n  ', {UTB_STREET}, '\\nMiami Lake,s, FL ', {ZIP5.replace('i * 101', '7')}, '\\nTel: ', {UTB_TEL}, ' Fax: 305-555-0146\\nz', k, '@usatruckbrokers.com a', c, '@usatruckbrokers.com z', k, '@usatruckbrokers.com\\n')")},
     {case(("k % 4 = 3", "'Total pending\\n'"), ("k % 4 = 1", "concat('Total To Pay: $', format_number(price, 2), '\\n')"), default="concat('Total Carrier Pay: $', format_number(price, 2), '\\n')")},
     {case((NO_CARRIER, "''"), default=f"concat('Truck VIN Number 1 Trailer VIN Number 2\\nCarrier ', {CARRIER_NAME}, '\\nMC #: ', 1000 + c, '\\nAddress: 120 9th st #', c, '\\nCity: SAN ANTONIO, TX 78215\\nPhone: 786-796-', {pad('c % 10000', 4)}, '\\nFax: ', {case(('k % 2 = 0', chr(39) + '305-100-2000' + chr(39)))}, ' \\nContact: Ann Arbor (dispatcher\\n')")},
     'Please Sign\\n')"""
@@ -348,7 +340,7 @@ FLAT_DELIVERIES = "CAST(c % 4 AS INTEGER)"
 FLAT_HEADER_TRUTH = {
     "broker_name": f"'{UTB_BROKER}'",
     "broker_phone": UTB_TEL,
-    "broker_fax": "'305-819-7146'",
+    "broker_fax": "'305-555-0146'",
     # the address ends at the first space
     "broker_address": S("100 + c % 900"),
     "broker_city": f"('NW ' || {S('k % 90')} || ' Court Miami Lakes')",
@@ -385,7 +377,7 @@ def _flat_stop(label: str, kind: str) -> str:
 
 
 FLAT_TEXT = f"""concat('*Trip #:* ', k, '\\n{UTB_BROKER}\\n', 100 + c % 900, ' NW ', k % 90, ' Court\\nMiami Lakes, FL  33016\\n',
-    'Tel: ', {UTB_TEL}, '\\nFax: 305-819-7146\\nZ', k, '@usatruckbrokers.com a', c, '@usatruckbrokers.com\\n',
+    'Tel: ', {UTB_TEL}, '\\nFax: 305-555-0146\\nZ', k, '@usatruckbrokers.com a', c, '@usatruckbrokers.com\\n',
     'Carrier HAUL ', c, '\\nMC # ', 1000 + c, '\\nAddress 120 9th st\\nCity SAN ANTONIO, TX   78215\\nPhone 786-796-', {pad('c % 10000', 4)},
     '\\nContact Ann Arbor\\nService none\\n',
     array_join({per_stop(_flat_stop('PickUp', 'pickup'), FLAT_PICKUPS)}, ''),
@@ -431,7 +423,7 @@ PLAIN_HEADER_TRUTH = {
     **HEADER_TRUTH,
     "broker_name": f"'{rs.CY_NAME}'",
     "broker_phone": AGENT_PHONE,
-    "broker_fax": "'+1 (847) 810 4891'",
+    "broker_fax": "'+1 (555) 012 4891'",
     **{f: f"'{v}'" for f, v in rs.CY_OFFICE.items()},
     "broker_email": AGENT_EMAIL,
     "loadConfirmationNumber": S("k"),
@@ -446,7 +438,7 @@ _PLAIN_STOP = f"""concat('Stop ', i, ': ', {case((PLAIN_PICKUP, "'Pick Up'"), de
     ' Facility United Mills Address ', {PLAIN_OAK}, {_by_form(0)}, {ZIP5}, ' \nContact None Phone 1\n')"""
 PLAIN_TEXT = f"""concat('Load ', k, '\n', '{" ".join(rs.CY_OFFICE[f] for f in ("broker_address", "broker_city"))}, GA 30005\n',
     'Line Haul USD $ ', format_number(price, 2), '\n## Booked By\nAgent ', {AGENT_EMAIL}, ' Phone: ', {AGENT_PHONE},
-    '\nFax: +1 (847) 810 4891\n## Carrier\nCarrier Legal Name - ', {CARRIER_NAME}, ' [active]\nCarrier USDOT - ', c,
+    '\nFax: +1 (555) 012 4891\n## Carrier\nCarrier Legal Name - ', {CARRIER_NAME}, ' [active]\nCarrier USDOT - ', c,
     '\nCarrier desk Email ', {CARRIER_EMAIL}, '\n', array_join({per_stop(_PLAIN_STOP, PLAIN_STOPS)}, ''))"""
 
 

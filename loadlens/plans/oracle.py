@@ -93,7 +93,7 @@ BOOKED_BY = case(
     (f"{fx.EMPTY} OR {fx.NO_DESK}", "''"),
     (fx.SILENT_DESK, "'Desk agent'"),
     default=f"'Agent One ' || {fx.AGENT_EMAIL} || ' Phone: ' || {fx.AGENT_PHONE} || chr(10) || 'Fax: ' || "
-    + case(("k % 3 = 0", "'None'"), default="'+1 (847) 810 4891'"),
+    + case(("k % 3 = 0", "'None'"), default="'+1 (555) 012 4891'"),
 )
 
 PLAIN_STOPS = _stops(
@@ -247,7 +247,6 @@ RULESETS = f"""WITH {ORDERS}, x(ruleset, form, wrong) AS (VALUES {_errors}),
         {_percent('business_matches', 'business_total')} AS business_accuracy FROM t"""
 
 BLANK = f"({fx.EMPTY} OR status IN ('O', 'F'))"
-_blanked = lambda f: f"{case((BLANK, chr(39) * 2), default=fx.HEADER_TRUTH[f])} AS {f}"
 _office = lambda value: case(("status = 'P'", "''"), default=value)
 
 FILLED = ", ".join(
@@ -260,17 +259,23 @@ ORACLE = {
     "extract_wide": f"{CY_WIDE} SELECT {_columns(rs.CY.fields)} FROM w",
     "extract_utb_a": f"{UTB_WIDE} SELECT {_columns(rs.UTB.fields)} FROM w",
     "extract_utb_b": f"{FLAT_WIDE} SELECT {_columns(rs.UTB_FLAT.fields)} FROM w",
-    "empty_docs": f"WITH {ORDERS} SELECT {CY_FILE} AS source_file, "
-    + ", ".join(_blanked(f) for f in ("broker_name", "broker_phone", "broker_email", "loadConfirmationNumber", "carrier_name"))
-    + " FROM o",
+    "empty_docs": f"{CY_WIDE} SELECT source_file, "
+    + ", ".join(f"CASE WHEN {BLANK} THEN '' ELSE {f} END AS {f}" for f in rs.CY.fields)
+    + " FROM w",
     "vendor_route": " UNION ALL ".join(
-        f"SELECT * FROM ({wide} SELECT '{source}' AS source, source_file, loadConfirmationNumber, totalCarrierPay, carrier_name, {contact} AS carrier_contact, {second} AS pickup_zipcode_2 FROM w)"
+        f"SELECT * FROM ({wide} SELECT '{source}' AS source, source_file, true AS routed, loadConfirmationNumber, totalCarrierPay, carrier_name, {contact} AS carrier_contact, {second} AS pickup_zipcode_2 FROM w)"
         for source, wide, contact, second in (
             ("CY", CY_WIDE, "''", "''"),
             ("UTB", UTB_WIDE, "carrier_contact", "pickup_zipcode_2"),
             ("UTBFLAT", FLAT_WIDE, "carrier_contact", "''"),
         )
-    ),
+    )
+    + f" UNION ALL SELECT * FROM (WITH {ORDERS} SELECT CASE status WHEN 'O' THEN 'cy' WHEN 'F' THEN 'NEW' END AS source, {CY_FILE} AS source_file, "
+    "false AS routed, '' AS loadConfirmationNumber, '' AS totalCarrierPay, '' AS carrier_name, '' AS carrier_contact, '' AS pickup_zipcode_2 FROM o)",
+    "stops_all": f"WITH {ORDERS}, {CY_STOPS} SELECT {CY_FILE} AS source_file, type, CAST(rk AS INTEGER) AS rk, customer, city, zipcode, start_datetime FROM s",
+    "stops_beyond_slots": f"WITH {ORDERS}, {CY_STOPS}, t(type, slots) AS (VALUES ('pickup', 1), ('delivery', 2)), "
+    "n AS (SELECT o.k, t.type, t.slots, CAST((SELECT count(*) FROM s WHERE s.k = o.k AND s.type = t.type) AS INTEGER) AS stops FROM o, t) "
+    f"SELECT {CY_FILE} AS source_file, type, stops, slots, greatest(stops - slots, 0) AS beyond FROM n",
     "stops_long": f"WITH {ORDERS}, {ALL_CY_STOPS} SELECT {CY_FILE} AS source_file, CAST(i AS INTEGER) AS pos, type, CAST(i AS INTEGER) AS number FROM s",
     "stops_valid": f"WITH {ORDERS}, {CY_STOPS} SELECT {CY_FILE} AS source_file, CAST(row_number() OVER (PARTITION BY k ORDER BY i) AS INTEGER) AS pos, type, CAST(i AS INTEGER) AS number FROM s",
     "stops_ranked": f"WITH {ORDERS}, {CY_STOPS} SELECT {CY_FILE} AS source_file, type, CAST(rk AS INTEGER) AS rk, CAST(i AS INTEGER) AS number FROM s WHERE {KEPT}",
@@ -288,7 +293,8 @@ ORACLE = {
         },
     ),
     "broker_fallback": _header(("broker_email", "broker_phone")),
-    "section_slice": f"WITH {ORDERS} SELECT {CY_FILE} AS source_file, {BOOKED_BY} AS booked_by FROM o",
+    "section_slice": f"WITH {ORDERS} SELECT {CY_FILE} AS source_file, {BOOKED_BY} AS section FROM o "
+    f"UNION ALL SELECT {UTB_FILE}, {fx.UTB_HEADER_TRUTH['broker_phone']} FROM o",
     "carrier_id": _header(("loadConfirmationNumber", "carrier_name", "carrier_mc")),
     "carrier_email": _header(("carrier_email",)),
     "pay_extract": _header(("totalCarrierPay",)),
@@ -298,7 +304,10 @@ ORACLE = {
     f"{case(('status = ' + chr(39) + 'O' + chr(39), fx.AMOUNT))} AS free_digits FROM o",
     "broker_addr": f"WITH {ORDERS} SELECT '/' || {S('k')} AS source_file, "
     + _office(f"{S('900 + k % 90')} || ' Northpoint Parkway Suite ' || {S('100 + c % 50')}")
-    + f" AS broker_address, {_office(chr(39) + 'Alpharetta' + chr(39))} AS broker_city, {_office(chr(39) + 'GA' + chr(39))} AS broker_state, {_office(S('30000 + k % 100'))} AS broker_zipcode FROM o",
+    + f" AS broker_address, {_office(chr(39) + 'Alpharetta' + chr(39))} AS broker_city, {_office(chr(39) + 'GA' + chr(39))} AS broker_state, {_office(S('30000 + k % 100'))} AS broker_zipcode, "
+    + _office(f"'960 Northpoint Parkway Suite ' || {S('100 + c % 50')}")
+    + f" AS second_broker_address, {_office(chr(39) + 'Alpharetta' + chr(39))} AS second_broker_city, {_office(chr(39) + 'GA' + chr(39))} AS second_broker_state, "
+    + f"{_office(S('30000 + k % 100'))} AS second_broker_zipcode FROM o",
     **DATES,
     "norm_text": f"SELECT doc_id, {NORM_TEXT} AS text FROM documents",
     "norm_lines": f"SELECT doc_id, {NORM_LINES} AS text FROM documents",
@@ -313,8 +322,8 @@ ORACLE = {
     "path_target": "SELECT page_id, '/lake/txt/' || regexp_replace(replace(url, '://', '/') || CASE WHEN url LIKE '%#top' THEN '.PDF' ELSE '' END, "
     + r"'([^/.]\.*)\.[^./]*$', '\1') || '.txt' AS path FROM pages",
     "norm_all_strings": "SELECT c_custkey, lower(trim(c_name)) AS c_name, c_nationkey, c_acctbal, lower(trim(c_mktsegment)) AS c_mktsegment FROM customer",
-    "page_assemble": f"SELECT conv_id, CAST(turn // 10000 AS INTEGER) AS part, string_agg(coalesce(text, ''), chr(10) || chr(10) ORDER BY turn) AS text FROM {PAGES} GROUP BY ALL",
-    "page_assemble_skip": f"SELECT conv_id, CAST(turn // 10000 AS INTEGER) AS part, coalesce(string_agg(CASE WHEN text <> '' THEN text || chr(10) END, '' ORDER BY turn), '') AS text FROM {PAGES} GROUP BY ALL",
+    "page_assemble": f"SELECT conv_id, string_agg(coalesce(text, ''), chr(10) || chr(10) ORDER BY turn) AS text FROM {PAGES} GROUP BY ALL",
+    "page_assemble_skip": f"SELECT conv_id, coalesce(string_agg(CASE WHEN text <> '' THEN text || chr(10) END, '' ORDER BY turn), '') AS text FROM {PAGES} GROUP BY ALL",
     "source_audit": "SELECT source, count(*) AS files, min('/lake/raw/txt/source=' || source || '/' || doc_id || '.txt') AS first_file, max('/lake/raw/txt/source=' || source || '/' || doc_id || '.txt') AS last_file, CAST(sum(length(text)) AS BIGINT) AS characters FROM documents GROUP BY source",
     "convert_ledger": "SELECT source, count(*) FILTER (quality = 1) AS converted, count(*) FILTER (coalesce(quality, 0) <> 1) AS failed FROM documents LEFT JOIN labels USING (doc_id) GROUP BY source",
     "validate_fields": f"{RESULTS} SELECT * FROM r",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from ..functions import text as tx
 from ..operators import pages, segment
 from ..operators import validate as v
 from ..operators.extract import Rule, extract, extract_routed, header, stop_rows
+from ..operators.extract import stops_beyond_slots as beyond_slots
 from ..sources.tables import keep_old_columns
 from . import fixtures as fx
 from . import rulesets as rs
@@ -46,20 +49,23 @@ def empty_docs(spark, sf):
     """Documents without text: null for open orders, white space for finished ones."""
     docs = fx.confirmations(spark, sf)
     blank = F.when(F.col("status") == "O", F.lit(None)).when(F.col("status") == "F", F.lit(" \n \t ")).otherwise(F.col("text"))
-    wide = extract(docs.withColumn("text", blank), rs.CY)
-    return wide.select("source_file", "broker_name", "broker_phone", "broker_email", "loadConfirmationNumber", "carrier_name")
+    return extract(docs.withColumn("text", blank), rs.CY)
 
 
 def vendor_route(spark, sf):
-    """Documents of three sources, each parsed by its own rule set."""
+    """Documents of three sources, each parsed by its own rule set, and some of sources without one."""
     docs = [
         make(spark, sf).select(F.lit(source).alias("source"), "source_file", "text")
         for source, make in (("CY", fx.confirmations), ("UTB", fx.utb_documents), ("UTBFLAT", fx.flat_documents))
     ]
-    merged = docs[0].unionByName(docs[1]).unionByName(docs[2])
+    others = fx.confirmations(spark, sf)
+    other = F.when(F.col("status") == "O", "cy").when(F.col("status") == "F", "NEW")
+    docs.append(others.select(other.alias("source"), "source_file", "text"))
+    merged = reduce(lambda a, b: a.unionByName(b), docs)
     wide = extract_routed(merged, {"CY": rs.CY, "UTB": rs.UTB, "UTBFLAT": rs.UTB_FLAT})
     return wide.select(
-        "source", "source_file", "loadConfirmationNumber", "totalCarrierPay", "carrier_name", "carrier_contact", "pickup_zipcode_2"
+        "source", "source_file", "routed", "loadConfirmationNumber", "totalCarrierPay", "carrier_name", "carrier_contact",
+        "pickup_zipcode_2",
     )
 
 
@@ -82,7 +88,7 @@ def stops_ranked(spark, sf):
 
 
 def _stops(spark, sf, *fields):
-    return stop_rows(fx.confirmations(spark, sf), rs.CY).select("source_file", "type", "rk", *fields)
+    return stop_rows(fx.confirmations(spark, sf), rs.CY, capped=True).select("source_file", "type", "rk", *fields)
 
 
 def stops_facility(spark, sf):
@@ -97,6 +103,16 @@ def stops_time(spark, sf):
     return _stops(spark, sf, "start_datetime", "end_datetime")
 
 
+def stops_all(spark, sf):
+    """Every stop in long form, those without a slot in the wide row included."""
+    rows = stop_rows(fx.confirmations(spark, sf), rs.CY)
+    return rows.select("source_file", "type", "rk", "customer", "city", "zipcode", "start_datetime")
+
+
+def stops_beyond_slots(spark, sf):
+    return beyond_slots(fx.confirmations(spark, sf), rs.CY)
+
+
 def stops_unanchored(spark, sf):
     """Stops found anywhere in a line; the last block ends at its closing label."""
     docs = fx.plain_confirmations(spark, sf)
@@ -107,7 +123,7 @@ def stops_unanchored(spark, sf):
 
 
 def stops_time_variant(spark, sf):
-    rows = stop_rows(fx.plain_confirmations(spark, sf), rs.CY_1)
+    rows = stop_rows(fx.plain_confirmations(spark, sf), rs.CY_1, capped=True)
     return rows.select("source_file", "type", "rk", "customer", "address", "city", "start_datetime", "end_datetime")
 
 
@@ -136,8 +152,13 @@ def broker_fallback(spark, sf):
 
 
 def section_slice(spark, sf):
-    docs = _normalised(fx.confirmations(spark, sf))
-    return docs.select("source_file", tx.strip(segment.section(F.col("_text"), "booked_by")).alias("booked_by"))
+    """The broker's block of one layout and the invoice block of the other."""
+    of = lambda docs, profile, name: _normalised(docs, profile).select(
+        "source_file", tx.strip(segment.section(F.col("_text"), name)).alias("section")
+    )
+    booked = of(fx.confirmations(spark, sf), "blocks", "booked_by")
+    invoice = of(fx.utb_documents(spark, sf), "lines", "send_invoice")
+    return booked.unionByName(invoice.withColumn("section", F.regexp_extract("section", tx.rx("Tel[:\\s]*([0-9-]+)"), 1)))
 
 
 def carrier_id(spark, sf):
@@ -171,12 +192,16 @@ def pay_extract_variants(spark, sf):
 
 
 def broker_addr(spark, sf):
-    """Broker office read from the text, by the first and the second pattern."""
+    """Broker office read from the text, by the pattern of the first generation and that of the second."""
     base = fx.orders(spark, sf)
     office = "concat('Office ', 900 + k % 90, ' Northpoint Parkway Suite ', 100 + c % 50, ' Alpharetta, GA ', 30000 + k % 100, ' end')"
     docs = base.selectExpr("concat('/', k) AS source_file", f"CASE WHEN status = 'P' THEN 'none' ELSE {office} END AS text")
     first = _header(docs, (rs.CY1_OFFICE,))
-    return first.select("source_file", *[F.col(f) for f in rs.CY1_OFFICE.fields])
+    second = docs.withColumn("text", F.regexp_replace("text", r"Office \d+", "Office 960"))
+    second = _header(second, (rs.CY2_OFFICE,)).select(
+        F.col("source_file").alias("file"), *[F.col(f).alias(f"second_{f}") for f in rs.CY2_OFFICE.fields]
+    )
+    return first.join(second, F.col("source_file") == F.col("file")).drop("file")
 
 
 # --- scalars ----------------------------------------------------------------------
@@ -392,7 +417,7 @@ QUERIES = {
     for f in (
         extract_wide, extract_utb_a, extract_utb_b, empty_docs, vendor_route,
         stops_long, stops_valid, stops_ranked, stops_facility, stops_geo, stops_time,
-        stops_unanchored, stops_time_variant, stops_by_type,
+        stops_all, stops_beyond_slots, stops_unanchored, stops_time_variant, stops_by_type,
         broker_contact, broker_fallback, section_slice, carrier_id, carrier_email,
         pay_extract, pay_extract_variants, broker_addr,
         dt_combine, dt_combine_us, dt_combine_strict,

@@ -9,6 +9,7 @@ from ..functions import text as tx
 from ..operators.extract import Computed, Fallback, Group, Rule, Ruleset
 from ..operators.segment import Splitter
 from ..operators.stops import FIELDS, BlockStop, Facility, Geo, LabelledStop, NumberedStop, ScheduledTimes, Times
+from ..sources.documents import Reader
 
 BROKER = tuple(f"broker_{f}" for f in ("name", "phone", "fax", "address", "city", "state", "zipcode", "email"))
 CARRIER = tuple(f"carrier_{f}" for f in ("name", "mc", "address", "city", "state", "zipcode", "phone", "fax"))
@@ -124,8 +125,7 @@ OPERATIONAL = (
 )
 SLIC_WORD = (r"\bSLIC\b", "", "i")
 SLIC_AND_CODE = (r"SLIC\s*(?:N/A|\S+)?", "", "i")
-ROAD_WORDS = "RD DR AVE ST BLVD HWY WAY CT PKWY LN PL TER CIR LOOP RTE SQ FWY BYP".split()
-ROAD = rf"^(.+?\b(?:{'|'.join(ROAD_WORDS)})\b\.?)\s+([A-Za-z].+)$"
+ROAD = r"^(.+?\b(?:RD|DR|AVE|ST|BLVD|HWY|WAY|CT|PKWY|LN|PL|TER|CIR|LOOP|RTE|SQ|FWY|BYP)\b\.?)\s+([A-Za-z].+)$"
 
 GEO_1 = Geo(
     "labelled",
@@ -150,7 +150,7 @@ THREE_EACH = {"pickup": 3, "delivery": 3}
 ONE_AND_TWO = {"pickup": 1, "delivery": 2}
 
 
-def _cy(version: int, header, constants, splitter, stop, caps, stamp=None) -> Ruleset:
+def _cy(version: int, header, constants, splitter, stop, caps, stamp=None, reader=Reader()) -> Ruleset:
     return Ruleset(
         f"cy_{version}",
         "blocks",
@@ -161,6 +161,7 @@ def _cy(version: int, header, constants, splitter, stop, caps, stamp=None) -> Ru
         stop,
         caps,
         stamp,
+        reader,
     )
 
 
@@ -172,6 +173,7 @@ CY_1 = _cy(
     BlockStop(FACILITY_1, GEO_1, CY1_TIMES),
     THREE_EACH,
     "utc",
+    Reader(binary=True, path_steps="any_folder", file_columns=True),
 )
 CY_2 = _cy(
     2,
@@ -180,6 +182,7 @@ CY_2 = _cy(
     Splitter("line", caps=THREE_EACH),
     BlockStop(FACILITY_2, GEO_2, CY_TIMES),
     THREE_EACH,
+    reader=Reader(binary=True, path_steps="no_file_prefix", encoded_path=False, file_columns=True),
 )
 CY_3 = _cy(
     3,
@@ -209,6 +212,17 @@ CY = CY_5
 
 # --- vendor UTB -------------------------------------------------------------------
 
+# The labels of the carrier table in order, each with the least that the pattern below takes after it.
+CARRIER_TABLE_GUARD = tx.in_order(
+    r"Trailer VIN Number",
+    r"Carrier\s+[A-Z0-9 &.\-]",
+    r"MC\s*#[:\s]*\d",
+    r"Address[:\s]*[0-9A-Za-z\s#.,\-]",
+    r"City[:\s]*[A-Za-z\s]+,\s*[A-Z]{2}\s*\d{5}",
+    r"Phone[:\s]*[\d\-\s()]",
+    r"Fax[:\s]*",
+    r"Contact[:\s]*[A-Za-z\s\-.,()]+?(?=\s*(?:Truck VIN Number|Trailer VIN Number|Total|Please Sign|$))",
+)
 US_PHONE = r"(\(?\d{3}\)?[-\s]?\d{3}[-\s]?\d{4})"
 UTB_HEADER = (
     Rule("broker_name", (r"(USA Truck Brokers Inc\.?)",), "send_invoice"),
@@ -233,6 +247,7 @@ UTB_HEADER = (
         r"Fax[:\s]*([\d\-\s()]*).*?"
         r"Contact[:\s]*([A-Za-z\s\-.,()]+?)(?=\s*(?:Truck VIN Number|Trailer VIN Number|Total|Please Sign|$))",
         flags="is",
+        guard=CARRIER_TABLE_GUARD,
     ),
 )
 UTB_STOP = LabelledStop(
@@ -265,6 +280,7 @@ UTB = Ruleset(
     stop=UTB_STOP,
     caps=THREE_EACH,
     stamp="utc",
+    reader=Reader(binary=True, path_steps="raw"),
 )
 
 LONG_NUMBER = r"([\d\-\s]{10,})"
@@ -298,9 +314,18 @@ UTB_FLAT = Ruleset(
         r"Address\s*#\s*1:\s*(.*?)\s+{label}\s*Time:\s*([\d:]+)\s*-\s*([\d:]+).*?"
         r"City:\s*([^,:]+?),\s*([A-Z]{2})\s+.*?Zip\s*Code:\s*(\d{5})",
         {"pickup": "PickUp", "delivery": "Delivery"},
+        guard=tx.in_order(
+            r"{label}\s*#\s*{number}\s+Customer:",
+            r"\s+{label}\s*Date:\s*[\d\-/]",
+            r"Address\s*#\s*1:",
+            r"\s+{label}\s*Time:\s*[\d:]+\s*-\s*[\d:]",
+            r"City:\s*[^,:]+?,\s*[A-Z]{2}\s",
+            r"Zip\s*Code:\s*\d{5}",
+        ),
     ),
     caps=ONE_AND_TWO,
     stamp="local",
+    reader=Reader(binary=True, path_steps="flat", glob="*", merge_schema=False),
 )
 
 RULESETS = {r.name: r for r in (CY_1, CY_2, CY_3, CY_4, CY_5, UTB, UTB_FLAT)}

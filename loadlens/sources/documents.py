@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,7 +40,7 @@ def read_binary(
         .load(path)
     )
     name = F.col("_metadata.file_path") if encoded_path else F.col("path")
-    extra = ["path", "modificationTime", "length"] if file_columns else []
+    extra = FILE_COLUMNS if file_columns else ()
     return files.select(
         canonical_path(name, PATH_STEPS[path_steps]).alias("source_file"),
         F.col("content").cast("string").alias("text"),
@@ -46,6 +48,29 @@ def read_binary(
     )
 
 
+@dataclass(frozen=True)
+class Reader:
+    """How the documents of a rule set are read, and whether its table keeps columns it no longer writes."""
+
+    binary: bool = False
+    path_steps: str = "current"
+    glob: str = "*.txt"
+    encoded_path: bool = True
+    file_columns: bool = False
+    merge_schema: bool = True
+
+    def read(self, spark: SparkSession, path: str) -> DataFrame:
+        if not self.binary:
+            return read_text(spark, path, self.path_steps, self.glob)
+        return read_binary(
+            spark, path, self.path_steps, self.glob, encoded_path=self.encoded_path, file_columns=self.file_columns
+        )
+
+
+#: What binary files bring beside their content.
+FILE_COLUMNS = ("path", "modificationTime", "length")
+
+
 def read_vendors(spark: SparkSession, base: str, path_steps: str = "current", glob: str = "*.txt") -> DataFrame:
     """Files under source=<vendor> directories, with the vendor in the source column."""
     files = (

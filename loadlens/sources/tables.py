@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,11 +12,12 @@ log = logging.getLogger(__name__)
 
 
 def truncate(spark: SparkSession, name: str) -> bool:
-    """Empty a table before a reload; a table that is not there only warns."""
-    if not spark.catalog.tableExists(name):
-        log.warning("nothing to truncate: %s", name)
+    """Empty a table before a reload; whatever stands in the way only warns."""
+    try:
+        spark.sql(f"TRUNCATE TABLE {name}")
+    except PySparkException as error:
+        log.warning("not truncated: %s: %s", name, error)
         return False
-    spark.sql(f"TRUNCATE TABLE {name}")
     return True
 
 

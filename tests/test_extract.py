@@ -1,10 +1,15 @@
 """Stops, places, facilities and whole documents on hand-written text."""
 
+import random
+import re
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
+from loadlens.functions import text as tx
 from loadlens.operators import segment
-from loadlens.operators.extract import extract, extract_each, extract_routed, stop_rows
+from loadlens.operators.extract import extract, extract_each, extract_routed, stop_rows, stops_beyond_slots
 from loadlens.plans import rulesets as rs
 
 LINE = segment.Splitter("line")
@@ -63,11 +68,11 @@ def test_typed_blocks(spark):
 
 
 PLACES = [
-    ("450 SONORA DRIVE GATE D Clewiston, FL 33440", "450 SONORA DRIVE GATE D", "Clewiston", "FL", "33440"),
-    ("220 GREENWOOD CT SUITE 230 McDonough, GA 30253", "220 GREENWOOD CT SUITE 230", "McDonough", "GA", "30253"),
-    ("5000 BOHANNON DR Building A Building A Fairburn, GA 30213", "5000 BOHANNON DR BUILDING A BUILDING A", "Fairburn", "GA", "30213"),
-    ("6123 Sawyer Road Sarasota, FL 34238", "6123 SAWYER ROAD", "Sarasota", "FL", "34238"),
-    ("885 DOUGLAS HILLS RD Lithia Springs, GA 30122-3626", "885 DOUGLAS HILLS RD", "Lithia Springs", "GA", "30122-3626"),
+    ("450 SAMPLE DRIVE GATE D Milltown, FL 33440", "450 SAMPLE DRIVE GATE D", "Milltown", "FL", "33440"),
+    ("220 TESTWOOD CT SUITE 230 McExample, GA 30253", "220 TESTWOOD CT SUITE 230", "McExample", "GA", "30253"),
+    ("5000 EXAMPLE DR Building A Building A Fairtown, GA 30213", "5000 EXAMPLE DR BUILDING A BUILDING A", "Fairtown", "GA", "30213"),
+    ("6123 Tester Road Sampleton, FL 34238", "6123 TESTER ROAD", "Sampleton", "FL", "34238"),
+    ("885 SOME HILLS RD Test Springs, GA 30122-3626", "885 SOME HILLS RD", "Test Springs", "GA", "30122-3626"),
     ("12 MAIN ST 5 AVE North Bend, wa 98045", "12 MAIN ST 5 AVE", "North Bend", "WA", "98045"),
     ("1 A St. Louis, MO 63101", "1 A ST.", "Louis", "MO", "63101"),
     ("10 OAK RD Big Town, GA see 30122", "10", "Town", "GA", "30122"),
@@ -139,6 +144,57 @@ def test_routing_by_source(spark):
     df = docs(spark, "Load 5", "Trip #: T-6").withColumn("source", F.when(F.col("text") == "Load 5", "CY").otherwise("UTB"))
     rows = extract_routed(df, {"CY": rs.CY, "UTB": rs.UTB}).collect()
     assert {(r.source, r.loadConfirmationNumber, r.carrier_contact) for r in rows} == {("CY", "5", ""), ("UTB", "T-6", "")}
+    odd = df.withColumn("source", F.when(F.col("source") == "CY", "cy")).select("source", "source_file", "text")
+    rows = extract_routed(odd, {"CY": rs.CY, "UTB": rs.UTB}).collect()
+    assert {(r.source, r.routed, r.loadConfirmationNumber) for r in rows} == {("cy", False, ""), (None, False, "")}
+
+
+def test_all_stops_and_those_without_a_slot(spark):
+    text = "\n".join(f"Stop {i}: Delivery\nAddress {i} OAK RD Town, GA 3012{i} \nContact None" for i in range(1, 6))
+    df = docs(spark, text)
+    assert [r.zipcode for r in stop_rows(df, rs.CY).orderBy("rk").collect()] == [f"3012{i}" for i in range(1, 6)]
+    assert [r.rk for r in stop_rows(df, rs.CY, capped=True).orderBy("rk").collect()] == [1, 2]
+    assert {(r.type, r.stops, r.slots, r.beyond) for r in stops_beyond_slots(df, rs.CY).collect()} == {("pickup", 0, 1, 0), ("delivery", 5, 2, 3)}
+
+
+BLOCK = "Trailer VIN Number x Carrier HAUL {n} MC # {n} Address: 1 ROAD City: Town, GA 30122 Phone: 5 Fax: 6 "
+FLAT_BLOCK = "PickUp # 1 Customer: A PickUp Date: 01/02/2023 Address # 1: 1 ROAD PickUp Time: 08:00:00 - 09:00:00 City: Town, GA x "
+
+
+def test_repeated_blocks_without_the_last_label_end(spark):
+    """A document of 100 KB that never matches is given up in one pass."""
+    start = time.monotonic()
+    long = docs(spark, "".join(BLOCK.format(n=i) for i in range(1000)))
+    assert extract(long, rs.UTB).first().carrier_mc == ""
+    flat = docs(spark, FLAT_BLOCK * 1000)
+    assert extract(flat, rs.UTB_FLAT).first().pickup_zipcode_1 == ""
+    assert time.monotonic() - start < 60
+
+
+def test_guards_hold_for_every_match(spark):
+    """Random texts of the labels: with and without guard, the same groups."""
+    rnd = random.Random(4)
+    rule = next(r for r in rs.UTB_HEADER if getattr(r, "guard", None))
+    parts = re.split(r"(?=Trailer|Carrier|MC|Address|City|Phone|Fax|Contact)", BLOCK.format(n=7) + "Contact: Ann Total")
+    pattern, guard = rs.UTB_FLAT.stop.pattern, rs.UTB_FLAT.stop.guard
+    fill = lambda p: p.replace("{label}", "PickUp").replace("{number}", "1")
+    flat = re.split(r"(?=PickUp|Address|City|Zip)", FLAT_BLOCK + "Zip Code: 30122 ")
+    texts = []
+    for words in (parts, flat):
+        for _ in range(200):
+            new = [w for w in words if rnd.random() > 0.05]
+            for _ in range(rnd.randrange(3)):
+                new.insert(rnd.randrange(len(new) + 1), rnd.choice(words))
+            texts.append("".join(new))
+    table = lambda g: tx.captures(F.col("text"), rule.pattern, len(rule.fields), rule.flags, g)
+    stop = lambda g: tx.captures(F.col("text"), fill(pattern), 8, guard=g)
+    read = lambda c, n: F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: F.coalesce(F.get(c, i), F.lit("")))
+    got = docs(spark, *texts).select(
+        read(table(None), 9).alias("a"), read(table(rule.guard), 9).alias("b"),
+        read(stop(None), 8).alias("c"), read(stop(fill(guard)), 8).alias("d"),
+    ).collect()
+    assert all(r.a == r.b and r.c == r.d for r in got)
+    assert sum(r.a[0] != "" for r in got) > 20 and sum(r.c[0] != "" for r in got) > 20
 
 
 def test_generations_in_one_pass_equal_single_runs(spark):

@@ -6,9 +6,10 @@ import parity
 import pytest
 
 import __spark_entry__ as entry_points
+from loadlens.plans.oracle import ORACLE
+from loadlens.plans.queries import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLE = entry_points.queries(), entry_points.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -18,6 +19,7 @@ def duck():
 
 def test_every_query_is_checked():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_points.queries()) and set(ORACLE) <= set(entry_points.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -80,12 +80,12 @@ def test_load_and_validate(spark, folder):
 
 
 def test_load_vendors(spark, tmp_path):
-    for source, text in (("CY", "Load 8"), ("UTB", "Trip #: 9")):
+    for source, text in (("CY", "Load 8"), ("UTB", "Trip #: 9"), ("NEW", "Load 10")):
         (tmp_path / f"source={source}").mkdir()
         (tmp_path / f"source={source}" / "x.txt").write_text(text)
-    assert pipeline.load_vendors(spark, str(tmp_path), "loads_all", {"CY": rs.CY, "UTB": rs.UTB}) == 2
+    assert pipeline.load_vendors(spark, str(tmp_path), "loads_all", {"CY": rs.CY, "UTB": rs.UTB}) == 3
     rows = spark.table("loads_all").collect()
-    assert {(r.source, r.loadConfirmationNumber) for r in rows} == {("CY", "8"), ("UTB", "9")}
+    assert {(r.source, r.routed, r.loadConfirmationNumber) for r in rows} == {("CY", True, "8"), ("UTB", True, "9"), ("NEW", False, "")}
     routed = documents.read_vendors(spark, str(tmp_path)).filter("source = 'CY'")
     assert "PartitionFilters: [isnotnull(source" in routed._jdf.queryExecution().executedPlan().toString()
 
@@ -95,17 +95,60 @@ PAGES = [("a", 2, "two"), ("a", 1, None), ("a", 3, "three"), ("b", 1, ""), ("b",
 
 def test_assemble(spark):
     df = spark.createDataFrame(PAGES, "doc string, page_no int, text string")
-    whole = {r.doc: (r.part, r.text) for r in pages.assemble(df, ["doc"]).collect()}
-    assert whole == {"a": (0, "\n\ntwo\n\nthree"), "b": (0, "\n\n"), "c": (0, "one")}
+    whole = {r.doc: r.text for r in pages.assemble(df, ["doc"]).collect()}
+    assert whole == {"a": "\n\ntwo\n\nthree", "b": "\n\n", "c": "one"}
     filled = {r.doc: r.text for r in pages.assemble_filled(df, ["doc"]).collect()}
     assert filled == {"a": "two\nthree\n", "b": "", "c": "one\n"}
 
 
-def test_long_documents_come_in_parts(spark):
-    df = spark.range(2500).select(F.lit("d").alias("doc"), F.col("id").alias("page_no"), F.col("id").cast("string").alias("text"))
-    parts = pages.assemble(df, ["doc"], pages_per_part=1000).orderBy("part").collect()
-    assert [r.part for r in parts] == [0, 1, 2]
-    assert "\n\n".join(r.text for r in parts) == "\n\n".join(str(i) for i in range(2500))
+def test_long_documents_are_one_row(spark):
+    df = spark.range(25_000).select(F.lit("d").alias("doc"), F.col("id").alias("page_no"), F.col("id").cast("string").alias("text"))
+    (row,) = pages.assemble(df, ["doc"]).collect()
+    assert row.text == "\n\n".join(str(i) for i in range(25_000))
+    some = df.withColumn("text", F.when(F.col("page_no") % 7 == 0, F.col("text")))
+    (row,) = pages.assemble_filled(some, ["doc"], pages_per_range=100).collect()
+    assert row.text == "".join(f"{i}\n" for i in range(0, 25_000, 7))
+
+
+def test_pages_without_a_number_come_last(spark):
+    df = spark.createDataFrame([("a", None, "z"), ("a", 2, "two"), ("a", None, "b"), ("a", 1, "one")], "doc string, page_no int, text string")
+    assert [r.text for r in pages.assemble(df, ["doc"]).collect()] == ["one\n\ntwo\n\nb\n\nz"]
+    assert [r.text for r in pages.assemble_filled(df, ["doc"]).collect()] == ["one\ntwo\nb\nz\n"]
+
+
+def test_convert(spark):
+    rows = [("/in/x/a.pdf", 1, "one", True), ("/in/x/a.pdf", 2, "bad", False), ("/in/b.PDF", 1, None, None)]
+    df = spark.createDataFrame(rows, "source_file string, page_no int, text string, ok boolean")
+    assert [tuple(r) for r in pipeline.convert(df, "converted", "/in", "/out").collect()] == [(1, 1)]
+    assert [tuple(r) for r in spark.table("converted").collect()] == [("/in/x/a.pdf", "/out/x/a.txt", "one\n\n", "/out/x")]
+    with pytest.raises(ValueError):
+        pipeline.convert(df.filter("page_no = 9"), "converted", "/in", "/out")
+    assert spark.table("converted").count() == 1
+
+
+def test_load_as_each_rule_set_reads(spark, folder):
+    for name, ruleset in rs.RULESETS.items():
+        table = f"loads_{name}"
+        written = pipeline.load(spark, str(folder), table, ruleset)
+        paths = {r.source_file.replace("file:", "").replace("///", "/") for r in spark.table(table).collect()}
+        columns = set(spark.table(table).columns)
+        assert ({"path", "modificationTime", "length"} <= columns) == ruleset.reader.file_columns
+        # Spark gives no row for a file without bytes
+        if name == "utb":  # paths as they are
+            assert written == 2 and f"{folder}/1%20a.txt" in paths
+        elif name == "utb_flat":  # every file of the folder
+            assert written == 4
+        else:
+            assert written == 2 and any(p.endswith("1 a.pdf") for p in paths)
+
+
+def test_validate_a_table_that_is_not_there(spark, folder):
+    truth = documents.truth_rows(spark, [{"loadConfirmationNumber": "1"}, {"loadConfirmationNumber": "2"}], ["loadConfirmationNumber"])
+    with pytest.raises(ValueError):
+        loadlens.validate(spark, "no_such_table", truth)
+    out = loadlens.validate(spark, "no_such_table", truth, raise_on_error=False)
+    assert {r.kind: r.errors for r in out["errors"].collect()}["unreadable_table"] == 2
+    assert out["missing_loads"].count() == 2
 
 
 def test_ledger(spark):
