@@ -219,12 +219,27 @@ def extract_each(df: DataFrame, rulesets, text: str = "text", keep=("source_file
     (profile,) = {r.profile for r in rulesets}
     every = list(dict.fromkeys(f for r in rulesets for f in r.fields))
     docs = df.select(*keep, tx.normalise(F.col(text), profile).alias(DOC_TEXT))
+    # header rules that several rule sets have are evaluated once
+    rules = {id(rule): rule for r in rulesets for rule in r.header}
+    of_rule, shared = {}, []
+    for i, (key, rule) in enumerate(rules.items()):
+        names = rule.fields if isinstance(rule, Group) else (rule.field,)
+        of_rule[key] = {n: f"_h{i}_{n}" for n in names}
+        found = header(docs, (rule,))
+        docs = found.select(*keep, DOC_TEXT, *shared, *[F.col(n).alias(c) for n, c in of_rule[key].items()])
+        shared += of_rule[key].values()
     done = []
     for r in rulesets:
-        docs, out = _fields(docs, r)
         null = F.lit(None).cast("string")
-        row = F.struct(F.lit(r.name).alias("ruleset"), *[out.get(f, null).alias(f) for f in every])
-        docs = docs.select(*keep, DOC_TEXT, *done, row.alias(r.name))
+        docs = stop_fields(docs, r)
+        out = {}
+        for rule in r.header:
+            out |= {n: F.col(c) for n, c in of_rule[id(rule)].items()}
+        out |= {n: F.when(F.col(DOC_TEXT) != "", F.lit(v)).otherwise("") for n, v in r.constants.items()}
+        known = set(docs.columns)
+        value = lambda f: out.get(f, F.col(f) if f in known else F.lit("") if f in r.fields else null)
+        row = F.struct(F.lit(r.name).alias("ruleset"), *[value(f).alias(f) for f in every])
+        docs = docs.select(*keep, DOC_TEXT, *shared, *done, row.alias(r.name))
         done.append(r.name)
     return docs.select(*keep, F.inline(F.array(*done)))
 

@@ -395,16 +395,20 @@ def schema_evolve(spark, sf):
     return keep_old_columns(new, old.schema)
 
 
+def _tally(spark, sf):
+    return v.tally(fx.truth(spark, sf), _target(spark, sf))
+
+
 def accuracy_rollup(spark, sf):
-    return v.accuracy(validate_fields(spark, sf)).select("category", "matches", "total", "accuracy")
+    return v.accuracy_of(_tally(spark, sf)).select("category", "matches", "total", "accuracy")
 
 
 def accuracy_business(spark, sf):
-    return v.accuracy(validate_fields(spark, sf)).select("category", "business_matches", "business_total", "business_accuracy")
+    return v.accuracy_of(_tally(spark, sf)).select("category", "business_matches", "business_total", "business_accuracy")
 
 
 def error_ledger(spark, sf):
-    return v.error_ledger(validate_report(spark, sf), 1 + len(rs.CY.fields))
+    return v.errors_of(_tally(spark, sf))
 
 
 def ruleset_compare(spark, sf):
