@@ -35,7 +35,7 @@ PATTERN = re.compile(
     r"(?P<email>[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})"
     r"|(?P<iban>\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b)"
     r"|(?P<key>\bAKIA[0-9A-Z]{16}\b)"
-    r"|(?P<secret>(?<=password=)[^\s\"']{6,}|(?<=token = \")[^\s\"']{8,}|(?<=secret=)[^\s\"']{6,}|(?<=api_key=)[^\s\"']{8,})"
+    r"|(?P<secret>(?:(?<=(?i:password)=)|(?<=(?i:secret)=)|(?<=(?i:api_key)=)|(?<=(?i:token) = \"))[^\s\"']{6,})"
     r"|(?P<card>(?<![\d.+-])\d(?:[ -]?\d){12,18}(?!\.?\d))"
     rf"|(?P<ip>(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?\d))"
     r"|(?P<phone>\+\d{1,3}(?:[ .-]?\(\d{1,4}\)(?:[ .-]?\d{2,4}){2}|[ .-]\d(?:[ .-]\d\d){4}|(?:[ .-]?\d{1,4}){2,3})(?!\d)|\(\d{3}\) ?\d{3}-\d{4}\b)"
@@ -43,7 +43,7 @@ PATTERN = re.compile(
     rf"|\b(?P<title>{_TITLE})\.? (?P<name>[^\W\d_a-z]['’\w-]*[^\W\d_](?: [^\W\d_a-z]['’\w-]*[^\W\d_])?)"
 )
 #: What a text needs to hold any of these.
-HINT = re.compile(rf"[@\d]|password=|token = |secret=|api_key=|\b(?:{_TITLE})\.? ")
+HINT = re.compile(rf"[@\d]|(?i:password=|token = |secret=|api_key=)|\b(?:{_TITLE})\.? ")
 _DIGITS = ("card", "phone", "ssn")
 _ONSETS, _VOWELS = "bdfghklmnprstvz", "aeiou"
 _SCRIPTS = (("а", "я"), ("α", "ω"), ("א", "ת"), ("ا", "ي"), ("あ", "ん"), ("ア", "ン"), ("가", "힣"), ("一", "龥"))
@@ -140,8 +140,8 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
         word = "".join(_ONSETS[draws.below(len(_ONSETS))] + _VOWELS[draws.below(len(_VOWELS))] for _ in range(size))
         ending = {"given_f": "a", "given_m": "o"}.get(kind, "nrsl"[draws.below(4)])
         return word[:-1] + ending if kind in ("given_f", "given_m") else word + ending
-    if kind == "secret" and re.fullmatch("[0-9a-f]+", value):
-        return "".join("0123456789abcdef"[draws.below(16)] for _ in value)
+    if kind == "secret" and (m := re.fullmatch("([0-9a-f]+)|[0-9A-F]+", value)):
+        return "".join(("0123456789abcdef" if m[1] else "0123456789ABCDEF")[draws.below(16)] for _ in value)
     return "".join(_alike(c, draws) for c in value)
 
 
