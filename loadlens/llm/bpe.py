@@ -72,6 +72,7 @@ class ByteBPE:
                 self.left[made], self.right[made], self.rank[made] = left, right, r
         pairs = np.array(sorted(self.merge), np.int64)
         self.pairs, self.pair_rank = pairs, np.array([self.merge[k][0] for k in pairs.tolist()], np.int64)
+        self.pair_made = np.array([self.merge[k][1] for k in pairs.tolist()], np.int64)
         made = np.flatnonzero(self.rank >= 0)
         # a token that merging its bytes would not give is never proposed
         whole = self.compatible(self.left[made], self.right[made], self.rank[made])
@@ -191,6 +192,43 @@ class ByteBPE:
                     heapq.heappush(queue, (merge[k][0], a))
         return [i for i in ids if i >= 0]
 
+    def merged_many(self, words: list[bytes]) -> list[np.ndarray]:
+        """merged() for many short words at once: every round does the next merge of every word."""
+        data = np.frombuffer(b"".join(words), np.uint8)
+        ids, word = self.single[data], np.repeat(np.arange(len(words)), [len(w) for w in words])
+        done_ids, done_word = [], []
+        while len(ids):
+            same = np.append(word[1:] == word[:-1], False)
+            key = ids * self.n + np.append(ids[1:], 0)
+            at = np.searchsorted(self.pairs, key)
+            at[at == len(self.pairs)] = 0
+            rank = np.where(same & (self.pairs[at] == key), self.pair_rank[at], NEVER)
+            first = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+            size = np.diff(np.append(first, len(ids)))
+            least = np.minimum.reduceat(rank, first)
+            ended = np.repeat(least == NEVER, size)
+            done_ids.append(ids[ended])
+            done_word.append(word[ended])
+            # the leftmost pair of the lowest rank of each word
+            best = np.flatnonzero((rank == np.repeat(least, size)) & ~ended)
+            best = best[np.append(True, word[best][1:] != word[best][:-1])] if len(best) else best
+            ids = ids.copy()
+            ids[best] = self.pair_made[at[best]]
+            keep = ~ended
+            keep[best + 1] = False
+            ids, word = ids[keep], word[keep]
+        ids, word = np.concatenate(done_ids or [ids]), np.concatenate(done_word or [word])
+        order = np.argsort(word, kind="stable")
+        return np.split(ids[order], np.searchsorted(word[order], np.arange(1, len(words))))
+
+    def _exact(self, words: list[bytes], failing: list[int]):
+        """(number, ids) of the words that need merging."""
+        short = [i for i in failing if len(words[i]) <= 48]
+        yield from zip(short, self.merged_many([words[i] for i in short]) if short else ())
+        for i in failing:
+            if len(words[i]) > 48:
+                yield i, self.merged(words[i])
+
     def _proposed(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[int]]:
         """The longest matches, and the numbers of the words that have an incompatible pair."""
         word, token = self.longest_matches(words)
@@ -203,8 +241,8 @@ class ByteBPE:
         """The number of tokens of each word."""
         word, _, failing = self._proposed(words)
         out = np.bincount(word, minlength=len(words)).tolist()
-        for i in failing:
-            out[i] = len(self.merged(words[i]))
+        for i, ids in self._exact(words, failing):
+            out[i] = len(ids)
         return out
 
     def encode_words(self, words: list[bytes]) -> list[bytes]:
@@ -213,8 +251,8 @@ class ByteBPE:
         packed = token.astype("<u4").tobytes()
         cut = np.searchsorted(word, np.arange(len(words) + 1)) * 4
         out = [packed[a:b] for a, b in zip(cut[:-1].tolist(), cut[1:].tolist())]
-        for i in failing:
-            out[i] = np.array(self.merged(words[i]), "<u4").tobytes()
+        for i, ids in self._exact(words, failing):
+            out[i] = np.asarray(ids, "<u4").tobytes()
         return out
 
     def pieces(self, text: str) -> list[str]:
