@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions.text import let
 from .shared import SPACES, WORD, stored, word_count
 
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -225,6 +226,7 @@ def mix_texts(
         F.array_sort(F.collect_list(F.struct((F.col("first") + 1).cast("int").alias("first"), F.col("words").cast("int").alias("words")))).alias("_mix_pieces")
     )
     words = F.regexp_extract_all(F.col(text), F.lit(f"({WORD}[{SPACES}]*)"))
-    cut = F.array_join(F.transform("_mix_pieces", lambda p: F.array_join(F.slice("_mix_words", p["first"], p["words"]), "")), "")
-    mixed = kept.join(pieces, "_mix_row").withColumn("_mix_words", words)
+    taken = lambda w: F.transform("_mix_pieces", lambda p: F.array_join(F.slice(w, p["first"], p["words"]), ""))
+    cut = let(words, lambda w: F.array_join(taken(w), ""))  # a text is cut into words once, not once a piece
+    mixed = kept.join(pieces, "_mix_row")
     return mixed.select(*[cut.alias(c) if c == text else F.col(c) for c in docs.columns])
