@@ -283,18 +283,19 @@ def _scores(totals: dict):
     """Rows of a bucket, its model first -> per chunk the sums that its documents get from the bucket."""
 
     def run(batches):
-        own, samples, known = None, [], None
+        own, samples, seen_mean, known = None, [], 0.0, None
         n_all, even = totals["tokens"], 0.1 * (totals["words"] + 1)
         for batch in batches:
             done = []
             for b, model, pairs, holders in zip(*(batch.column(c).to_pylist() for c in ("bucket", "model", "pairs", "holders"))):
                 if model is not None or own != b:
                     seating = Seating(_pairs(model) if model is not None else _added([]), totals, b)
-                    own, samples = b, []
+                    own, samples, seen_mean = b, [], 0.0
                     seating.sweep(BURN_IN)
                     for _ in range(SAMPLES):
                         seating.sweep(BETWEEN)
                         samples.append(seating.sample())
+                        seen_mean = seen_mean + samples[-1].pop("seen") / SAMPLES
                     known = np.bincount(seating.of, seating.c, len(seating.word))
                     codes = seating.of * CONTEXTS + seating.context
                 if pairs is None:
@@ -312,8 +313,8 @@ def _scores(totals: dict):
                 p = np.zeros(len(of))
                 for s in samples:
                     parent = np.where(hit, s["parent"][at], s["unknown"]) if len(known) else np.full(len(word), s["unknown"])
-                    p += np.where(seen, s["seen"][place] if len(codes) else 0.0, s["back"][context] * parent[of])
-                score = np.log10(p / len(samples))
+                    p += s["back"][context] * parent[of] / SAMPLES
+                score = np.log10(np.where(seen, seen_mean[place], p) if len(codes) else p)
                 base = np.log10((c + 0.1) / (n_all + even))[of]
                 each, doc, n = unpack(holders)
                 pair = np.repeat(np.arange(len(of)), each)
@@ -363,12 +364,12 @@ def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     Tokens are the lower-cased words of the text and one end; null and empty texts are an end only. Documents whose
     crc32(doc_id as text) is divisible by 10 are held out of training; a null id counts as ''. Rows that repeat
     count each time. score is the log10 probability of all tokens, averaged over samples before the logarithm; a
-    word not in training has the even part of the parent. The same rows give the same scores up to rounding,
-    however they are partitioned. Other columns are not read. A table without rows gives none. docs must give the same rows in
+    word not in training has the even part of the parent. The same files give the same scores up to rounding; in another number
+    of partitions other seatings are sampled. Other columns are not read. A table without rows gives none. docs must give the same rows in
     the same order when a task is repeated, as tables do.
     """
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    buckets = min(max(docs.rdd.getNumPartitions(), BUCKETS[0]), BUCKETS[1])
+    buckets = min(max(2 * docs.rdd.getNumPartitions(), BUCKETS[0]), BUCKETS[1])  # half a partition's words in memory
     lists = stored(
         docs.mapInArrow(_lists(buckets), "chunk long, bucket int, ids array<long>, pairs binary, holders binary"), "lists"
     )
