@@ -11,9 +11,10 @@ short vector. Documents send their words, by chunk, to the buckets and get sums
 
 1. lists: documents -> per chunk and bucket the (word, context) pairs, training counts, and who has them.
 2. counts: per bucket the training counts of all chunks, added up and stored.
-3. seating: customers enter, Gibbs sweeps; the tables of each context, summed over buckets.
-4. scores: sweeps go on from those totals, predictive probabilities are averaged over the last samples, lists
-   are scored, and the sums of a chunk added up. Buckets with more than their share of lists are scored by
+3. seating: customers enter, Gibbs sweeps that reseat every customer; the seating is stored, and the tables of
+   each context are summed over buckets.
+4. scores: sweeps go on from that seating and those totals, predictive probabilities are averaged over the last samples,
+   lists are scored, and the sums of a chunk added up. Buckets with more than their share of lists are scored by
    several tasks, each with the same sampled model.
 """
 
@@ -37,10 +38,11 @@ END = 0x5EED0E4D  # stands for the end of a text among word hashes
 CHUNK_BYTES = 6 << 20
 BUCKETS = (12, 4096)
 STRENGTH = 1.0
-SMALL = 64  # customers up to which the chance to sit alone is exact
-BURN_IN = 12  # Gibbs steps before tables are reported, and again before samples
+SMALL = 64  # customers up to which the chance to sit alone is exact, and each is reseated by itself
+ROUNDS = SMALL  # parts in which a sweep reseats the customers of a larger dish
+BURN_IN = 12  # Gibbs sweeps before tables are reported, and again before samples
 SAMPLES = 4
-BETWEEN = 3  # steps from sample to sample
+BETWEEN = 3  # sweeps from sample to sample
 SEED = 11
 
 
@@ -64,6 +66,10 @@ class Restaurant:
         for c in range(2, SMALL + 1):
             t = np.arange(1, c + 1)
             self.alone[c, 1 : c + 1] = np.exp(log[c - 1, t - 1] - log[c, t])
+        # saddle point of larger numbers: over the log of customers a table, the factor beside (t - 1) / (c - 1)
+        u = -np.geomspace(1e-6, 700, 4096)
+        self.factor = -d * np.expm1(u) / -np.expm1(d * u)
+        self.log_size = np.log(self.factor) + (d - 1) * u
 
     def enter(self, c: np.ndarray, q: np.ndarray) -> np.ndarray:
         """Tables when c customers of a dish have come; q: weight of a new table for each dish."""
@@ -74,36 +80,65 @@ class Restaurant:
             n += step
         return np.clip(np.rint(t), 1, c)
 
-    def step(self, c: np.ndarray, t: np.ndarray, q: np.ndarray, rng: np.random.Generator) -> np.ndarray:
-        """One customer of every dish leaves and sits down again. Dishes of one customer stay as they are."""
+    def leaving(self, c: np.ndarray, t: np.ndarray) -> np.ndarray:
+        """How likely a customer sits alone."""
         small = c <= SMALL
-        # in large restaurants the share of tables with one customer tends to the discount
-        leaves = np.where(
-            small, self.alone[np.where(small, c, 0).astype(int), np.where(small, t, 0).astype(int)],
-            self.d * (t - 1) / np.maximum(c - 1, 1),
-        )
-        t = t - ((rng.random(len(t)) < leaves) & (t > 1))
-        new = rng.random(len(t)) * (q + (c - 1) - self.d * t) < q
-        return np.where(c > 1, np.minimum(t + new, c), 1.0)
+        large = (t - 1) / np.maximum(c - 1, 1)
+        with np.errstate(divide="ignore"):
+            large = large * np.interp(-np.log(large), self.log_size, self.factor)
+        return np.where(small, self.alone[np.where(small, c, 0).astype(int), np.where(small, t, 0).astype(int)], large)
+
+    def step(self, c: np.ndarray, t: np.ndarray, q: np.ndarray, rng: np.random.Generator, m: np.ndarray | None = None) -> np.ndarray:
+        """One customer of every dish, or m at once, leave and sit down again. Dishes of one customer stay as they are."""
+        draw = lambda p: rng.random(len(p)) < p if m is None else rng.binomial(m, np.clip(p, 0, 1))
+        each = 1 if m is None else m
+        left = np.minimum(draw(self.leaving(c, t)), t - 1)
+        new = draw(q / (q + (c - 1) - self.d * (t - left / each)))
+        return np.where(c > 1, np.minimum(t - left + new, c), 1.0)
+
+
+def rounds(c: np.ndarray):
+    """A sweep over dishes of c customers: (dishes, customers of each that are reseated) of one round after another.
+
+    Dishes of up to SMALL customers have a round for each, larger ones ROUNDS rounds with equal parts. None: one of each.
+    """
+    order = np.argsort(-c, kind="stable")
+    down = c[order]
+    large = order[: np.searchsorted(-down, -SMALL)]
+    for k in range(1, ROUNDS + 1):
+        if len(large):
+            m = c[large].astype(np.int64)
+            # exact also where m k is beyond 64 bits
+            part = lambda k: m // ROUNDS * k + m % ROUNDS * k // ROUNDS
+            yield large, part(k) - part(k - 1)
+        if k <= SMALL and len(small := order[len(large) : np.searchsorted(-down, -max(k, 2), side="right")]):
+            yield small, None
 
 
 class Seating:
     """The restaurants of one bucket. word: sorted keys; of, context, c: the pairs, ordered by word and context."""
 
-    def __init__(self, counts, totals: dict, bucket: int):
+    def __init__(self, counts, totals: dict, bucket: int, seat=None):
+        """seat: the tables of the pairs and of the words in the parent, where sweeps have been before."""
         self.word, self.of, self.context, self.c = counts
-        self.totals, self.rng = totals, np.random.default_rng([SEED, bucket])
+        self.totals, self.rng = totals, np.random.default_rng([SEED, bucket, seat is not None])
         self.low, self.top = Restaurant(totals["d"]), Restaurant(totals["d_top"])
         self.even = 1.0 / (totals["words"] + 1)
         n = len(self.word)
         # tables of a context over all buckets, and of the parent; what this bucket changes is added
         self.tables, self.top_tables = totals["tables"].astype(float), float(totals["top_tables"])
+        self.all_tables = self.tables.sum()
+        if seat is not None:
+            self.t, self.top_t = (x.astype(float) for x in seat)
+            self.customers = np.bincount(self.of, self.t, n)
+            return
         first = np.bincount(self.of, minlength=n).astype(float)
         self.customers, self.top_t = first, np.ones(n)
         p = self.parent()
         self.t = self.low.enter(self.c.astype(float), self.new_weight(p))
         if "first" in totals:  # the totals count one table a pair; those of this bucket are seated now
-            self.tables = self.tables + np.bincount(self.context, self.t - 1, CONTEXTS)
+            self.tables = self.tables + np.bincount(self.context, self.t - 1, len(self.tables))
+            self.all_tables += float((self.t - 1).sum())
         self.customers = np.bincount(self.of, self.t, n)
         self.top_t = self.top.enter(self.customers, np.full(n, self.top_weight()))
         if "first" in totals:
@@ -112,26 +147,36 @@ class Seating:
     def top_weight(self) -> float:
         return (STRENGTH + self.top.d * self.top_tables) * self.even
 
-    def parent(self) -> np.ndarray:
+    def parent(self, words=slice(None)) -> np.ndarray:
         """The probability of each word without context."""
-        all_ = self.tables.sum()
-        return (self.customers - self.top.d * self.top_t + self.top_weight()) / (STRENGTH + all_)
+        top = np.minimum(self.top_t[words], self.customers[words])
+        return (self.customers[words] - self.top.d * top + self.top_weight()) / (STRENGTH + self.all_tables)
 
     def unknown(self) -> float:
-        return self.top_weight() / (STRENGTH + self.tables.sum())
+        return self.top_weight() / (STRENGTH + self.all_tables)
 
     def new_weight(self, p: np.ndarray) -> np.ndarray:
         return (STRENGTH + self.low.d * self.tables[self.context]) * p[self.of]
 
-    def sweep(self, steps: int) -> None:
-        for _ in range(steps):
-            t = self.low.step(self.c, self.t, self.new_weight(self.parent()), self.rng)
-            self.tables = self.tables + np.bincount(self.context, t - self.t, CONTEXTS)
-            self.t, self.customers = t, np.bincount(self.of, t, len(self.word))
+    def sweep(self, times: int) -> None:
+        """Every customer leaves and sits down again; a round sees what the rounds before it have changed."""
+        for _ in range(times):
+            for at, m in rounds(self.c):
+                of, context, old = self.of[at], self.context[at], self.t[at]
+                q = (STRENGTH + self.low.d * self.tables[context]) * self.parent(of)
+                t = self.low.step(self.c[at], old, q, self.rng, m)
+                np.add.at(self.tables, context, t - old)
+                np.add.at(self.customers, of, t - old)
+                self.all_tables += float((t - old).sum())
+                self.t[at] = t
             top = np.minimum(self.top_t, self.customers)
-            top = self.top.step(self.customers, top, np.full(len(top), self.top_weight()), self.rng)
             self.top_tables += float((top - self.top_t).sum())
             self.top_t = top
+            for at, m in rounds(self.customers):
+                old = self.top_t[at]
+                top = self.top.step(self.customers[at], old, np.full(len(at), self.top_weight()), self.rng, m)
+                self.top_tables += float((top - old).sum())
+                self.top_t[at] = top
 
     def sample(self) -> dict:
         back = (STRENGTH + self.low.d * self.tables) / (STRENGTH + self.totals["customers"])
@@ -263,7 +308,7 @@ def _counts(batches):
 
 
 def _tables(totals: dict):
-    """(bucket, model) -> the tables that its pairs bring each context, and those of its part of the parent."""
+    """(bucket, model) -> its seating, the tables that its pairs bring each context, and those of its part of the parent."""
 
     def run(batches):
         for batch in batches:
@@ -271,9 +316,11 @@ def _tables(totals: dict):
                 seating = Seating(_pairs(model), totals, b)
                 seating.sweep(BURN_IN)
                 tables = np.bincount(seating.context, seating.t, CONTEXTS).astype(np.int64)
+                seat = pack(seating.t.astype(np.int64), seating.top_t.astype(np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([tables], pa.list_(pa.int64())), pa.array([[int(seating.top_t.sum())]], pa.list_(pa.int64()))],
-                    ["tables", "top"],
+                    [pa.array([b], pa.int32()), pa.array([seat], pa.binary()), pa.array([tables], pa.list_(pa.int64())),
+                     pa.array([[int(seating.top_t.sum())]], pa.list_(pa.int64()))],
+                    ["bucket", "seat", "tables", "top"],
                 )
 
     return run
@@ -287,9 +334,9 @@ def _scores(totals: dict):
         n_all, even = totals["tokens"], 0.1 * (totals["words"] + 1)
         for batch in batches:
             done = []
-            for b, model, pairs, holders in zip(*(batch.column(c).to_pylist() for c in ("bucket", "model", "pairs", "holders"))):
+            for b, model, seat, pairs, holders in zip(*(batch.column(c).to_pylist() for c in ("bucket", "model", "seat", "pairs", "holders"))):
                 if model is not None or own != b:
-                    seating = Seating(_pairs(model) if model is not None else _added([]), totals, b)
+                    seating = Seating(_pairs(model), totals, b, unpack(seat)) if model is not None else Seating(_added([]), totals, b)
                     own, samples, seen_mean = b, [], 0.0
                     seating.sweep(BURN_IN)
                     for _ in range(SAMPLES):
@@ -384,7 +431,7 @@ def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         "d": _discount(one, two), "d_top": _discount(one_top, two_top),
     }
     seated = counts.select("bucket", "model").repartition(buckets, "bucket").mapInArrow(
-        _tables(totals | {"first": True}), "tables array<long>, top array<long>"
+        _tables(totals | {"first": True}), "bucket int, seat binary, tables array<long>, top array<long>"
     )
     seated = stored(seated, "tables")
     totals |= {"tables": _vector(seated, "tables"), "top_tables": int(_vector(seated, "top")[0])}
@@ -394,12 +441,12 @@ def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     split = [max(1, round((sizes.get(b) or 0) / mean)) for b in range(buckets)]
     copies = F.get(F.array(*[F.lit(n) for n in split]), F.col("bucket"))
     nothing = lambda kind: F.lit(None).cast(kind)
-    models = counts.select(
-        nothing("long").alias("chunk"), "bucket", nothing("array<long>").alias("ids"), "model", nothing("binary").alias("pairs"),
+    models = counts.join(seated.select("bucket", "seat"), "bucket").select(
+        nothing("long").alias("chunk"), "bucket", nothing("array<long>").alias("ids"), "model", "seat", nothing("binary").alias("pairs"),
         nothing("binary").alias("holders"), F.explode(F.sequence(F.lit(0), copies - 1)).alias("copy"),
     )
     rows = lists.select(
-        "chunk", "bucket", "ids", nothing("binary").alias("model"), "pairs", "holders", F.pmod(F.xxhash64("chunk"), copies).cast("int").alias("copy")
+        "chunk", "bucket", "ids", nothing("binary").alias("model"), nothing("binary").alias("seat"), "pairs", "holders", F.pmod(F.xxhash64("chunk"), copies).cast("int").alias("copy")
     )
     dealt = models.unionByName(rows).repartition(buckets, "bucket", "copy").sortWithinPartitions("bucket", "copy", F.col("model").isNull())
     sums = dealt.mapInArrow(_scores(totals), "chunk long, bucket int, ids array<long>, sums binary")

@@ -248,3 +248,42 @@ def test_gibbs_tables_against_exact_distribution():
         stirling[m] = {k: stirling[m - 1].get(k - 1, 0) + (m - 1 - 0.5 * k) * stirling[m - 1].get(k, 0) for k in range(1, m + 1)}
     want = np.array([stirling[c][k] * q**k for k in range(1, c + 1)])
     assert np.bincount(t.astype(int), minlength=c + 1)[1:] / n == pytest.approx(want / want.sum(), abs=0.01)
+
+
+def test_a_sweep_reseats_every_customer():
+    """Tables of a dish of 600 customers after a few sweeps are spread as the model has them, wherever they began."""
+    d, c, q, n = 0.5, 600, 30.0, 4_000
+    parts = list(language_model.rounds(np.array([1, 2, 64, c])))
+    done = Counter()
+    for at, m in parts:
+        for i, k in zip(at, np.ones(len(at), int) if m is None else m):
+            done[int(i)] += int(k)
+    assert done == {1: 2, 2: 64, 3: c}
+    log = np.full((c + 1, c + 2), -np.inf)
+    log[1, 1] = 0.0
+    for m in range(2, c + 1):
+        t = np.arange(1, m + 1)
+        with np.errstate(divide="ignore"):
+            log[m, 1 : m + 1] = np.logaddexp(log[m - 1, t - 1], np.log(np.maximum(m - 1 - d * t, 1e-300)) + log[m - 1, t])
+    k = np.arange(1, c + 1)
+    p = np.exp((x := log[c, 1 : c + 1] + k * np.log(q)) - x.max())
+    p /= p.sum()
+    mean, spread = (p * k).sum(), np.sqrt((p * k * k).sum() - (p * k).sum() ** 2)
+    r, rng = language_model.Restaurant(d), np.random.default_rng(2)
+    for start in (1.0, 300.0):
+        t = np.full(n, start)
+        for _ in range(language_model.BURN_IN):
+            for at, m in language_model.rounds(np.full(n, c)):
+                t[at] = r.step(np.full(len(at), float(c)), t[at], np.full(len(at), q), rng, m)
+        assert t.mean() == pytest.approx(mean, rel=0.02) and t.std() == pytest.approx(spread, rel=0.1)
+
+
+def test_scoring_goes_on_from_the_stored_seating():
+    c = np.array([500, 3, 1])
+    pairs = (np.arange(2, dtype=np.uint64), np.array([0, 0, 1]), np.array([0, 1, 1]), c)
+    totals = {"customers": np.array([500, 4]), "tokens": 504, "words": 2, "tables": np.array([77, 3]), "top_tables": 6, "d": 0.6, "d_top": 0.5}
+    seating = language_model.Seating(pairs, totals, 1, (np.array([77, 2, 1]), np.array([5, 1])))
+    assert seating.t.tolist() == [77, 2, 1] and seating.top_t.tolist() == [5, 1] and seating.customers.tolist() == [79, 1]
+    seating.sweep(3)
+    assert seating.tables.sum() == seating.t.sum() == seating.customers.sum() == pytest.approx(seating.all_tables)
+    assert np.all((seating.t >= 1) & (seating.t <= c)) and seating.top_tables == pytest.approx(seating.top_t.sum())
