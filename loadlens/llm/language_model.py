@@ -2,15 +2,15 @@
 
 Each context has a restaurant whose customers are the words that follow it; a table of a restaurant is a customer
 of the parent, the restaurant of words without context; its tables draw on an even distribution. A context is
-the class of the word before: a hash of the word into 2^13 classes, so frequent words have a restaurant nearly of
-their own, no word is left out and the number of restaurants is fixed while what they serve grows with the corpus.
+the word before, by its 64-bit hash: there are as many restaurants as words, however large the corpus is.
 
 The work is dealt out by the word that is scored. A bucket holds all customers that eat its words, in all
-contexts, and its words' part of the parent; only the number of tables per context is shared, which is a
-short vector. Documents send their words, by chunk, to the buckets and get sums of logarithms back.
+contexts, and its words' part of the parent. What buckets share is the customers and tables of each context: they
+are added up by shards of contexts, and each bucket gets back the sums of the contexts that come in its lists.
+Documents send their words, by chunk, to the buckets and get sums of logarithms back.
 
 1. lists: documents -> per chunk and bucket the (word, context) pairs, training counts, and who has them.
-2. counts: per bucket the training counts of all chunks, added up and stored.
+2. counts: per bucket the training counts of all chunks, added up and stored, and its part of each context.
 3. seating: customers enter, Gibbs sweeps that reseat every customer; the seating is stored, and the tables of
    each context are summed over buckets.
 4. scores: sweeps go on from that seating and those totals, predictive probabilities are averaged over the last samples,
@@ -20,6 +20,7 @@ short vector. Documents send their words, by chunk, to the buckets and get sums
 
 from __future__ import annotations
 
+import gc
 import zlib
 
 import numpy as np
@@ -31,9 +32,8 @@ from .packing import pack, unpack
 from .shared import stored
 from .words import LOWER, blocks, mixed, words_in
 
-CONTEXT_BITS = 13
-START = 1 << CONTEXT_BITS  # the context of a first word
-CONTEXTS = START + 1
+START = (1 << 64) - 1  # the context of a first word, among word hashes; sorts last
+CONTEXTS = (1 << 13) + 1  # contexts of a small model, for tests; score_texts has no such number
 END = 0x5EED0E4D  # stands for the end of a text among word hashes
 CHUNK_BYTES = 6 << 20
 BUCKETS = (12, 4096)
@@ -116,18 +116,21 @@ def rounds(c: np.ndarray):
 
 
 class Seating:
-    """The restaurants of one bucket. word: sorted keys; of, context, c: the pairs, ordered by word and context."""
+    """The restaurants of one bucket. word: sorted keys; of, context, c: the pairs, ordered by word and context.
+
+    A context is its place in the customers and tables of totals, which are sums over all buckets.
+    """
 
     def __init__(self, counts, totals: dict, bucket: int, seat=None):
         """seat: the tables of the pairs and of the words in the parent, where sweeps have been before."""
         self.word, self.of, self.context, self.c = counts
         self.totals, self.rng = totals, np.random.default_rng([SEED, bucket, seat is not None])
         self.low, self.top = Restaurant(totals["d"]), Restaurant(totals["d_top"])
-        self.even = 1.0 / (totals["words"] + 1)
+        self.even, self.rounds = 1.0 / (totals["words"] + 1), None
         n = len(self.word)
         # tables of a context over all buckets, and of the parent; what this bucket changes is added
         self.tables, self.top_tables = totals["tables"].astype(float), float(totals["top_tables"])
-        self.all_tables = self.tables.sum()
+        self.all_tables = float(totals.get("all_tables", self.tables.sum()))  # also those of contexts that no list here has
         if seat is not None:
             self.t, self.top_t = (x.astype(float) for x in seat)
             self.customers = np.bincount(self.of, self.t, n)
@@ -160,11 +163,13 @@ class Seating:
 
     def sweep(self, times: int) -> None:
         """Every customer leaves and sits down again; a round sees what the rounds before it have changed."""
+        if self.rounds is None:
+            self.rounds = [(at, m, self.of[at], self.context[at], self.c[at]) for at, m in rounds(self.c)]
         for _ in range(times):
-            for at, m in rounds(self.c):
-                of, context, old = self.of[at], self.context[at], self.t[at]
+            for at, m, of, context, c in self.rounds:
+                old = self.t[at]
                 q = (STRENGTH + self.low.d * self.tables[context]) * self.parent(of)
-                t = self.low.step(self.c[at], old, q, self.rng, m)
+                t = self.low.step(c, old, q, self.rng, m)
                 np.add.at(self.tables, context, t - old)
                 np.add.at(self.customers, of, t - old)
                 self.all_tables += float((t - old).sum())
@@ -194,28 +199,35 @@ def _lists(buckets: int):
         types = [pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.binary(), pa.binary()]
         row = lambda *v: pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(v, types)], names)
 
-        def out(ids, keys, contexts, docs):
+        def out(ids, keys, docs):
             nonlocal chunk
             number = (part << 32) + chunk
             chunk += 1
             yield row(number, number % buckets, ids, None, None)
-            key, context, doc = np.concatenate(keys), np.concatenate(contexts), np.concatenate(docs)
+            key, doc = np.concatenate(keys), np.concatenate(docs)
             training = np.array([not held_out(i) for i in ids])
             word, which = np.unique(key, return_inverse=True)
+            # the context is the word before in the same text
+            before = np.append(word, np.uint64(START))
+            context = np.append(len(word), which[:-1])
+            context[1:][doc[1:] != doc[:-1]] = len(word)
             place = (mixed(word) % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(place, kind="stable")
             rank = np.empty(len(order), np.int64)
             rank[order] = np.arange(len(order))
             word, place = word[order], place[order]
-            code, n = np.unique((rank[which] * CONTEXTS + context) * len(ids) + doc, return_counts=True)
+            pair, pairs = rank[which] * len(before) + context, None
+            if len(word) * len(before) * len(ids) >= 1 << 62:
+                pairs, pair = np.unique(pair, return_inverse=True)
+            code, n = np.unique(pair * len(ids) + doc, return_counts=True)
             pair, doc = code // len(ids), code % len(ids)
             new = np.concatenate(([True], pair[1:] != pair[:-1]))
             first = np.flatnonzero(new)
             of_pair = np.cumsum(new) - 1
             holders = np.diff(np.append(first, len(pair)))
             trained = np.bincount(of_pair, n * training[doc]).astype(np.int64)
-            pair = pair[first]
-            pair_word = pair // CONTEXTS
+            pair = pair[first] if pairs is None else pairs[pair[first]]
+            pair_word, context = pair // len(before), pair % len(before)
             word_cut = np.searchsorted(place, np.arange(buckets + 1))
             pair_cut = np.searchsorted(pair_word, word_cut)
             cut = np.append(first, len(doc))[pair_cut]
@@ -224,136 +236,208 @@ def _lists(buckets: int):
                 if w.start == w.stop:
                     continue
                 each = np.bincount(pair_word[p] - w.start, minlength=w.stop - w.start)
-                yield row(number, b, None, pack(word[w], each, pair[p] % CONTEXTS, trained[p]), pack(holders[p], doc[h], n[h]))
+                own, at = np.unique(context[p], return_inverse=True)
+                yield row(number, b, None, pack(_steps(word[w]), each, _steps(before[own]), at, trained[p]), pack(holders[p], doc[h], n[h]))
 
-        ids, keys, contexts, docs, size = [], [], [], [], 0
+        ids, keys, docs, size = [], [], [], 0
         for batch in batches:
             all_ids = batch.column(0).to_pylist()
             for block in blocks(batch.column(1)):
                 words = words_in(block, LOWER[block.data])
                 # every text gets an end after its words
-                at = words.docs[1:] + np.arange(block.n)
                 key = np.insert(words.key, words.docs[1:], np.uint64(END))
                 doc = np.insert(words.doc, words.docs[1:], np.arange(block.n))
-                context = np.empty(len(key), np.int64)
-                context[1:] = (key[:-1] >> np.uint64(64 - CONTEXT_BITS)).astype(np.int64)
-                context[0] = START
-                context[at[:-1] + 1] = START
                 keys.append(key)
-                contexts.append(context)
                 docs.append(doc + len(ids))
                 ids += all_ids[block.first : block.first + block.n]
                 size += len(block.data) + 64 * block.n
                 if size >= CHUNK_BYTES:
-                    yield from out(ids, keys, contexts, docs)
-                    ids, keys, contexts, docs, size = [], [], [], [], 0
+                    yield from out(ids, keys, docs)
+                    ids, keys, docs, size = [], [], [], 0
         if ids:
-            yield from out(ids, keys, contexts, docs)
+            yield from out(ids, keys, docs)
 
     return run
 
 
+def _steps(keys: np.ndarray) -> np.ndarray:
+    """Sorted 64-bit keys as the bytes of their differences, the lowest bytes first: the highest are mostly 0."""
+    return np.diff(keys, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T.ravel()
+
+
+def _keys(steps: np.ndarray) -> np.ndarray:
+    return np.cumsum(np.ascontiguousarray(steps.astype(np.uint8).reshape(8, -1).T).view("<u8").ravel(), dtype=np.uint64)
+
+
 def _pairs(packed: bytes):
-    word, each, context, n = unpack(packed)
-    return word.view(np.uint64), np.repeat(np.arange(len(word)), each), context, n
+    """A list: sorted words, the word of each pair, sorted contexts, the context of each pair, its training count."""
+    word, each, before, context, n = unpack(packed)
+    return _keys(word), np.repeat(np.arange(len(each)), each), _keys(before), context, n
 
 
 def _added(parts):
-    """Pairs of several chunks -> (word, of, context, c) with words sorted, pairs in order, counts added."""
-    if not parts:
-        return np.zeros(0, np.uint64), *(np.zeros(0, np.int64) for _ in range(3))
+    """Pairs of several chunks with words and contexts sorted, pairs in order, counts added."""
     word, which = np.unique(np.concatenate([w for w, *_ in parts]), return_inverse=True)
-    at, codes = 0, []
-    for w, of, context, _ in parts:
-        codes.append(which[at : at + len(w)][of] * CONTEXTS + context)
-        at += len(w)
+    before, at = np.unique(np.concatenate([x for _, _, x, _, _ in parts]), return_inverse=True)
+    i, j, codes = 0, 0, []
+    for w, of, own, context, _ in parts:
+        codes.append(which[i : i + len(w)][of] * len(before) + at[j : j + len(own)][context])
+        i, j = i + len(w), j + len(own)
     code, where = np.unique(np.concatenate(codes), return_inverse=True)
-    return word, code // CONTEXTS, code % CONTEXTS, np.bincount(where, np.concatenate([n for *_, n in parts])).astype(np.int64)
+    n = np.bincount(where, np.concatenate([n for *_, n in parts])).astype(np.int64)
+    return word, code // max(len(before), 1), before, code % max(len(before), 1), n
+
 
+def _counts(shards: int):
+    """(bucket, pairs, size) in order of buckets -> (bucket, model, what each shard gets of its contexts, statistics, size).
 
-def _counts(batches):
-    """(bucket, pairs) in order of buckets -> (bucket, model, customers and pairs by context, statistics)."""
+    A shard gets all contexts of the bucket's lists, trained or not, with their pairs here; shards are even ranges of
+    contexts. The size is that of all lists.
+    """
 
-    def out(bucket, parts):
-        word, of, context, c = _added(parts)
-        pairs = np.bincount(context, minlength=CONTEXTS)
+    def out(bucket, parts, size):
+        word, of, before, context, c = _added(parts)
+        pairs = np.bincount(context, minlength=len(before))
+        cut = np.searchsorted((before >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32), np.arange(shards + 1).astype(np.uint64))
+        sent = [pack(_steps(before[a:b]), pairs[a:b]) if a < b else None for a, b in zip(cut[:-1], cut[1:])]
         spread = np.bincount(of, minlength=len(word))
-        stats = [len(word), int((c == 1).sum()), int((c == 2).sum()), int((spread == 1).sum()), int((spread == 2).sum())]
-        model = pack(word, spread, context, c)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([bucket], pa.int32()), pa.array([model], pa.binary()),
-             pa.array([np.bincount(context, c, CONTEXTS).astype(np.int64)], pa.list_(pa.int64())),
-             pa.array([pairs], pa.list_(pa.int64())), pa.array([stats], pa.list_(pa.int64()))],
-            ["bucket", "model", "customers", "pairs", "stats"],
+        stats = [
+            len(word), int((c == 1).sum()), int((c == 2).sum()), int((spread == 1).sum()), int((spread == 2).sum()), int(c.sum()), len(c)
+        ]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([bucket], pa.int32()), pa.array([pack(_steps(word), spread, context, c)], pa.binary()),
+             pa.array([sent], pa.list_(pa.binary())), pa.array([stats], pa.list_(pa.int64())), pa.array([size], pa.int64())],
+            ["bucket", "model", "parts", "stats", "size"],
         )
 
     def trained(packed):
-        word, of, context, n = _pairs(packed)
+        word, of, before, context, n = _pairs(packed)
         keep = n > 0
         have = np.unique(of[keep])
-        return word[have], np.searchsorted(have, of[keep]), context[keep], n[keep]
-
-    bucket, parts = None, []
-    for batch in batches:
-        for b, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            if b != bucket and bucket is not None:
-                yield from out(bucket, parts)
-                parts = []
-            bucket = b
-            parts.append(trained(packed))
-            if len(parts) == 16:
-                parts = [_added(parts)]
-    if bucket is not None:
-        yield from out(bucket, parts)
+        return word[have], np.searchsorted(have, of[keep]), before, context[keep], n[keep]
+
+    def run(batches):
+        bucket, parts, size = None, [], 0
+        for batch in batches:
+            for b, packed, n in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                if b != bucket and bucket is not None:
+                    yield out(bucket, parts, size)
+                    parts, size = [], 0
+                bucket, size = b, size + n
+                parts.append(trained(packed))
+                if len(parts) == 16:
+                    parts = [_added(parts)]
+        if bucket is not None:
+            yield out(bucket, parts, size)
+
+    return run
+
+
+def _model(packed: bytes):
+    word, each, context, c = unpack(packed)
+    return _keys(word), np.repeat(np.arange(len(each)), each), context, c
+
+
+def _places(table: pa.Table) -> pa.Table:
+    """The contexts that buckets have of a shard -> for each bucket their places in the shard, as steps, and their pairs in all buckets."""
+    parts = [unpack(x) for x in table.column("part").to_pylist()]
+    contexts, at = np.unique(np.concatenate([_keys(steps) for steps, _ in parts]), return_inverse=True)
+    pairs = np.bincount(at, np.concatenate([n for _, n in parts])).astype(np.int64)
+    out, i = [], 0
+    for _, n in parts:
+        own = at[i : i + len(n)]
+        out.append(pack(np.diff(own, prepend=0), pairs[own]))
+        i += len(own)
+    return table.select(["bucket", "shard"]).append_column("share", pa.array(out, pa.binary()))
+
+
+def _shared(table: pa.Table) -> pa.Table:
+    """(places, customers, tables) of a shard's contexts in each bucket -> for each bucket their customers and tables in all."""
+    parts = [unpack(x) for x in table.column("part").to_pylist()]
+    at = [np.cumsum(steps) for steps, *_ in parts]
+    customers, tables = (np.bincount(np.concatenate(at), np.concatenate([p[i] for p in parts])).astype(np.int64) for i in (1, 2))
+    out = [pack(customers[x], tables[x]) for x in at]
+    return table.select(["bucket", "shard"]).append_column("share", pa.array(out, pa.binary()))
+
+
+def _joined_up(parts: list[np.ndarray]) -> np.ndarray:
+    return np.concatenate([np.zeros(0, np.int64), *parts])
 
 
 def _tables(totals: dict):
-    """(bucket, model) -> its seating, the tables that its pairs bring each context, and those of its part of the parent."""
+    """Rows of a bucket: its model, then its places and pairs by shard -> its seating, what it brings the contexts of each shard,
+    and the tables of its part of the parent and of its pairs."""
+
+    def out(bucket, model, shares):
+        parts = [unpack(x) for _, x in shares]
+        n = [len(pairs) for _, pairs in parts]
+        # customers of a context do not count for its seating
+        seating = Seating(_model(model), totals | {"tables": _joined_up([pairs for _, pairs in parts])}, bucket)
+        seating.sweep(BURN_IN)
+        sums = [np.bincount(seating.context, x, sum(n)).astype(np.int64) for x in (seating.c, seating.t)]
+        cut, sent = np.concatenate(([0], np.cumsum(n, dtype=np.int64))), []
+        for i, (steps, _) in enumerate(parts):
+            sent.append({"shard": shares[i][0], "part": pack(steps, *(x[cut[i] : cut[i + 1]] for x in sums))})
+        seat = pack(seating.t.astype(np.int64), seating.top_t.astype(np.int64))
+        kind = pa.list_(pa.struct([("shard", pa.int32()), ("part", pa.binary())]))
+        return pa.RecordBatch.from_arrays(
+            [pa.array([bucket], pa.int32()), pa.array([seat], pa.binary()), pa.array([sent], kind),
+             pa.array([[int(seating.top_t.sum()), int(seating.t.sum())]], pa.list_(pa.int64()))],
+            ["bucket", "seat", "parts", "stats"],
+        )
 
     def run(batches):
+        own, shares = None, []
         for batch in batches:
-            for b, model in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                seating = Seating(_pairs(model), totals, b)
-                seating.sweep(BURN_IN)
-                tables = np.bincount(seating.context, seating.t, CONTEXTS).astype(np.int64)
-                seat = pack(seating.t.astype(np.int64), seating.top_t.astype(np.int64))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([b], pa.int32()), pa.array([seat], pa.binary()), pa.array([tables], pa.list_(pa.int64())),
-                     pa.array([[int(seating.top_t.sum())]], pa.list_(pa.int64()))],
-                    ["bucket", "seat", "tables", "top"],
-                )
+            for b, shard, model, share in zip(*(batch.column(c).to_pylist() for c in ("bucket", "shard", "model", "share"))):
+                if model is None:
+                    shares.append((shard, share))
+                    continue
+                if own is not None:
+                    yield out(*own, shares)
+                own, shares = (b, model), []
+        if own is not None:
+            yield out(*own, shares)
 
     return run
 
 
 def _scores(totals: dict):
-    """Rows of a bucket, its model first -> per chunk the sums that its documents get from the bucket."""
+    """Rows of a bucket, its model first, then its contexts -> per chunk the sums that its documents get from the bucket."""
 
     def run(batches):
-        own, samples, seen_mean, known = None, [], 0.0, None
+        own, shares, samples, seen_mean = None, [], [], 0.0
         n_all, even = totals["tokens"], 0.1 * (totals["words"] + 1)
         for batch in batches:
             done = []
-            for b, model, seat, pairs, holders in zip(*(batch.column(c).to_pylist() for c in ("bucket", "model", "seat", "pairs", "holders"))):
-                if model is not None or own != b:
-                    seating = Seating(_pairs(model), totals, b, unpack(seat)) if model is not None else Seating(_added([]), totals, b)
-                    own, samples, seen_mean = b, [], 0.0
+            columns = (batch.column(c).to_pylist() for c in ("bucket", "model", "parts", "seat", "share", "pairs", "holders"))
+            for b, model, parts, seat, share, pairs, holders in zip(*columns):
+                if model is not None:
+                    own, shares, samples, seen_mean = (b, model, parts, seat), [], [], 0.0
+                elif share is not None:
+                    shares.append(share)
+                if pairs is None:
+                    done.append(None)
+                    continue
+                if not samples:
+                    before = np.concatenate([np.zeros(0, np.uint64), *(_keys(unpack(x)[0]) for x in own[2] if x is not None)])
+                    sums = [unpack(x) for x in shares]
+                    sums = {k: _joined_up([x[i] for x in sums]) for i, k in enumerate(("customers", "tables"))}
+                    seating = Seating(_model(own[1]), totals | sums, own[0], unpack(own[3]))
                     seating.sweep(BURN_IN)
                     for _ in range(SAMPLES):
                         seating.sweep(BETWEEN)
                         samples.append(seating.sample())
                         seen_mean = seen_mean + samples[-1].pop("seen") / SAMPLES
                     known = np.bincount(seating.of, seating.c, len(seating.word))
-                    codes = seating.of * CONTEXTS + seating.context
-                if pairs is None:
-                    done.append(None)
-                    continue
-                word, of, context, _ = _pairs(pairs)
+                    codes = seating.of * len(before) + seating.context
+                word, of, mine, context, _ = _pairs(pairs)
+                context = np.searchsorted(before, mine)[context]
                 at = np.searchsorted(seating.word, word)
                 at[at == len(seating.word)] = 0
                 hit = seating.word[at] == word if len(seating.word) else np.zeros(len(word), bool)
                 c = np.where(hit, known[at], 0) if len(known) else np.zeros(len(word))
-                code = at[of] * CONTEXTS + context
+                code = at[of] * len(before) + context
                 place = np.searchsorted(codes, code)
                 place[place == len(codes)] = 0
                 seen = hit[of] & (codes[place] == code) if len(codes) else np.zeros(len(of), bool)
@@ -397,12 +481,10 @@ def _discount(one: int, two: int) -> float:
     return float(np.clip(one / max(one + 2 * two, 1), 0.05, 0.95))
 
 
-def _vector(df: DataFrame, column: str) -> np.ndarray:
-    """The sum of an array column over all rows, place by place: as long as the array, whatever the rows."""
-    out = np.zeros(CONTEXTS, np.int64)
-    for r in df.select(F.posexplode(column).alias("i", "n")).groupBy("i").agg(F.sum("n").alias("n")).collect():
-        out[r.i] = r.n
-    return out
+def _sums(df: DataFrame, column: str) -> list[int]:
+    """The sum of an array column over all rows, place by place: a few numbers."""
+    rows = df.select(F.posexplode(column).alias("i", "n")).groupBy("i").agg(F.sum("n").alias("n")).orderBy("i").collect()
+    return [r.n for r in rows]
 
 
 def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -417,38 +499,54 @@ def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     """
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     buckets = min(max(2 * docs.rdd.getNumPartitions(), BUCKETS[0]), BUCKETS[1])  # half a partition's words in memory
-    lists = stored(
-        docs.mapInArrow(_lists(buckets), "chunk long, bucket int, ids array<long>, pairs binary, holders binary"), "lists"
-    )
-    counts = lists.filter("pairs IS NOT NULL").select("bucket", "pairs").repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    # made twice, for counts and for scores, since they take more room than the texts
+    lists = docs.mapInArrow(_lists(buckets), "chunk long, bucket int, ids array<long>, pairs binary, holders binary")
+    counts = lists.filter("pairs IS NOT NULL").select("bucket", "pairs", F.length("holders").cast("long").alias("size"))
+    counts = counts.repartition(buckets, "bucket").sortWithinPartitions("bucket")
     counts = stored(
-        counts.mapInArrow(_counts, "bucket int, model binary, customers array<long>, pairs array<long>, stats array<long>"), "counts"
+        counts.mapInArrow(_counts(buckets), "bucket int, model binary, parts array<binary>, stats array<long>, size long"), "counts"
     )
-    customers, pairs = _vector(counts, "customers"), _vector(counts, "pairs")
-    words, one, two, one_top, two_top = _vector(counts, "stats")[:5].tolist()
+    # the lists dealt out for counts are done with; Spark removes them when the driver collects its garbage
+    gc.collect()
+    docs.sparkSession.sparkContext._jvm.System.gc()
+    words, one, two, one_top, two_top, tokens, pairs = _sums(counts, "stats") or [0] * 7
     totals = {
-        "customers": customers, "tokens": int(customers.sum()), "words": words, "tables": pairs, "top_tables": words,
+        "tokens": tokens, "words": words, "all_tables": pairs, "top_tables": words,
         "d": _discount(one, two), "d_top": _discount(one_top, two_top),
     }
-    seated = counts.select("bucket", "model").repartition(buckets, "bucket").mapInArrow(
-        _tables(totals | {"first": True}), "bucket int, seat binary, tables array<long>, top array<long>"
+    null = lambda kind, name: F.lit(None).cast(kind).alias(name)
+    by_shard = lambda df, f: stored(df.groupBy("shard").applyInArrow(f, "bucket int, shard int, share binary"), "contexts")
+    places = by_shard(counts.select("bucket", F.posexplode("parts").alias("shard", "part")).filter("part IS NOT NULL"), _places)
+    rows = counts.select("bucket", null("int", "shard"), "model", null("binary", "share")).unionByName(
+        places.select("bucket", "shard", null("binary", "model"), "share")
+    )
+    rows = rows.repartition(buckets, "bucket").sortWithinPartitions("bucket", F.col("shard").asc_nulls_first())
+    seated = stored(
+        rows.mapInArrow(
+            _tables(totals | {"first": True}), "bucket int, seat binary, parts array<struct<shard:int,part:binary>>, stats array<long>"
+        ),
+        "tables",
     )
-    seated = stored(seated, "tables")
-    totals |= {"tables": _vector(seated, "tables"), "top_tables": int(_vector(seated, "top")[0])}
+    totals["top_tables"], totals["all_tables"] = _sums(seated, "stats") or [0, 0]
+    contexts = by_shard(seated.select("bucket", F.inline("parts")), _shared)
     # a bucket with more than its share of lists is scored by several tasks
-    sizes = {r.bucket: r.n for r in lists.groupBy("bucket").agg(F.sum(F.length("holders")).alias("n")).collect()}
+    sizes = {r.bucket: r["size"] for r in counts.select("bucket", "size").collect()}
     mean = max(sum(n or 0 for n in sizes.values()) / max(len(sizes), 1), 1)
     split = [max(1, round((sizes.get(b) or 0) / mean)) for b in range(buckets)]
     copies = F.get(F.array(*[F.lit(n) for n in split]), F.col("bucket"))
-    nothing = lambda kind: F.lit(None).cast(kind)
-    models = counts.join(seated.select("bucket", "seat"), "bucket").select(
-        nothing("long").alias("chunk"), "bucket", nothing("array<long>").alias("ids"), "model", "seat", nothing("binary").alias("pairs"),
-        nothing("binary").alias("holders"), F.explode(F.sequence(F.lit(0), copies - 1)).alias("copy"),
-    )
-    rows = lists.select(
-        "chunk", "bucket", "ids", nothing("binary").alias("model"), nothing("binary").alias("seat"), "pairs", "holders", F.pmod(F.xxhash64("chunk"), copies).cast("int").alias("copy")
+    columns = {
+        "chunk": "long", "bucket": "int", "ids": "array<long>", "shard": "int", "model": "binary", "parts": "array<binary>", "seat": "binary",
+        "share": "binary", "pairs": "binary", "holders": "binary", "copy": "int",
+    }
+    row = lambda df: df.select(*[F.col(c) if c in df.columns else null(kind, c) for c, kind in columns.items()])
+    every = F.explode(F.sequence(F.lit(0), copies - 1))
+    models = counts.select("bucket", "model", "parts").join(seated.select("bucket", "seat"), "bucket").withColumn("copy", every)
+    texts = lists.withColumn("copy", F.pmod(F.xxhash64("chunk"), copies).cast("int"))
+    rows = row(models).unionByName(row(contexts.withColumn("copy", every))).unionByName(row(texts))
+    # the model, then its contexts in order, then lists
+    dealt = rows.repartition(buckets, "bucket", "copy").sortWithinPartitions(
+        "bucket", "copy", F.col("model").isNull(), F.col("shard").asc_nulls_last()
     )
-    dealt = models.unionByName(rows).repartition(buckets, "bucket", "copy").sortWithinPartitions("bucket", "copy", F.col("model").isNull())
     sums = dealt.mapInArrow(_scores(totals), "chunk long, bucket int, ids array<long>, sums binary")
     return sums.groupBy("chunk").applyInArrow(
         _joined(totals["tokens"]),

@@ -5,9 +5,10 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from loadlens.llm import language_model, licence_texts, licences, mixing, pii, quality, url_filter
+from loadlens.llm import language_model, licence_texts, licences, mixing, pii, quality, url_filter, words
 from loadlens.llm.shared import word_count
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -278,6 +279,24 @@ def test_a_sweep_reseats_every_customer():
         assert t.mean() == pytest.approx(mean, rel=0.02) and t.std() == pytest.approx(spread, rel=0.1)
 
 
+def test_contexts_are_words_not_classes(docs_of):
+    """What follows a word is not mixed with what follows other words that share the first 13 bits of its hash."""
+    names = [f"v{i}" for i in range(30_000)]
+    block = next(words.blocks(pa.array([" ".join(names)])))
+    keys = words.words_in(block, block.data).key
+    of = {}
+    for n, k in zip(names, keys.tolist()):
+        of.setdefault(k >> 51, []).append(n)
+    alike = next(x for x in of.values() if len(x) >= 12)[:12]
+    unlike = [x[0] for x in of.values()][:12]
+    scores = []
+    for firsts in (alike, unlike):
+        rows = [(i, f"{firsts[i % 12]} f{i % 12}") for i in range(1_200)]
+        got = language_model.score_texts(docs_of(rows)).collect()
+        scores.append(sum(r.score for r in got) / len(got))
+    assert scores[0] == pytest.approx(scores[1], abs=0.1)
+
+
 def test_scoring_goes_on_from_the_stored_seating():
     c = np.array([500, 3, 1])
     pairs = (np.arange(2, dtype=np.uint64), np.array([0, 0, 1]), np.array([0, 1, 1]), c)
