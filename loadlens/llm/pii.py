@@ -36,12 +36,17 @@ PATTERN = re.compile(
     r"|(?P<iban>\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b)"
     r"|(?P<key>\bAKIA[0-9A-Z]{16}\b)"
     r"|(?P<secret>(?:(?<=(?i:password)=)|(?<=(?i:secret)=)|(?<=(?i:api_key)=)|(?<=(?i:token) = \"))[^\s\"']{6,})"
+    r"|(?P<ssn>(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-]))"
     r"|(?P<card>(?<![\d.+-])\d(?:[ -]?\d){12,18}(?!\.?\d))"
     rf"|(?P<ip>(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?\d))"
     r"|(?P<phone>\+\d{1,3}(?:[ .-]?\(\d{1,4}\)(?:[ .-]?\d{2,4}){2}|[ .-]\d(?:[ .-]\d\d){4}|(?:[ .-]?\d{1,4}){2,3})(?!\d)|\(\d{3}\) ?\d{3}-\d{4}\b)"
-    r"|(?P<ssn>(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-]))"
     rf"|\b(?P<title>{_TITLE})\.? (?P<name>[^\W\d_a-z]['’\w-]*[^\W\d_](?: [^\W\d_a-z]['’\w-]*[^\W\d_])?)"
 )
+#: The same without what a checksum decides.
+UNCHECKED = re.compile(re.sub(r"\(\?P<(?:iban|card)>", r"\g<0>(?!)", PATTERN.pattern))
+_RUN = re.compile(r"\d+(?:[ -]\d+)*")
+#: Lengths of the groups in which card numbers are written.
+_CARD_GROUPS = {(4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 4, 4, 4, 3), (4, 4, 4, 1), *((n,) for n in range(13, 20))}
 #: What a text needs to hold any of these.
 HINT = re.compile(rf"[@\d]|(?i:password=|token = |secret=|api_key=)|\b(?:{_TITLE})\.? ")
 _DIGITS = ("card", "phone", "ssn")
@@ -59,12 +64,76 @@ def iban_check(country: str, rest: str) -> str:
     return f"{98 - int(number) % 97:02d}"
 
 
+def cards(text: str, start: int) -> tuple[list[tuple[int, int]], int]:
+    """The card numbers in the run of digit groups from start, as (start, end), and the end of the run.
+
+    Numbers in the usual groups come first, wherever in the run they begin; what is left of the run before them is
+    one if it, or its start up to one of its separators, has the checksum.
+    """
+    run = _RUN.match(text, start)
+    groups = [(start + m.start(), start + m.end()) for m in re.finditer(r"\d+", run[0])]
+    ends = len(groups) - bool(re.match(r"\.\d", text[run.end() : run.end() + 2]))
+    good = lambda i, j: 13 <= sum(b - a for a, b in groups[i:j]) <= 19 and luhn(re.sub(r"\D", "", text[groups[i][0] : groups[j - 1][1]]))
+    found, i = [], 0
+    while i < ends:
+        # the longest first
+        usual = (j for j in range(min(ends, i + 5), i, -1) if tuple(b - a for a, b in groups[i:j]) in _CARD_GROUPS and good(i, j))
+        if j := next(usual, 0):
+            found.append((i, j))
+        i = max(j, i + 1)
+    first = found[0][0] if found else ends
+    if j := next((j for j in range(min(first, 19), 0, -1) if good(0, j)), 0):
+        found.insert(0, (0, j))
+    return [(groups[i][0], groups[j - 1][1]) for i, j in found], run.end()
+
+
+def iban_end(text: str, start: int, end: int) -> int:
+    """Where an IBAN from start ends: at the end or at a space before it; start if nowhere."""
+    while end - start >= 15:
+        value = text[start:end].replace(" ", "")
+        if iban_check(value[:2], value[4:]) == value[2:4]:
+            return end
+        end = max(text.rfind(" ", start, end), start)
+    return start
+
+
+def _matches(text: str):
+    """(match, kind, start, end) of every entity, in order; a number that fails its checksum hides nothing that is in it."""
+    at = 0
+    while m := PATTERN.search(text, at):
+        kind, start, end = m.lastgroup, m.start(), m.end()
+        if kind == "iban":
+            end = iban_end(text, start, end)
+            if end > start:
+                yield m, kind, start, end
+            elif other := UNCHECKED.match(text, start):
+                yield other, other.lastgroup, other.start(other.lastgroup), other.end(other.lastgroup)
+                end = other.end()
+            else:
+                end = start + 4
+        elif kind == "card":
+            found, end = cards(text, start)
+            at = start
+            for a, b in [*found, (end, end)]:
+                # other kinds begin where a group of digits does
+                for begin in [at + group.start() for group in re.finditer(r"\d+", text[at:a])]:
+                    if begin >= at and (other := UNCHECKED.match(text, begin, a if a < end else len(text))):
+                        yield other, other.lastgroup, other.start(other.lastgroup), other.end(other.lastgroup)
+                        at = other.end()
+                if a < b:
+                    yield None, kind, a, b
+                    at = b
+            end = max(at, end)
+        else:
+            yield m, kind, m.start(kind), m.end(kind)
+        at = end
+
+
 def mentions(text: str):
     """(start, end, kind, value) of every entity, in order. A name gives one for each of its words."""
     if not HINT.search(text):
         return
-    for m in PATTERN.finditer(text):
-        kind = m.lastgroup
+    for m, kind, start, end in _matches(text):
         if kind == "name":
             words, at = m["name"].split(" "), m.start("name")
             gender = _GENDER[m["title"].lower()]
@@ -72,18 +141,14 @@ def mentions(text: str):
                 yield at, at + len(w), "given_" + gender if i < len(words) - 1 else "surname", w.lower()
                 at += len(w) + 1
             continue
-        value = m[kind]
+        value = text[start:end]
         if kind in _DIGITS:
             value = re.sub(r"[^\d+]", "", value)
         elif kind == "email":
             value = value.lower()
         elif kind == "iban":
             value = value.replace(" ", "")
-            if iban_check(value[:2], value[4:]) != value[2:4]:
-                continue
-        if kind == "card" and not luhn(value):
-            continue
-        yield m.start(kind), m.end(kind), kind, value
+        yield start, end, kind, value
 
 
 class _Draws:

@@ -144,6 +144,24 @@ def test_pii_forms_distinctness_and_coreference(docs_of, documents):
     assert not {(k, v) for k, v in back} & set(to)
 
 
+CARD, IBAN = "4111 1111 1111 1111", "ES91 2100 0418 4502 0005 1332"
+
+
+@pytest.mark.parametrize("text, want", [
+    (f"{CARD} 123", [("card", CARD)]), (f"{CARD} 12/25", [("card", CARD)]), (f"{CARD}-12-2025", [("card", CARD)]),
+    (f"123-45-6789 {CARD}", [("ssn", "123-45-6789"), ("card", CARD)]), (f"42 {CARD} 7 x", [("card", CARD)]),
+    (f"{CARD} 5500 0055 5555 5559 9", [("card", CARD), ("card", "5500 0055 5555 5559")]),
+    (f"3782 822463 10005 {CARD}", [("card", "3782 822463 10005"), ("card", CARD)]), (f"{CARD.replace(' ', '')} 123", [("card", CARD.replace(" ", ""))]),
+    (f"{CARD} 555 10.0.0.1", [("card", CARD), ("ip", "10.0.0.1")]), (f"1 2 3 {CARD}.5 4111", []),
+    (f"{CARD} 123-45-6789", [("card", CARD), ("ssn", "123-45-6789")]),
+    (f"{IBAN} EUR", [("iban", IBAN)]), (f"{IBAN} 2024", [("iban", IBAN)]), (f"{IBAN} PAID 12 A", [("iban", IBAN)]),
+    (f"GB00 {CARD}", [("card", CARD)]), (f"ID12 3456 7890 1234 {IBAN}", [("iban", IBAN)]),
+    (f"{IBAN} {CARD}", [("iban", IBAN), ("card", CARD)]), ("1234 5678 9012 3456 x 4111111111111112", []),
+])
+def test_pii_numbers_beside_other_digits_and_capitals(text, want):
+    assert [(k, text[a:b]) for a, b, k, _ in pii.mentions(text)] == want
+
+
 def test_pii_collisions_are_drawn_again(spark, monkeypatch):
     few = [("surname", f"name{i}") for i in range(300)] + [("ssn", f"{i:09d}") for i in range(50)]
     monkeypatch.setattr(pii, "_VOWELS", "a")
