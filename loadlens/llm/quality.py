@@ -3,7 +3,8 @@
 Two histograms per document: character classes, and the most common words of its language with all
 other words as one more bin. Each is compared with the same histogram over all documents of the language
 that pass the plain limits and have few symbols, by Jensen-Shannon distance (base 2, 0 to 1). A document too
-short for its histograms to mean anything is not judged by them.
+short for its histograms to mean anything is not judged by them, nor one without a language or of a language with
+too few words for a reference: its distances are those from all languages together.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .packing import pack, unpack
 from .shared import stored
 from .words import LOWER, Block, Words, blocks, mixed, range_keys, words_in
 
@@ -31,8 +33,11 @@ MOST_CHAR_DISTANCE = 0.18
 MOST_WORD_DISTANCE = 0.28
 NOISE = 0.5
 COMMON = 50
-#: Languages with a reference of their own, the largest ones; all others share the pooled reference.
-LANGUAGES = 200
+#: A language whose reference has fewer words is not judged by it, nor is a document without a language.
+LEAST_REFERENCE_WORDS = 1_000
+#: Up to so many languages the references travel with the tasks; more are joined to the documents.
+SENT_LANGUAGES = 10_000
+COPIES = 64  # of each reference that is joined, so that no task gets all documents of a language
 
 _CLASS = np.full(256, len(CLASSES) - 2, np.uint8)
 _CLASS[ord("a") : ord("z") + 1] = 0
@@ -110,6 +115,14 @@ def _class_counts(block: Block) -> np.ndarray:
     return np.bincount(doc * k + _CLASS[block.data], minlength=block.n * k).reshape(block.n, k)[:, :-1]
 
 
+def _by_language(of: list):
+    """Each language and which texts have it."""
+    number = {lang: i for i, lang in enumerate(dict.fromkeys(of))}
+    which = np.array([number[x] for x in of])
+    for lang, i in number.items():
+        yield lang, which == i
+
+
 def _references(batches):
     """(lang, text) -> (lang, key, count): words by key, character classes by kind 1."""
     for batch in batches:
@@ -122,8 +135,8 @@ def _references(batches):
             good = ~base["base_failed"] & (100 * base["n_symbols"] <= MOST_SYMBOLS * base["n_words"])
             counts = _class_counts(block)
             of = langs[block.first : block.first + block.n]
-            for lang in dict.fromkeys(of):
-                docs = good & np.array([x == lang for x in of], bool)
+            for lang, docs in _by_language(of):
+                docs &= good
                 classes[lang] = classes.get(lang, 0) + counts[docs].sum(axis=0)
                 key, n = np.unique(words.key[docs[words.doc]], return_counts=True)
                 found.setdefault(lang, []).append((key, n))
@@ -150,11 +163,20 @@ def distance(counts: np.ndarray, reference: np.ndarray) -> np.ndarray:
 
 
 def _judge(references: dict, char_limit: float, word_limit: float):
-    """references: lang -> (common word keys, sorted; their counts and the rest; class counts); '' is the pool."""
+    """references: lang -> (common word keys, sorted; their counts and the rest; class counts); None is the pool.
+
+    Batches with a fourth column, the language's reference or null, bring those of named languages themselves.
+    """
+    sent = references
 
     def run(batches):
         for batch in batches:
-            ids, langs = batch.column(0), batch.column(1).to_pylist()
+            ids, langs, references = batch.column(0), batch.column(1).to_pylist(), dict(sent)
+            if batch.num_columns > 3:
+                own = batch.column(3)
+                for lang, i in {x: i for i, x in enumerate(langs) if x is not None}.items():
+                    if own[i].is_valid:
+                        references[lang] = _unpacked(own[i].as_py())
             parts = []
             for block in blocks(batch.column(2)):
                 exact = words_in(block, block.data)
@@ -164,8 +186,7 @@ def _judge(references: dict, char_limit: float, word_limit: float):
                 n = out["n_words"]
                 of = [x if x in references else None for x in langs[block.first : block.first + block.n]]
                 chars, common = np.zeros(block.n), np.zeros(block.n)
-                for lang in dict.fromkeys(of):
-                    docs = np.array([x == lang for x in of], bool)
+                for lang, docs in _by_language(of):
                     keys, word_ref, class_ref = references[lang]
                     mine = docs[words.doc]
                     bin_ = np.searchsorted(keys, words.key[mine])
@@ -177,7 +198,8 @@ def _judge(references: dict, char_limit: float, word_limit: float):
                     chars[docs] = distance(classes[docs], np.broadcast_to(class_ref, (docs.sum(), len(CLASSES))))
                 judged_c, judged_w = classes.sum(axis=1) >= LEAST_CHARS_JUDGED, n >= LEAST_WORDS_JUDGED
                 chance = NOISE / np.sqrt(np.maximum(n, 1))
-                far = judged_c & (chars > char_limit) & judged_w & (common > word_limit + chance)
+                own = np.array([x is not None for x in of], bool)
+                far = own & judged_c & (chars > char_limit) & judged_w & (common > word_limit + chance)
                 out |= {"char_distance": chars, "word_distance": common, "kept": ~out["base_failed"] & ~far}
                 parts.append(out)
             if parts:
@@ -192,9 +214,9 @@ def _keeping(judge, schema):
 
     def run(batches):
         for batch in batches:
-            of = pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(batch.num_rows)), batch.column("_lang"), batch.column("_text")], ["row", "lang", "text"]
-            )
+            of = [pa.array(np.arange(batch.num_rows)), batch.column("_lang"), batch.column("_text")]
+            of += [batch.column("_ref")] if "_ref" in batch.schema.names else []
+            of = pa.RecordBatch.from_arrays(of, ["row", "lang", "text", "ref"][: len(of)])
             for out in judge(iter([of])):
                 yield batch.select(schema).filter(out.column("kept"))
 
@@ -205,38 +227,59 @@ def keep_good(
     docs: DataFrame, text: str = "text", lang: str = "lang",
     char_limit: float = MOST_CHAR_DISTANCE, word_limit: float = MOST_WORD_DISTANCE,
 ) -> DataFrame:
-    """The rows of docs that judge_quality keeps, with all their columns; none may be named `_lang` or `_text`."""
+    """The rows of docs that judge_quality keeps, with all their columns; none may be named `_lang`, `_text` or `_ref`."""
     own = docs.withColumns({"_lang": F.col(lang).cast("string"), "_text": F.col(text)})
-    references = _reference_table(own.select(F.col("_lang").alias("lang"), F.col("_text").alias("text")))
+    own, references = _with_references(own, "_lang", "_text", "_ref")
     return own.mapInArrow(_keeping(_judge(references, char_limit, word_limit), docs.columns), docs.schema)
 
 
-def _reference_table(docs: DataFrame) -> dict:
-    """The references of the largest languages and, under None, of everything together."""
-    counts = docs.select("lang", "text").mapInArrow(_references, "lang string, kind int, key long, n long")
+def _packed(batches):
+    """(lang, words, parts) -> (lang, ref): the common words, their counts and the rest, the class counts as bytes."""
+    for batch in batches:
+        out = []
+        for total, parts in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            words = sorted((p["key"] % (1 << 64), p["n"]) for p in parts if p["kind"] == 0)
+            classes = np.zeros(len(CLASSES), np.int64)
+            for p in parts:
+                if p["kind"] == 1:
+                    classes[p["key"]] = p["n"]
+            out.append(pack(np.array([k for k, _ in words], np.uint64), np.array([*(n for _, n in words), total - sum(n for _, n in words)]), classes))
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["lang", "ref"])
+
+
+def _unpacked(ref: bytes):
+    keys, n, classes = unpack(ref)
+    return keys.view(np.uint64), n.astype(float), classes.astype(float)
+
+
+def _with_references(docs: DataFrame, lang: str, text: str, ref: str) -> tuple[DataFrame, dict]:
+    """docs, and the references that go with tasks: under None that of everything together, and those of all languages that
+    have enough words. Where these are too many to send, docs get a column ref with the one of their language."""
+    counts = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text")).mapInArrow(
+        _references, "lang string, kind int, key long, n long"
+    )
     counts = stored(counts.groupBy("lang", "kind", "key").agg(F.sum("n").alias("n")), "histograms")
-    sizes = counts.filter("kind = 0").groupBy("lang").agg(F.sum("n").alias("words"))
-    largest = [r.lang for r in sizes.orderBy(F.desc("words"), F.asc_nulls_last("lang")).limit(LANGUAGES).collect()]
+    sizes = counts.filter("kind = 0 AND lang IS NOT NULL").groupBy("lang").agg(F.sum("n").alias("words"))
+    sizes = sizes.filter(F.col("words") >= LEAST_REFERENCE_WORDS)
     everything = counts.groupBy("kind", "key").agg(F.sum("n").alias("n"))
-    named = [x for x in largest if x is not None]
-    chosen = counts.filter(F.col("lang").isin(named)) if named else counts.limit(0)
-    both = chosen.select("lang", "kind", "key", "n").unionByName(
-        everything.select(F.lit(None).cast("string").alias("lang"), "kind", "key", "n")
-    )
     top = W.partitionBy("lang", "kind").orderBy(F.desc("n"), "key")
-    rows = both.withColumn("place", F.row_number().over(top)).filter(F.col("place") <= COMMON).collect()
-    totals = {r.lang: r.words for r in both.filter("kind = 0").groupBy("lang").agg(F.sum("n").alias("words")).collect()}
-    out = {}
-    for lang in [None, *named]:
-        words = sorted((r.key % (1 << 64), r.n) for r in rows if r.lang == lang and r.kind == 0)
-        classes = np.zeros(len(CLASSES))
-        for r in rows:
-            if r.lang == lang and r.kind == 1:
-                classes[r.key] = r.n
-        keys = np.array([k for k, _ in words], np.uint64)
-        n = np.array([c for _, c in words] + [totals.get(lang, 0) - sum(c for _, c in words)], float)
-        out[lang] = (keys, n, classes)
-    return out
+    common = lambda df: df.withColumn("place", F.row_number().over(top)).filter(F.col("place") <= COMMON).groupBy("lang").agg(
+        F.collect_list(F.struct("kind", "key", "n")).alias("parts")
+    )
+    named = common(counts.filter("lang IS NOT NULL")).join(sizes, "lang").select("lang", "words", "parts")
+    named = stored(named.mapInArrow(_packed, "lang string, ref binary"), "references")
+    pool = common(everything.select(F.lit(None).cast("string").alias("lang"), "kind", "key", "n")).crossJoin(
+        everything.filter("kind = 0").agg(F.sum("n").alias("words"))
+    )
+    pool = pool.select("lang", F.coalesce("words", F.lit(0)).alias("words"), "parts").mapInArrow(_packed, "lang string, ref binary").collect()
+    nothing = (np.zeros(0, np.uint64), np.zeros(1), np.zeros(len(CLASSES)))
+    references = {None: _unpacked(pool[0].ref) if pool else nothing}
+    if named.count() <= SENT_LANGUAGES:
+        return docs, references | {r.lang: _unpacked(r.ref) for r in named.collect()}
+    copies = named.select(F.col("lang").alias("_of"), F.col("ref").alias(ref), F.explode(F.sequence(F.lit(0), F.lit(COPIES - 1))).alias("_copy"))
+    own = docs.withColumn("_salt", F.pmod(F.xxhash64(text), F.lit(COPIES)).cast("int"))
+    joined = own.join(copies, (F.col(lang) == F.col("_of")) & (F.col("_salt") == F.col("_copy")), "left")
+    return joined.select(*docs.columns, ref), references
 
 
 def judge_quality(
@@ -247,16 +290,17 @@ def judge_quality(
     base_failed, char_distance, word_distance, kept.
 
     base_failed: fewer than 50 words, or over half of the words in three-word windows that come twice. The
-    references count all documents that pass this and have at most one symbol for ten words. Null and empty texts have no words and fail; a null or rare
-    language is compared with the reference of all languages together; repeated rows count as often as they
+    references count all documents that pass this and have at most one symbol for ten words. Null and empty texts have no words and fail; with a null
+    language or one of fewer than 1,000 reference words, distances are those from all languages together and reject nothing; repeated rows count as often as they
     come; a table without rows gives none. Other columns are not read. `row` may be any column of docs; it comes out
     as doc_id.
     """
     docs = docs.select(F.col(row).alias("row"), F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
+    docs, references = _with_references(docs, "lang", "text", "ref")
     long_ = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean"
     kind = docs.schema["row"].dataType.simpleString()
     judged = docs.mapInArrow(
-        _judge(_reference_table(docs), char_limit, word_limit),
+        _judge(references, char_limit, word_limit),
         f"row {kind}, {long_}, char_distance double, word_distance double, kept boolean",
     )
     return judged.withColumnRenamed("row", "doc_id")

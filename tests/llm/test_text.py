@@ -59,6 +59,21 @@ def test_quality_finds_junk_and_keeps_prose(spark):
     assert bad.filter("kept").count() <= 0.03 * bad.count()
 
 
+def test_quality_every_language_has_a_reference(docs_of, monkeypatch):
+    """Clean texts of rare or unknown scripts are kept beside many larger languages, whichever way references travel."""
+    rnd = np.random.default_rng(4)
+    prose = lambda first, n: " ".join("".join(chr(first + k) for k in rnd.integers(0, 20, 5)) for _ in range(n))
+    rows = [(i, prose(ord("a"), 1_300), f"l{i:03d}") for i in range(205)]
+    rows += [(900, prose(0x4E00, 1_100), "zh"), (901, prose(0x4E00, 300), None), (902, prose(0x0430, 300), "rare")]
+    df = docs_of(rows)
+    got = {r.doc_id: r for r in quality.judge_quality(df).collect()}
+    assert len(got) == len(rows) and all(r.kept for r in got.values())
+    assert got[900].char_distance == 0 and got[901].char_distance > quality.MOST_CHAR_DISTANCE
+    monkeypatch.setattr(quality, "SENT_LANGUAGES", 0)
+    again = {r.doc_id: r for r in quality.judge_quality(df).collect()}
+    assert again == got and quality.keep_good(df).count() == len(rows)
+
+
 def test_js_distance():
     p, q = np.array([[1.0, 0.0], [5.0, 5.0]]), np.array([[0.0, 2.0], [1.0, 1.0]])
     assert quality.distance(p, q) == pytest.approx([1.0, 0.0])
