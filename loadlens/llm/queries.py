@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import encode_digests
+from .conversation_repair import repair_damaged
 from .exact_dedup import exact_dedup
 from .language_model import score_texts
 from .licences import oracle as licence_oracle
@@ -65,7 +66,11 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir)).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op2_pii_surrogates, op3_quality_rules, op4_license_scan, op5_token_counts, op6_url_filter, op7_bpe_encode_decode, op8_lm_scoring, op9_mix_sources, op10_exact_dedup)}
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_damaged(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op2_pii_surrogates, op3_quality_rules, op4_license_scan, op5_token_counts, op6_url_filter, op7_bpe_encode_decode, op8_lm_scoring, op9_mix_sources, op10_exact_dedup, op11_conversation_repair)}
 
 ORACLE = {
     "op4_license_scan": licence_oracle(),
