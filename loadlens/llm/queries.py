@@ -13,6 +13,8 @@ from .licences import scan_licences
 from .minhash import near_duplicates
 from .mixing import mix
 from .pii import replace_pii
+from .prefix_trie import oracle as trie_oracle
+from .prefix_trie import rebuilt_trie
 from .quality import judge_quality
 from .shared import documents
 from .token_counts import count_tokens
@@ -70,10 +72,15 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_damaged(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op2_pii_surrogates, op3_quality_rules, op4_license_scan, op5_token_counts, op6_url_filter, op7_bpe_encode_decode, op8_lm_scoring, op9_mix_sources, op10_exact_dedup, op11_conversation_repair)}
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rebuilt_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op2_pii_surrogates, op3_quality_rules, op4_license_scan, op5_token_counts, op6_url_filter, op7_bpe_encode_decode, op8_lm_scoring, op9_mix_sources, op10_exact_dedup, op11_conversation_repair, op12_prefix_trie)}
 
 ORACLE = {
     "op4_license_scan": licence_oracle(),
+    "op12_prefix_trie": trie_oracle(),
     "op10_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
