@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .bpe import encode_digests
 from .conversation_repair import repair_damaged
 from .exact_dedup import exact_dedup
+from .html_text import extract_text
 from .language_model import score_texts
 from .licences import oracle as licence_oracle
 from .licences import scan_licences
@@ -76,7 +77,11 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rebuilt_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op2_pii_surrogates, op3_quality_rules, op4_license_scan, op5_token_counts, op6_url_filter, op7_bpe_encode_decode, op8_lm_scoring, op9_mix_sources, op10_exact_dedup, op11_conversation_repair, op12_prefix_trie)}
+def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op2_pii_surrogates, op3_quality_rules, op4_license_scan, op5_token_counts, op6_url_filter, op7_bpe_encode_decode, op8_lm_scoring, op9_mix_sources, op10_exact_dedup, op11_conversation_repair, op12_prefix_trie, op13_html_extraction)}
 
 ORACLE = {
     "op4_license_scan": licence_oracle(),
