@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from .shared import stored, word_count
 
 #: Turns and conversations of a container that one task sorts.
-MOST = 10_000
+MOST = 2_000
 NOTHING = hashlib.sha256(b"").hexdigest()
 NODE = T.StructType(
     [T.StructField(c, T.LongType()) for c in ("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens")]
@@ -52,6 +52,7 @@ def numbered(conversations: DataFrame) -> DataFrame:
     role = text("role")
     turn_id = _id(F.length(role).cast("string").cast("binary"), F.lit(b":"), role.cast("binary"), text("text").cast("binary"))
     light = conversations.filter("conv_id IS NOT NULL").select(F.col("conv_id").cast("long"), "turn", turn_id.alias("turn_id"), word_count(F.col("text")).alias("words"))
+    light = stored(light, "light")  # dealing by range reads its input twice; texts are read once
     parts = int(conversations.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = ["conv_id", "turn", "turn_id"]
     schema = T.StructType([T.StructField(*x) for x in (("conv_id", T.LongType()), ("position", T.LongType()), ("turn_id", T.BinaryType()), ("words", T.LongType()), ("part", T.IntegerType()))])
