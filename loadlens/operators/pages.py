@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 PAGES_PER_RANGE = 1_000
 
 
-def _assemble(pages: DataFrame, doc, page: str, text: Column, by: str, pages_per_range: int) -> DataFrame:
+def _assemble(pages: DataFrame, doc, page: str, text: Column, by: str, pages_per_range: int, any_of=()) -> DataFrame:
     """One row per document: its pages in order, those without a number last, in order of their text.
 
+    any_of: boolean columns of pages that hold for a document if they do for any of its pages.
+
     The pages of a range are joined first, then the few ranges of the document, so a long
     document is one row like any other.
     """
@@ -20,16 +22,17 @@ def _assemble(pages: DataFrame, doc, page: str, text: Column, by: str, pages_per
     item = F.when(text.isNotNull(), F.struct(number.isNull().alias("last"), number.alias("page"), text.alias("text")))
     span = F.floor(number / pages_per_range).alias("_range")
     # collect_list leaves nulls out, so a document of left-out pages keeps its row
-    joined = pages.groupBy(*doc, span).agg(F.array_sort(F.collect_list(item)).alias("_pages"))
+    joined = pages.groupBy(*doc, span).agg(F.array_sort(F.collect_list(item)).alias("_pages"), *[F.max(c).alias(c) for c in any_of])
     part = F.when(F.size("_pages") > 0, F.array_join("_pages.text", by))
-    ranges = joined.select(*doc, F.struct(F.col("_range").isNull().alias("last"), "_range", part.alias("text")).alias("_part"))
+    ranges = joined.select(*doc, F.struct(F.col("_range").isNull().alias("last"), "_range", part.alias("text")).alias("_part"), *any_of)
     whole = F.array_sort(F.collect_list(F.when(F.col("_part.text").isNotNull(), F.col("_part"))))
-    return ranges.groupBy(*doc).agg(whole.alias("_parts")).select(*doc, F.array_join("_parts.text", by).alias("text"))
+    docs = ranges.groupBy(*doc).agg(whole.alias("_parts"), *[F.max(c).alias(c) for c in any_of])
+    return docs.select(*doc, F.array_join("_parts.text", by).alias("text"), *any_of)
 
 
-def assemble(pages: DataFrame, doc, page="page_no", text="text", pages_per_range=PAGES_PER_RANGE) -> DataFrame:
+def assemble(pages: DataFrame, doc, page="page_no", text="text", pages_per_range=PAGES_PER_RANGE, any_of=()) -> DataFrame:
     """Pages joined by a blank line; a failed (null) page is '' and keeps its slot."""
-    return _assemble(pages, doc, page, F.coalesce(F.col(text), F.lit("")), "\n\n", pages_per_range)
+    return _assemble(pages, doc, page, F.coalesce(F.col(text), F.lit("")), "\n\n", pages_per_range, any_of)
 
 
 def assemble_filled(pages: DataFrame, doc, page="page_no", text="text", pages_per_range=PAGES_PER_RANGE) -> DataFrame:
@@ -45,9 +48,9 @@ def ledger(files: DataFrame, ok: Column, by=()) -> DataFrame:
     )
 
 
-def require_converted(counts: DataFrame) -> int:
-    """Number of converted files; raises if there is none."""
-    total = counts.agg(F.coalesce(F.sum("converted"), F.lit(0))).first()[0]
+def require_converted(counts: DataFrame | int) -> int:
+    """Number of converted files, from a ledger or as it is; raises if there is none."""
+    total = counts if isinstance(counts, int) else counts.agg(F.coalesce(F.sum("converted"), F.lit(0))).first()[0]
     if total == 0:
         raise ValueError("no document was converted")
     return total

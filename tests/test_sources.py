@@ -66,6 +66,65 @@ def test_truncate_overwrite_and_old_columns(spark):
     assert documents.read_table(spark, "evolving").columns == ["k", "added"]
 
 
+def _failing(spark, columns):
+    """Rows of which some are written before one of them fails its task."""
+    rows = spark.range(0, 4000, 1, 4).selectExpr(*columns)
+    return rows.filter(F.when(F.col("k") == 3999, F.raise_error(F.lit("broken row"))).otherwise(F.lit(True)))
+
+
+@pytest.mark.parametrize("columns", [["id AS k"], ["id AS k", "'x' AS added"]])
+def test_failed_overwrite_leaves_the_old_rows(spark, columns):
+    name = f"kept_{len(columns)}"
+    assert tables.overwrite(spark.range(5).selectExpr("id AS k"), name) == 5
+    before = set(spark.catalog.listTables()[i].name for i in range(len(spark.catalog.listTables())))
+    with pytest.raises(Exception, match="broken row"):
+        tables.overwrite(_failing(spark, columns), name)
+    assert [r.k for r in spark.table(name).orderBy("k").collect()] == [0, 1, 2, 3, 4]
+    assert spark.table(name).columns == ["k"]
+    with pytest.raises(ValueError, match="refused"):
+        tables.overwrite(spark.range(2).selectExpr(*columns), name, accept=lambda rows: (_ for _ in ()).throw(ValueError("refused")))
+    assert spark.table(name).count() == 5
+    assert {t.name for t in spark.catalog.listTables()} == before
+    assert tables.overwrite(spark.range(7).selectExpr(*columns), name) == 7
+    assert tables.overwrite(spark.table(name).filter("k < 3"), name) == 3  # it may read what it replaces
+    assert spark.table(name).count() == 3 and {t.name for t in spark.catalog.listTables()} == before
+    places = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name IN ('Location', 'Type')").collect()
+    assert {r.col_name: r.data_type for r in places}["Type"] == "MANAGED"
+    assert tables.truncate(spark, name) and spark.table(name).count() == 0
+
+
+def test_failed_first_write_leaves_no_table(spark):
+    with pytest.raises(Exception, match="broken row"):
+        tables.overwrite(_failing(spark, ["id AS k"]), "never_there")
+    assert not spark.catalog.tableExists("never_there")
+    assert tables.overwrite(spark.range(3), "never_there") == 3
+
+
+def test_old_files_go_and_interrupted_changes_are_put_back(spark, tmp_path):
+    import os
+
+    place = lambda: spark.sql("DESCRIBE TABLE EXTENDED swapped").filter("col_name = 'Location'").first().data_type.removeprefix("file:")
+    tables.overwrite(spark.range(3), "swapped")
+    first = place()
+    tables.overwrite(spark.range(4), "swapped")
+    assert place() != first and os.path.isdir(place()) and not os.path.isdir(first)
+    # a job ended after the old table was renamed
+    spark.sql("ALTER TABLE swapped RENAME TO swapped__old")
+    assert tables.put_back(spark, "swapped") and spark.table("swapped").count() == 4
+    spark.sql("ALTER TABLE swapped RENAME TO swapped__old")
+    assert tables.overwrite(spark.range(6).selectExpr("id", "id AS more"), "swapped") == 6
+    assert spark.table("swapped").count() == 6 and not spark.catalog.tableExists("swapped__old")
+
+
+def test_overwrite_in_a_named_database(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS lake")
+    for rows in (3, 4):
+        assert tables.overwrite(spark.range(rows), "lake.loads") == rows
+        assert tables.overwrite(spark.range(rows).selectExpr("id", "'a' AS extra"), "lake.loads") == rows
+    assert spark.table("lake.loads").count() == 4
+    assert [t.name for t in spark.catalog.listTables("lake")] == ["loads"]
+
+
 def test_load_and_validate(spark, folder):
     assert pipeline.load(spark, str(folder), "loads_cy") == 2
     written = spark.table("loads_cy")
@@ -124,6 +183,30 @@ def test_convert(spark):
     with pytest.raises(ValueError):
         pipeline.convert(df.filter("page_no = 9"), "converted", "/in", "/out")
     assert spark.table("converted").count() == 1
+    again = df.withColumn("ok", F.lit(True))
+    assert [tuple(r) for r in pipeline.convert(again, "converted", "/in", "/out").collect()] == [(2, 0)]
+    assert {r.target_path for r in spark.table("converted").collect()} == {"/out/x/a.txt", "/out/b.txt"}
+
+
+def test_convert_shows_nothing_when_no_document_was_converted(spark):
+    df = spark.createDataFrame([("/in/a.pdf", 1, "x", False)], "source_file string, page_no int, text string, ok boolean")
+    with pytest.raises(ValueError, match="no document"):
+        pipeline.convert(df, "unconverted", "/in", "/out")
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("unconverted")]
+
+
+def test_convert_reads_its_pages_once(spark, tmp_path):
+    rows = [(f"/in/{i % 7}.pdf", i, "text", i % 7 != 3) for i in range(50)]
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    df = spark.createDataFrame(rows, "source_file string, page_no int, text string, ok boolean")
+    assert [tuple(r) for r in pipeline.convert(df.mapInArrow(count, df.schema), "read_once", "/in", "/out").collect()] == [(6, 1)]
+    assert read.value == 50
 
 
 def test_load_as_each_rule_set_reads(spark, folder):
