@@ -50,6 +50,15 @@ def in_order(*pieces: str) -> str:
     return r"\A" + "".join(rf"(?>(?s:.*?)(?:{p}))" for p in pieces)
 
 
+def after_first(label: str, rest: str) -> str:
+    """A pattern for rest right after the first label, which is looked for once.
+
+    The same as label + rest wherever rest, if it holds after a later label, holds after the first one too: then no
+    other label has to be tried, and a text without a match is given up in one pass.
+    """
+    return rf"\A(?>(?s:.*?)(?:{label}))(?:{rest})"
+
+
 def captures(c: Column, pattern: str, groups: int, flags: str = "i", guard: str | None = None) -> Column:
     """Groups 1..n of the first match as an array read with get(a, g).
 
@@ -67,6 +76,39 @@ def group(caps: Column, g: int) -> Column:
     return F.coalesce(strip(F.get(caps, F.lit(g))), F.lit(""))
 
 
+# What street numbers, streets and cities of an invoice address are made of.
+STREET = r"[A-Za-z0-9#.,\s]"
+CITY = r"[A-Za-z\s]"
+STATE_AND_ZIP = r",\s*([A-Z]{2})\s*(\d{5})"
+
+
+def invoice_address(c: Column) -> Column:
+    """Street, city, state and zip code as captures() would give them for
+    (\\d{1,6}\\s+[street]+?)\\s*(?:\\n|,)?\\s*([city]+),\\s*([A-Z]{2})\\s*(\\d{5}), in time linear in the text.
+
+    All of a match lies in one run of street characters, and if any number of the run starts a match, its first one does.
+    So each run is taken from its first number on, searched for ', ST 12345' behind a city character, and the city is
+    then read backwards from there.
+    """
+    runs = F.regexp_extract_all(c, F.lit(rx(rf"\d{{1,6}}\s{STREET}*+")), F.lit(0))
+    # a number, white space and one more character; without one, a space of its own counts as such
+    found = F.transform(
+        runs,
+        lambda r: captures(r, rf"\A(?:(\d{{1,6}}\s++{STREET})((?s:.*?){CITY})|(\d{{1,6}}\s+\s)({CITY})){STATE_AND_ZIP}", 6),
+    )
+    first = F.get(F.filter(found, lambda f: F.size(f) > 1), F.lit(0))
+
+    def parts(f: Column) -> Column:
+        head = F.concat(F.get(f, F.lit(1)), F.get(f, F.lit(3)))
+        rest = F.concat(F.get(f, F.lit(2)), F.get(f, F.lit(4)))
+        city = F.reverse(F.regexp_extract(F.reverse(rest), rx(rf"\A{CITY}++"), 0))
+        before = F.left(rest, F.length(rest) - F.length(city))
+        street = F.concat(head, F.regexp_replace(before, rx(r",\z", ""), ""))
+        return F.array(F.lit(""), street, city, F.get(f, F.lit(5)), F.get(f, F.lit(6)))
+
+    return F.when(first.isNotNull(), let(first, parts))
+
+
 def first_filled(*cols: Column) -> Column:
     """First value that is neither null nor ''; else ''."""
     if not cols:

@@ -64,6 +64,22 @@ class Group:
     clean: dict = field(default_factory=dict)
     guard: str | None = None  # holds for every text that the pattern matches
 
+    def captures(self, scope: Column) -> Column:
+        return tx.captures(scope, self.pattern, len(self.fields), self.flags, self.guard)
+
+
+@dataclass(frozen=True)
+class Parts:
+    """Several fields from the entries 1, 2, ... of an array, null if there are none."""
+
+    fields: tuple
+    function: object
+    scope: str = "text"
+    clean: dict = field(default_factory=dict)
+
+    def captures(self, scope: Column) -> Column:
+        return self.function(scope)
+
 
 @dataclass(frozen=True)
 class Computed:
@@ -107,11 +123,9 @@ def header(df: DataFrame, rules, text: str = DOC_TEXT, constants=None) -> DataFr
     scopes = sorted({r.scope for r in rules} - {"text"})
     df = df.withColumns({f"_{s}": segment.section(doc, s) for s in scopes})
     scope = lambda r: doc if r.scope == "text" else F.col(f"_{r.scope}")
-    groups = [r for r in rules if isinstance(r, Group)]
-    df = df.withColumns(
-        {f"_g{i}": tx.captures(scope(r), r.pattern, len(r.fields), r.flags, r.guard) for i, r in enumerate(groups)}
-    )
-    out = {r.field: r.column(scope(r), doc) for r in rules if not isinstance(r, Group)}
+    groups = [r for r in rules if isinstance(r, (Group, Parts))]
+    df = df.withColumns({f"_g{i}": r.captures(scope(r)) for i, r in enumerate(groups)})
+    out = {r.field: r.column(scope(r), doc) for r in rules if not isinstance(r, (Group, Parts))}
     for i, r in enumerate(groups):
         for g, name in enumerate(r.fields, 1):
             out[name] = CLEANUPS[r.clean.get(name, "strip")](tx.group(F.col(f"_g{i}"), g))
@@ -223,7 +237,7 @@ def extract_each(df: DataFrame, rulesets, text: str = "text", keep=("source_file
     rules = {id(rule): rule for r in rulesets for rule in r.header}
     of_rule, shared = {}, []
     for i, (key, rule) in enumerate(rules.items()):
-        names = rule.fields if isinstance(rule, Group) else (rule.field,)
+        names = rule.fields if isinstance(rule, (Group, Parts)) else (rule.field,)
         of_rule[key] = {n: f"_h{i}_{n}" for n in names}
         found = header(docs, (rule,))
         docs = found.select(*keep, DOC_TEXT, *shared, *[F.col(n).alias(c) for n, c in of_rule[key].items()])

@@ -6,7 +6,7 @@ from __future__ import annotations
 from functools import partial
 
 from ..functions import text as tx
-from ..operators.extract import Computed, Fallback, Group, Rule, Ruleset
+from ..operators.extract import Computed, Fallback, Group, Parts, Rule, Ruleset
 from ..operators.segment import Splitter
 from ..operators.stops import FIELDS, BlockStop, Facility, Geo, LabelledStop, NumberedStop, ScheduledTimes, Times
 from ..sources.documents import Reader
@@ -229,9 +229,9 @@ UTB_HEADER = (
     Rule("broker_phone", (r"Tel[:\s]*" + US_PHONE,), "send_invoice"),
     Rule("broker_fax", (r"Fax[:\s]*" + US_PHONE,), "send_invoice"),
     Computed("broker_email", tx.emails_joined, "send_invoice"),
-    Group(
+    Parts(
         ("broker_address", "broker_city", "broker_state", "broker_zipcode"),
-        r"(\d{1,6}\s+[A-Za-z0-9#.,\s]+?)\s*(?:\n|,)?\s*([A-Za-z\s]+),\s*([A-Z]{2})\s*(\d{5})",
+        tx.invoice_address,
         "send_invoice",
         clean={"broker_address": "collapse"},
     ),
@@ -284,24 +284,28 @@ UTB = Ruleset(
 )
 
 LONG_NUMBER = r"([\d\-\s]{10,})"
+# White space is single spaces in this layout. A gap takes any text, so what follows a later label follows the first one
+# as well; a gap that has found the next label need not look for another one.
+PLACE = r"\s+(.*?),\s+([A-Z]{2})\s+(\d{5})"
 UTB_FLAT_HEADER = (
     Rule("loadConfirmationNumber", (r"Trip\s*#:\s*(\d+)",)),
     Rule("broker_name", (r"(USA Truck Brokers Inc\.)",), flags=""),
     Group(
         ("broker_address", "broker_city", "broker_state", "broker_zipcode"),
-        r"USA\s+Truck\s+Brokers\s+Inc\.\s+(.*?)\s+(.*?),\s+([A-Z]{2})\s+(\d{5})",
+        tx.after_first(r"USA\s+Truck\s+Brokers\s+Inc\.(?=\s)", r"(?>\s+(.*?)(?=\s))" + PLACE),
     ),
     Rule("broker_phone", (r"Tel[:\s]*" + LONG_NUMBER,), clean="no_spaces"),
     Rule("broker_fax", (r"Fax[:\s]*" + LONG_NUMBER,), clean="no_spaces"),
     Computed("broker_email", partial(tx.emails_joined, fold=True)),
-    Rule("carrier_name", (r"Carrier\s+([A-Z0-9\s]+?)\s+MC\s*#",)),
+    # names are one run of these characters: the first label of a run, looked for from where the run begins
+    Rule("carrier_name", (r"(?<![A-Z0-9\s])(?>[A-Z0-9\s]*?Carrier(?=\s))\s+([A-Z0-9\s]+?)\s+MC\s*#",)),
     Rule("carrier_mc", (r"MC\s*#?\s*(\d+)",)),
     Group(
         ("carrier_address", "carrier_city", "carrier_state", "carrier_zipcode"),
-        r"Address\s+(.*?)\s+City\s+(.*?),\s+([A-Z]{2})\s+(\d{5})",
+        tx.after_first(r"Address(?=\s)", r"(?>\s+(.*?)\s+City(?=\s))" + PLACE),
     ),
     Rule("carrier_phone", (r"Phone\s+" + LONG_NUMBER,), clean="no_spaces"),
-    Rule("carrier_contact", (r"Contact\s+(.*?)\s+(?:Service|Notes|Payment)",)),
+    Rule("carrier_contact", (tx.after_first(r"Contact(?=\s)", r"\s+(.*?)\s+(?:Service|Notes|Payment)"),)),
     Rule("totalCarrierPay", (r"Total\s*To\s*Pay[:\s$]*([\d,.]+)",), clean="money"),
 )
 UTB_FLAT = Ruleset(
