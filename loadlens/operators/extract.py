@@ -137,13 +137,13 @@ def header(df: DataFrame, rules, text: str = DOC_TEXT, constants=None) -> DataFr
 def stop_arrays(df: DataFrame, ruleset: Ruleset, text: str = DOC_TEXT, capped: bool = True) -> DataFrame:
     """Add one array of parsed stops per type, cut at the rule set's caps or whole.
 
-    The layout whose stops are looked up by number has those numbers only.
+    In the layout whose stops have numbers, the slots are looked up by number; the whole adds every other number that
+    the text has, and <type>_numbers tells them.
     """
     doc = F.col(text)
     if isinstance(ruleset.stop, stops.NumberedStop):
-        return df.withColumns(
-            {f"{t}_stops": ruleset.stop.columns_from_text(doc, t, ruleset.caps[t]) for t in segment.TYPES}
-        )
+        slots = {f"{t}_stops": ruleset.stop.columns_from_text(doc, t, ruleset.caps[t]) for t in segment.TYPES}
+        return df.withColumns(slots) if capped else _all_numbered(df.withColumns(slots), ruleset, doc)
     df = segment.blocks_by_type(df, text, ruleset.splitter)
     kept = {t: F.slice(f"{t}_blocks", 1, ruleset.caps[t]) if capped else F.col(f"{t}_blocks") for t in segment.TYPES}
     if not ruleset.stop.same_for_all_types:
@@ -160,6 +160,26 @@ def stop_arrays(df: DataFrame, ruleset: Ruleset, text: str = DOC_TEXT, capped: b
     )
 
 
+def _slot_numbers(ruleset: Ruleset, kind: str) -> Column:
+    return F.array(*[F.lit(str(k)) for k in range(1, ruleset.caps[kind] + 1)])
+
+
+def _all_numbered(df: DataFrame, ruleset: Ruleset, doc: Column) -> DataFrame:
+    """The slots that the text has, then its other numbers, each read from its own part of the text."""
+    stop, types = ruleset.stop, segment.TYPES
+    df = df.withColumns({f"_{t}_blocks": stop.blocks_from_text(doc, t) for t in types})
+    here = lambda t, number: F.array_contains(F.col(f"_{t}_blocks")["number"], number)
+    others = lambda t: F.filter(f"_{t}_blocks", lambda b: ~F.array_contains(_slot_numbers(ruleset, t), b["number"]))
+    df = df.withColumns({f"_{t}_others": others(t) for t in types})
+    found = {}
+    for t in types:
+        slots = F.filter(f"{t}_stops", lambda s, i: here(t, (i + 1).cast("string")))
+        found[f"{t}_stops"] = F.concat(slots, stop.columns_from_blocks(F.col(f"_{t}_others"), t))
+        numbers = F.concat(F.filter(_slot_numbers(ruleset, t), lambda n: here(t, n)), F.col(f"_{t}_others")["number"])
+        found[f"{t}_numbers"] = F.transform(numbers, lambda n: n.try_cast("int"))
+    return df.withColumns(found)
+
+
 def stop_fields(df: DataFrame, ruleset: Ruleset, text: str = DOC_TEXT) -> DataFrame:
     """Add <type>_<field>_<k> for every slot of the rule set; '' where there is no stop."""
     df = stop_arrays(df, ruleset, text)
@@ -177,14 +197,16 @@ def stop_fields(df: DataFrame, ruleset: Ruleset, text: str = DOC_TEXT) -> DataFr
 def stop_rows(df: DataFrame, ruleset: Ruleset, text: str = "text", keep=("source_file",), capped: bool = False) -> DataFrame:
     """One row per stop: the keep columns, type, rk and the stop fields.
 
-    All stops of a document, or with capped those that have a slot in the wide row.
+    All stops of a document, or with capped those that have a slot in the wide row. rk counts the stops of a type; where
+    stops have numbers it is the number, and the capped rows are all slots, found or not.
     """
     docs = df.select(*keep, tx.normalise(F.col(text), ruleset.profile).alias(DOC_TEXT))
     docs = stop_arrays(docs, ruleset, capped=capped)
 
     def ranked(kind):
+        rk = lambda i: F.get(f"{kind}_numbers", i) if f"{kind}_numbers" in docs.columns else i + 1
         item = lambda s, i: F.struct(
-            F.lit(kind).alias("type"), (i + 1).alias("rk"), *[F.coalesce(s[f], F.lit("")).alias(f) for f in stops.FIELDS]
+            F.lit(kind).alias("type"), rk(i).alias("rk"), *[F.coalesce(s[f], F.lit("")).alias(f) for f in stops.FIELDS]
         )
         return F.transform(f"{kind}_stops", item)
 
@@ -194,12 +216,18 @@ def stop_rows(df: DataFrame, ruleset: Ruleset, text: str = "text", keep=("source
 def stops_beyond_slots(df: DataFrame, ruleset: Ruleset, text: str = "text", keep=("source_file",)) -> DataFrame:
     """Per document and stop type: its stops, the slots of the wide row, and how many stops have none."""
     docs = df.select(*keep, tx.normalise(F.col(text), ruleset.profile).alias(DOC_TEXT))
-    docs = segment.blocks_by_type(docs, DOC_TEXT, ruleset.splitter)
+    numbered = isinstance(ruleset.stop, stops.NumberedStop)
+    if numbered:
+        docs = docs.withColumns({f"{t}_blocks": ruleset.stop.blocks_from_text(F.col(DOC_TEXT), t) for t in segment.TYPES})
+    else:
+        docs = segment.blocks_by_type(docs, DOC_TEXT, ruleset.splitter)
 
     def counted(kind):
-        stops, slots = F.size(f"{kind}_blocks"), F.lit(ruleset.caps[kind])
-        beyond = F.greatest(stops - slots, F.lit(0))
-        return F.struct(F.lit(kind).alias("type"), stops.alias("stops"), slots.alias("slots"), beyond.alias("beyond"))
+        found, slots = F.size(f"{kind}_blocks"), F.lit(ruleset.caps[kind])
+        beyond = F.greatest(found - slots, F.lit(0))
+        if numbered:
+            beyond = F.size(F.array_except(F.col(f"{kind}_blocks")["number"], _slot_numbers(ruleset, kind)))
+        return F.struct(F.lit(kind).alias("type"), found.alias("stops"), slots.alias("slots"), beyond.alias("beyond"))
 
     return docs.select(*keep, F.inline(F.array(*[counted(t) for t in segment.TYPES])))
 

@@ -15,7 +15,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..functions.datetimes import DAY_FIRST_TOO, MONTH_FIRST, combine, iso_date, iso_time
-from ..functions.text import captures, collapse, extract, group, replace_all, rx, strip
+from ..functions.text import SEP, captures, collapse, extract, group, let, replace_all, rx, strip
 
 FIELDS = ("customer", "address", "city", "state", "zipcode", "start_datetime", "end_datetime")
 
@@ -323,15 +323,29 @@ class NumberedStop:
     labels: dict  # type -> label
     guard: str | None = None  # the same placeholders; holds for every text that the pattern matches
 
+    def _captured(self, text: Column, kind: str, number: str) -> Column:
+        fill = lambda p: p and p.replace("{label}", self.labels[kind]).replace("{number}", number)
+        return F.struct(captures(text, fill(self.pattern), 8, guard=fill(self.guard)).alias("_m"))
+
     def columns_from_text(self, text: Column, kind: str, cap: int) -> Column:
         """One item per number; a number that is not found gives empty strings."""
-        fill = lambda p, k: p and p.replace("{label}", self.labels[kind]).replace("{number}", str(k))
-        items = F.array(
-            *[
-                F.struct(captures(text, fill(self.pattern, k), 8, guard=fill(self.guard, k)).alias("_m"))
-                for k in range(1, cap + 1)
-            ]
-        )
+        return self._fields(F.array(*[self._captured(text, kind, str(k)) for k in range(1, cap + 1)]))
+
+    def blocks_from_text(self, text: Column, kind: str) -> Column:
+        """The stops of a type that the text has: number, and the text from its marker to the next one of any type.
+
+        A number that occurs again is the same stop; its first marker counts.
+        """
+        marker = lambda labels: rf"(?:{labels})\s*#\s*(\d+)\s+Customer:"
+        pieces = F.split(F.regexp_replace(text, rx(marker("|".join(self.labels.values()))), SEP + "$0"), SEP)
+        own = lambda p: F.regexp_extract(p, rx(r"\A" + marker(self.labels[kind])), 1)
+        items = F.filter(F.transform(pieces, lambda p: F.struct(own(p).alias("number"), p.alias("block"))), lambda x: x["number"] != "")
+        return let(items, lambda xs: F.filter(xs, lambda x, i: F.array_position(xs["number"], x["number"]) == i + 1))
+
+    def columns_from_blocks(self, blocks: Column, kind: str) -> Column:
+        return self._fields(F.transform(blocks, lambda b: self._captured(b["block"], kind, r"\d+")))
+
+    def _fields(self, items: Column) -> Column:
         order = {"customer": 1, "address": 3, "city": 6, "state": 7, "zipcode": 8}
 
         def find(c):

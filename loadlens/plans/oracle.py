@@ -276,6 +276,10 @@ ORACLE = {
     "stops_beyond_slots": f"WITH {ORDERS}, {CY_STOPS}, t(type, slots) AS (VALUES ('pickup', 1), ('delivery', 2)), "
     "n AS (SELECT o.k, t.type, t.slots, CAST((SELECT count(*) FROM s WHERE s.k = o.k AND s.type = t.type) AS INTEGER) AS stops FROM o, t) "
     f"SELECT {CY_FILE} AS source_file, type, stops, slots, greatest(stops - slots, 0) AS beyond FROM n",
+    "stops_all_flat": f"{FLAT_WIDE} SELECT {FLAT_FILE} AS source_file, type, CAST(rk AS INTEGER) AS rk, {', '.join(FIELDS)} FROM s",
+    "stops_beyond_slots_flat": f"{FLAT_WIDE}, t(type, slots) AS (VALUES ('pickup', 1), ('delivery', 2)), "
+    "n AS (SELECT o.k, t.type, t.slots, CAST((SELECT count(*) FROM s WHERE s.k = o.k AND s.type = t.type) AS INTEGER) AS stops FROM o, t) "
+    f"SELECT {FLAT_FILE} AS source_file, type, stops, slots, greatest(stops - slots, 0) AS beyond FROM n",
     "stops_long": f"WITH {ORDERS}, {ALL_CY_STOPS} SELECT {CY_FILE} AS source_file, CAST(i AS INTEGER) AS pos, type, CAST(i AS INTEGER) AS number FROM s",
     "stops_valid": f"WITH {ORDERS}, {CY_STOPS} SELECT {CY_FILE} AS source_file, CAST(row_number() OVER (PARTITION BY k ORDER BY i) AS INTEGER) AS pos, type, CAST(i AS INTEGER) AS number FROM s",
     "stops_ranked": f"WITH {ORDERS}, {CY_STOPS} SELECT {CY_FILE} AS source_file, type, CAST(rk AS INTEGER) AS rk, CAST(i AS INTEGER) AS number FROM s WHERE {KEPT}",

@@ -13,6 +13,7 @@ from ..operators import pages, segment
 from ..operators import validate as v
 from ..operators.extract import Rule, extract, extract_routed, header, stop_rows
 from ..operators.extract import stops_beyond_slots as beyond_slots
+from ..operators.stops import FIELDS
 from ..sources.tables import keep_old_columns
 from . import fixtures as fx
 from . import rulesets as rs
@@ -113,6 +114,16 @@ def stops_beyond_slots(spark, sf):
     return beyond_slots(fx.confirmations(spark, sf), rs.CY)
 
 
+def stops_all_flat(spark, sf):
+    """Every numbered stop of the flat layout, those beyond its one pickup and two deliveries included."""
+    rows = stop_rows(fx.flat_documents(spark, sf), rs.UTB_FLAT)
+    return rows.select("source_file", "type", "rk", *FIELDS)
+
+
+def stops_beyond_slots_flat(spark, sf):
+    return beyond_slots(fx.flat_documents(spark, sf), rs.UTB_FLAT)
+
+
 def stops_unanchored(spark, sf):
     """Stops found anywhere in a line; the last block ends at its closing label."""
     docs = fx.plain_confirmations(spark, sf)
@@ -421,7 +432,7 @@ QUERIES = {
     for f in (
         extract_wide, extract_utb_a, extract_utb_b, empty_docs, vendor_route,
         stops_long, stops_valid, stops_ranked, stops_facility, stops_geo, stops_time,
-        stops_all, stops_beyond_slots, stops_unanchored, stops_time_variant, stops_by_type,
+        stops_all, stops_beyond_slots, stops_all_flat, stops_beyond_slots_flat, stops_unanchored, stops_time_variant, stops_by_type,
         broker_contact, broker_fallback, section_slice, carrier_id, carrier_email,
         pay_extract, pay_extract_variants, broker_addr,
         dt_combine, dt_combine_us, dt_combine_strict,

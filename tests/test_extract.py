@@ -157,6 +157,25 @@ def test_all_stops_and_those_without_a_slot(spark):
     assert {(r.type, r.stops, r.slots, r.beyond) for r in stops_beyond_slots(df, rs.CY).collect()} == {("pickup", 0, 1, 0), ("delivery", 5, 2, 3)}
 
 
+FLAT_STOP = "Delivery # {n} Customer: SHOP {n} Delivery Date: 01/0{n}/2023 Address # 1: {n} ROAD Delivery Time: 08:00:00 - 09:00:00 City: Town, GA US Zip Code: 3012{n} "
+
+
+def test_all_numbered_stops(spark):
+    """Five deliveries, out of order and one twice, give five rows, each with its own number."""
+    text = "".join(FLAT_STOP.format(n=n) for n in (2, 1, 7, 9, 7, 4)) + "PickUp # 3 Customer: no more"
+    df = docs(spark, text, None, "Delivery # 1 and no customer")
+    rows = stop_rows(df, rs.UTB_FLAT).filter("type = 'delivery'").collect()
+    assert sorted((r.rk, r.customer, r.zipcode, r.start_datetime[:10]) for r in rows) == [
+        (n, f"SHOP {n}", f"3012{n}", f"2023-01-0{n}") for n in (1, 2, 4, 7, 9)
+    ]
+    # a stop whose text breaks off has its row and nothing in it
+    assert [(r.rk, r.customer) for r in stop_rows(df, rs.UTB_FLAT).filter("type = 'pickup'").collect()] == [(3, "")]
+    counted = stops_beyond_slots(df, rs.UTB_FLAT).filter("source_file = '/0.txt'").collect()
+    assert {(r.type, r.stops, r.slots, r.beyond) for r in counted} == {("pickup", 1, 1, 1), ("delivery", 5, 2, 3)}
+    slots = stop_rows(df, rs.UTB_FLAT, capped=True).filter("source_file = '/0.txt'").collect()
+    assert {(r.type, r.rk, r.customer) for r in slots} == {("pickup", 1, ""), ("delivery", 1, "SHOP 1"), ("delivery", 2, "SHOP 2")}
+
+
 BLOCK = "Trailer VIN Number x Carrier HAUL {n} MC # {n} Address: 1 ROAD City: Town, GA 30122 Phone: 5 Fax: 6 "
 FLAT_BLOCK = "PickUp # 1 Customer: A PickUp Date: 01/02/2023 Address # 1: 1 ROAD PickUp Time: 08:00:00 - 09:00:00 City: Town, GA x "
 
