@@ -392,7 +392,7 @@ def missing_loads(spark, sf):
 
 
 def dedup_first(spark, sf):
-    return v.first_per_key(_target(spark, sf)).select(v.KEY, "source_file", "totalCarrierPay")
+    return v.first_row_per_key(_target(spark, sf), columns=("source_file", "totalCarrierPay")).select(v.KEY, "source_file", "totalCarrierPay")
 
 
 def schema_diff(spark, sf):
