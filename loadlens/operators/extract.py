@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -289,18 +288,29 @@ def extract_each(df: DataFrame, rulesets, text: str = "text", keep=("source_file
 def extract_routed(df: DataFrame, rulesets: dict, source: str = "source", text: str = "text", keep=("source_file",)) -> DataFrame:
     """Each row goes through the rule set of its source; missing columns become ''.
 
-    Rows of any other source, null included, are kept with empty fields; `routed` tells
-    them apart. Sources are filters on the partition column, so a branch reads only its
-    directories; without such a column the input is read once per rule set and once more.
+    Rows of any other source, null included, are kept with empty fields; `routed` tells them apart. The input is read
+    once, whether source is a partition column or not: every rule set stands beside the others on the row, and sees an
+    empty text where the row is not its own.
     """
-    branches = [
-        extract(df.filter(F.col(source) == name), rules, text, (source, *keep)).withColumn("routed", F.lit(True))
-        for name, rules in rulesets.items()
-    ]
-    unknown = ~F.coalesce(F.col(source).isin(list(rulesets)), F.lit(False))
-    branches.append(df.filter(unknown).select(source, *keep, F.lit(False).alias("routed")))
-    merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), branches)
-    plain = {source, *keep, "processed_at", "routed"}
-    return merged.select(
-        *[F.col(c) if c in plain else F.coalesce(F.col(c), F.lit("")).alias(c) for c in merged.columns]
-    )
+    docs = df.select(source, *keep, F.col(text).alias("_raw"))
+    own = {name: F.col(source) == name for name in rulesets}
+    order, rows = {}, {}
+    for i, (name, rules) in enumerate(rulesets.items()):
+        mine = F.when(own[name], tx.normalise(F.col("_raw"), rules.profile)).otherwise("")
+        docs, out = _fields(docs.withColumn(DOC_TEXT, mine), rules)
+        if rules.stamp:
+            out["processed_at"] = processed_at(local=rules.stamp == "local")
+        docs = docs.select(source, *keep, "_raw", *rows, F.struct(*[c.alias(f) for f, c in out.items()]).alias(f"_row{i}"))
+        rows[f"_row{i}"] = (name, set(out))
+        order |= dict.fromkeys(out)
+        order.setdefault("routed")
+
+    def value(field: str) -> Column:
+        chosen = F.when(F.lit(False), None)
+        for row, (name, fields) in rows.items():
+            if field in fields:
+                chosen = chosen.when(own[name], F.col(row)[field])
+        return chosen if field == "processed_at" else F.coalesce(chosen, F.lit(""))
+
+    routed = F.coalesce(F.col(source).isin(list(rulesets)), F.lit(False))
+    return docs.select(source, *keep, *[(routed if f == "routed" else value(f)).alias(f) for f in order])

@@ -149,6 +149,23 @@ def test_routing_by_source(spark):
     assert {(r.source, r.routed, r.loadConfirmationNumber) for r in rows} == {("cy", False, ""), (None, False, "")}
 
 
+def test_routing_reads_its_input_once(spark, tmp_path):
+    texts = ["Load 5\nStop 1: Pick Up\nAddress 1 OAK RD Town, GA 30122 \nContact None", "Trip #: T-6", "Trip #: 77 Contact Ann Service", None, ""]
+    df = docs(spark, *texts).withColumn("source", F.expr("CASE source_file WHEN '/0.txt' THEN 'CY' WHEN '/1.txt' THEN 'UTB' WHEN '/2.txt' THEN 'FLAT' WHEN '/3.txt' THEN 'CY' END"))
+    df.write.parquet(str(tmp_path / "docs"))
+    stored = spark.read.parquet(str(tmp_path / "docs"))
+    rulesets = {"CY": rs.CY, "UTB": rs.UTB, "FLAT": rs.UTB_FLAT}
+    routed = extract_routed(stored, rulesets)
+    assert routed._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    rows = {r.source_file: r.asDict() for r in routed.collect()}
+    for name, rules in rulesets.items():
+        alone = extract(stored.filter(F.col("source") == name), rules).drop("processed_at")
+        for r in alone.collect():
+            assert {f: rows[r.source_file][f] for f in alone.columns} == r.asDict()
+    assert not rows["/4.txt"]["routed"] and rows["/4.txt"]["processed_at"] is None and rows["/1.txt"]["processed_at"]
+    assert rows["/2.txt"]["loadConfirmationNumber"] == "77" and rows["/2.txt"]["pickup_zipcode_3"] == ""
+
+
 def test_all_stops_and_those_without_a_slot(spark):
     text = "\n".join(f"Stop {i}: Delivery\nAddress {i} OAK RD Town, GA 3012{i} \nContact None" for i in range(1, 6))
     df = docs(spark, text)
