@@ -15,6 +15,8 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+import unicodedata
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -39,7 +41,7 @@ PATTERN = re.compile(
     r"|(?P<ssn>(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-]))"
     r"|(?P<card>(?<![\d.+-])\d(?:[ -]?\d){12,18}(?!\.?\d))"
     rf"|(?P<ip>(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?\d))"
-    r"|(?P<phone>\+\d{1,3}(?:[ .-]?\(\d{1,4}\)(?:[ .-]?\d{2,4}){2}|[ .-]\d(?:[ .-]\d\d){4}|(?:[ .-]?\d{1,4}){2,3})(?!\d)|\(\d{3}\) ?\d{3}-\d{4}\b)"
+    r"|(?P<phone>\+\d{1,3}(?:[ .-]?\(\d{1,4}\)(?:[ .-]?\d{2,4}){2}|[ .-]\d(?:[ .-]\d\d){4}|(?:[ .-]?\d{1,5}){2,3})(?!\d)|\(\d{3}\) ?\d{3}-\d{4}\b|(?<![\d.+-])\d{3}-\d{3}-\d{4}(?![\d-]))"
     rf"|\b(?P<title>{_TITLE})\.? (?P<name>[^\W\d_a-z]['’\w-]*[^\W\d_](?: [^\W\d_a-z]['’\w-]*[^\W\d_])?)"
 )
 #: The same without what a checksum decides.
@@ -175,12 +177,62 @@ def _alike(c: str, draws: _Draws) -> str:
     for first, last in _SCRIPTS:
         if first <= c <= last:
             return chr(ord(first) + draws.below(ord(last) - ord(first) + 1))
-    return c
+    near = _neighbours(c)
+    return near[draws.below(len(near))]
+
+
+@lru_cache(4096)
+def _neighbours(c: str) -> str:
+    """The letters or digits of its kind among the 64 code points around a character, which share its script."""
+    kind, first = unicodedata.category(c), ord(c) & ~63
+    if kind[0] not in "LN":
+        return c
+    return "".join(chr(x) for x in range(first, first + 64) if unicodedata.category(chr(x)) == kind)
+
+
+#: From this attempt on a surrogate may leave the form of its value, from the next one on it grows.
+FREE, GROWS = 4, 6
+
+
+def _changes(c: str) -> bool:
+    """Whether _alike() has more than one character for this one."""
+    return c.isalnum() if c.isascii() else any(a <= c <= b for a, b in _SCRIPTS) or len(_neighbours(c)) > 1
 
 
 def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
-    """Another value of the same kind and form."""
+    """Another value of the same kind and form.
+
+    Values whose form allows too few others (******, names of two letters, a block of numbers that is used up) get any
+    letters and digits from the fifth attempt on, and one more with every attempt from the seventh on: the number of
+    possible surrogates grows without bound, so drawing again comes to an end.
+    """
     draws = _Draws(key, kind, value, attempt)
+    more = max(0, attempt - GROWS + 1)
+    if more:
+        return _longer(_formed(key, kind, value, attempt, draws), kind, more, draws)
+    return _formed(key, kind, value, attempt, draws)
+
+
+def _longer(new: str, kind: str, more: int, draws: _Draws) -> str:
+    digits = "".join(str(draws.below(10)) for _ in range(more))
+    if kind == "ip":
+        return new + "." + ".".join(digits)
+    if kind == "email":
+        return digits + new
+    if kind == "card":
+        body = new[:-1] + digits
+        return next(body + str(c) for c in range(10) if luhn(body + str(c)))
+    if kind == "iban":
+        return new[:2] + iban_check(new[:2], new[4:] + digits) + new[4:] + digits
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    if kind in ("surname", "secret") or kind.startswith("given"):
+        return new + "".join(letters[draws.below(26)] for _ in range(more))
+    return new + digits
+
+
+def _formed(key: bytes, kind: str, value: str, attempt: int, draws: _Draws) -> str:
+    if attempt >= FREE and kind in ("email", "secret", "surname", "given_", "given_f", "given_m"):
+        value = "".join(c if c in "@." and kind == "email" else c if _changes(c) else "a" for c in value)
     if kind == "email":
         local, _, domain = value.partition("@")
         host, _, top = domain.rpartition(".")
@@ -214,7 +266,7 @@ def written(mention: str, kind: str, new: str) -> str:
     """A surrogate in the form of a mention: its separators, its case."""
     if kind in (*_DIGITS, "iban"):
         chars = iter(c for c in new if c != "+")
-        return "".join(next(chars, "") if c.isalnum() else c for c in mention)
+        return "".join(next(chars, "") if c.isalnum() else c for c in mention) + "".join(chars)
     if kind == "email":
         return "".join(n.upper() if m.isupper() else n for m, n in zip(mention, new)) if len(mention) == len(new) else new
     if kind == "surname" or kind.startswith("given"):
