@@ -20,7 +20,6 @@ Documents send their words, by chunk, to the buckets and get sums of logarithms
 
 from __future__ import annotations
 
-import gc
 import zlib
 
 import numpy as np
@@ -36,6 +35,7 @@ START = (1 << 64) - 1  # the context of a first word, among word hashes; sorts l
 CONTEXTS = (1 << 13) + 1  # contexts of a small model, for tests; score_texts has no such number
 END = 0x5EED0E4D  # stands for the end of a text among word hashes
 CHUNK_BYTES = 6 << 20
+BUCKET_BYTES = 12 << 20  # of text, whose words a bucket's share holds in memory
 BUCKETS = (12, 4096)
 STRENGTH = 1.0
 SMALL = 64  # customers up to which the chance to sit alone is exact, and each is reseated by itself
@@ -493,29 +493,28 @@ def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     Tokens are the lower-cased words of the text and one end; null and empty texts are an end only. Documents whose
     crc32(doc_id as text) is divisible by 10 are held out of training; a null id counts as ''. Rows that repeat
     count each time. score is the log10 probability of all tokens, averaged over samples before the logarithm; a
-    word not in training has the even part of the parent. The same files give the same scores up to rounding; in another number
-    of partitions other seatings are sampled. Other columns are not read. A table without rows gives none. docs must give the same rows in
+    word not in training has the even part of the parent. The same texts give the same scores up to rounding, in any
+    partitions. Other columns are not read. A table without rows gives none. docs must give the same rows in
     the same order when a task is repeated, as tables do.
     """
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    buckets = min(max(2 * docs.rdd.getNumPartitions(), BUCKETS[0]), BUCKETS[1])  # half a partition's words in memory
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    buckets = min(max(-(-size // BUCKET_BYTES), BUCKETS[0]), BUCKETS[1])
     # made twice, for counts and for scores, since they take more room than the texts
     lists = docs.mapInArrow(_lists(buckets), "chunk long, bucket int, ids array<long>, pairs binary, holders binary")
     counts = lists.filter("pairs IS NOT NULL").select("bucket", "pairs", F.length("holders").cast("long").alias("size"))
     counts = counts.repartition(buckets, "bucket").sortWithinPartitions("bucket")
     counts = stored(
-        counts.mapInArrow(_counts(buckets), "bucket int, model binary, parts array<binary>, stats array<long>, size long"), "counts"
+        counts.mapInArrow(_counts(buckets), "bucket int, model binary, parts array<binary>, stats array<long>, size long"), "counts",
+        release=True,
     )
-    # the lists dealt out for counts are done with; Spark removes them when the driver collects its garbage
-    gc.collect()
-    docs.sparkSession.sparkContext._jvm.System.gc()
     words, one, two, one_top, two_top, tokens, pairs = _sums(counts, "stats") or [0] * 7
     totals = {
         "tokens": tokens, "words": words, "all_tables": pairs, "top_tables": words,
         "d": _discount(one, two), "d_top": _discount(one_top, two_top),
     }
     null = lambda kind, name: F.lit(None).cast(kind).alias(name)
-    by_shard = lambda df, f: stored(df.groupBy("shard").applyInArrow(f, "bucket int, shard int, share binary"), "contexts")
+    by_shard = lambda df, f: stored(df.groupBy("shard").applyInArrow(f, "bucket int, shard int, share binary"), "contexts", release=True)
     places = by_shard(counts.select("bucket", F.posexplode("parts").alias("shard", "part")).filter("part IS NOT NULL"), _places)
     rows = counts.select("bucket", null("int", "shard"), "model", null("binary", "share")).unionByName(
         places.select("bucket", "shard", null("binary", "model"), "share")
@@ -526,6 +525,7 @@ def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
             _tables(totals | {"first": True}), "bucket int, seat binary, parts array<struct<shard:int,part:binary>>, stats array<long>"
         ),
         "tables",
+        release=True,
     )
     totals["top_tables"], totals["all_tables"] = _sums(seated, "stats") or [0, 0]
     contexts = by_shard(seated.select("bucket", F.inline("parts")), _shared)

@@ -22,11 +22,26 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def stored(df: DataFrame, name: str, partition_by=()) -> DataFrame:
-    """df as a table in the shared folder: computed once, and still there when an executor is lost."""
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.partitionBy(*partition_by).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+#: Spark removes the shuffle files of a query when it ends, instead of some time after its plan is out of use.
+RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stored(df: DataFrame, name: str, partition_by=(), release: bool = False) -> DataFrame:
+    """df as a table in the shared folder: computed once, and still there when an executor is lost.
+
+    release: what was shuffled for it is given back as soon as it is written.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    before = spark.conf.get(RELEASE, None)
+    if release:
+        spark.conf.set(RELEASE, "true")
+    try:
+        df.write.partitionBy(*partition_by).parquet(path)
+    finally:
+        if release:
+            spark.conf.unset(RELEASE) if before is None else spark.conf.set(RELEASE, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def word_count(text: Column) -> Column:
