@@ -18,8 +18,10 @@ RULES = (
     ("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"),
 )
 DAMPING = 0.85
-MOST_STEPS = 30
-TOLERANCE = 1e-6
+#: Propagation ends when all ranks together change by less than this part of the least distrust that counts.
+PRECISION = 1e-3
+#: Or by what sums of doubles cannot tell.
+ROUNDING = 1e-14
 #: Distrust counts from this many times the even share, 1 / hosts.
 LEAST_DISTRUST = 0.1
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -55,14 +57,18 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return rows.filter("src <> dst").groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, steps: int = MOST_STEPS) -> DataFrame:
+def propagate(
+    edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, steps: int | None = None, tolerance: float = 1e-9
+) -> DataFrame:
     """(kind, host, rank) from edges (kind, src, dst, share) and seeds (kind, host, mass).
 
-    Masses of a kind and shares of a source sum to 1. What a host without links out holds goes nowhere.
+    Masses of a kind and shares of a source sum to 1. What a host without links out holds goes nowhere. Steps go on
+    until the ranks of a kind change by less than the tolerance together (or for the steps given): a step changes them
+    by at most damping times the step before, so it ends, and a host any number of links away gets what reaches it.
     """
     seeds = stored(seeds, "seeds")
     ranks, step = seeds.withColumnRenamed("mass", "rank"), 0
-    while step < steps:
+    while steps is None or step < steps:
         moved = ranks.withColumnRenamed("host", "src").join(edges, ["kind", "src"]).groupBy("kind", F.col("dst").alias("host")).agg(
             (damping * F.sum(F.col("rank") * F.col("share"))).alias("rank")
         )
@@ -71,7 +77,7 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, step
         both = now.unionByName(ranks.select("kind", "host", (-F.col("rank")).alias("rank")))
         change = both.groupBy("kind", "host").agg(F.sum("rank").alias("d")).agg(F.sum(F.abs("d"))).first()[0]
         ranks, step = now, step + 1
-        if change is None or change < TOLERANCE:
+        if change is None or change < max(tolerance, ROUNDING):
             break
     return ranks
 
@@ -100,11 +106,11 @@ def judge_hosts(judged: DataFrame, edges: DataFrame, least: float = LEAST_DISTRU
     directed = stored(
         directed.join(out, ["kind", "src"]).select("kind", "src", "dst", (F.col("n") / F.col("all")).alias("share")), "shares"
     )
-    ranks = propagate(directed, seeds)
+    even = 1 / max(counts.count(), 1)
+    ranks = propagate(directed, seeds, tolerance=PRECISION * least * even)
     rank = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("rank"))), F.lit(0.0))
     ranks = ranks.groupBy("host").agg(rank("allow").alias("trust"), rank("block").alias("distrust"))
     ranks = counts.select("host").join(ranks, "host", "left").fillna(0.0, ["trust", "distrust"])
-    even = 1 / max(counts.count(), 1)
     return ranks.withColumn("blocked", (F.col("distrust") > F.col("trust")) & (F.col("distrust") >= least * even))
 
 
