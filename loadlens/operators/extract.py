@@ -182,7 +182,7 @@ def _all_numbered(df: DataFrame, ruleset: Ruleset, doc: Column) -> DataFrame:
 def stop_fields(df: DataFrame, ruleset: Ruleset, text: str = DOC_TEXT) -> DataFrame:
     """Add <type>_<field>_<k> for every slot of the rule set; '' where there is no stop."""
     df = stop_arrays(df, ruleset, text)
-    slot = lambda t, k, f: F.coalesce(F.get(f"{t}_stops", F.lit(k - 1))[f], F.lit(""))
+    slot = lambda t, k, f: F.expr(f"coalesce(get({t}_stops, {k - 1}).{f}, '')")
     return df.withColumns(
         {
             f"{t}_{f}_{k}": slot(t, k, f)

@@ -274,7 +274,7 @@ UTB_HEADER_TRUTH = {
     "carrier_city": "'SAN ANTONIO'",
     "carrier_state": "'TX'",
     "carrier_zipcode": "'78215'",
-    "carrier_phone": f"('786-796-' || {pad('c % 10000', 4)})",
+    "carrier_phone": f"('555-013-' || {pad('c % 10000', 4)})",
     "carrier_fax": case(("k % 2 = 0", "'305-100-2000'")),
     "carrier_contact": "'Ann Arbor (dispatcher'",
 }
@@ -322,7 +322,7 @@ UTB_TEXT = f"""concat('**Trip #:** T-', k, '\\n\\n',
     'Special Instructions none\\n',
     {case((NO_INVOICE, "''"), default=f"concat('Send Invoice to:\\n{UTB_BROKER}\\n  ', {UTB_STREET}, '\\nMiami Lake,s, FL ', {ZIP5.replace('i * 101', '7')}, '\\nTel: ', {UTB_TEL}, ' Fax: 305-555-0146\\nz', k, '@usatruckbrokers.com a', c, '@usatruckbrokers.com z', k, '@usatruckbrokers.com\\n')")},
     {case(("k % 4 = 3", "'Total pending\\n'"), ("k % 4 = 1", "concat('Total To Pay: $', format_number(price, 2), '\\n')"), default="concat('Total Carrier Pay: $', format_number(price, 2), '\\n')")},
-    {case((NO_CARRIER, "''"), default=f"concat('Truck VIN Number 1 Trailer VIN Number 2\\nCarrier ', {CARRIER_NAME}, '\\nMC #: ', 1000 + c, '\\nAddress: 120 9th st #', c, '\\nCity: SAN ANTONIO, TX 78215\\nPhone: 786-796-', {pad('c % 10000', 4)}, '\\nFax: ', {case(('k % 2 = 0', chr(39) + '305-100-2000' + chr(39)))}, ' \\nContact: Ann Arbor (dispatcher\\n')")},
+    {case((NO_CARRIER, "''"), default=f"concat('Truck VIN Number 1 Trailer VIN Number 2\\nCarrier ', {CARRIER_NAME}, '\\nMC #: ', 1000 + c, '\\nAddress: 120 9th st #', c, '\\nCity: SAN ANTONIO, TX 78215\\nPhone: 555-013-', {pad('c % 10000', 4)}, '\\nFax: ', {case(('k % 2 = 0', chr(39) + '305-100-2000' + chr(39)))}, ' \\nContact: Ann Arbor (dispatcher\\n')")},
     'Please Sign\\n')"""
 
 
@@ -355,7 +355,7 @@ FLAT_HEADER_TRUTH = {
     "carrier_city": "'SAN ANTONIO'",
     "carrier_state": "'TX'",
     "carrier_zipcode": "'78215'",
-    "carrier_phone": f"('786-796-' || {pad('c % 10000', 4)})",
+    "carrier_phone": f"('555-013-' || {pad('c % 10000', 4)})",
     "carrier_fax": "''",
     "carrier_contact": "'Ann Arbor'",
 }
@@ -378,7 +378,7 @@ def _flat_stop(label: str, kind: str) -> str:
 
 FLAT_TEXT = f"""concat('*Trip #:* ', k, '\\n{UTB_BROKER}\\n', 100 + c % 900, ' NW ', k % 90, ' Court\\nMiami Lakes, FL  33016\\n',
     'Tel: ', {UTB_TEL}, '\\nFax: 305-555-0146\\nZ', k, '@usatruckbrokers.com a', c, '@usatruckbrokers.com\\n',
-    'Carrier HAUL ', c, '\\nMC # ', 1000 + c, '\\nAddress 120 9th st\\nCity SAN ANTONIO, TX   78215\\nPhone 786-796-', {pad('c % 10000', 4)},
+    'Carrier HAUL ', c, '\\nMC # ', 1000 + c, '\\nAddress 120 9th st\\nCity SAN ANTONIO, TX   78215\\nPhone 555-013-', {pad('c % 10000', 4)},
     '\\nContact Ann Arbor\\nService none\\n',
     array_join({per_stop(_flat_stop('PickUp', 'pickup'), FLAT_PICKUPS)}, ''),
     array_join({per_stop(_flat_stop('Delivery', 'delivery'), FLAT_DELIVERIES)}, ''),
