@@ -300,16 +300,18 @@ def extract_routed(df: DataFrame, rulesets: dict, source: str = "source", text:
         docs, out = _fields(docs.withColumn(DOC_TEXT, mine), rules)
         if rules.stamp:
             out["processed_at"] = processed_at(local=rules.stamp == "local")
-        docs = docs.select(source, *keep, "_raw", *rows, F.struct(*[c.alias(f) for f, c in out.items()]).alias(f"_row{i}"))
-        rows[f"_row{i}"] = (name, set(out))
+        before = [c for _, columns in rows.values() for c in columns.values()]
+        # columns of their own, not a struct, so that fields nobody reads are not extracted
+        rows[i] = name, {f: f"_row{i}_{f}" for f in out}
+        docs = docs.select(source, *keep, "_raw", *before, *[out[f].alias(c) for f, c in rows[i][1].items()])
         order |= dict.fromkeys(out)
         order.setdefault("routed")
 
     def value(field: str) -> Column:
         chosen = F.when(F.lit(False), None)
-        for row, (name, fields) in rows.items():
-            if field in fields:
-                chosen = chosen.when(own[name], F.col(row)[field])
+        for name, columns in rows.values():
+            if field in columns:
+                chosen = chosen.when(own[name], F.col(columns[field]))
         return chosen if field == "processed_at" else F.coalesce(chosen, F.lit(""))
 
     routed = F.coalesce(F.col(source).isin(list(rulesets)), F.lit(False))
