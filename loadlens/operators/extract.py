@@ -181,7 +181,10 @@ def _all_numbered(df: DataFrame, ruleset: Ruleset, doc: Column) -> DataFrame:
 
 def stop_fields(df: DataFrame, ruleset: Ruleset, text: str = DOC_TEXT) -> DataFrame:
     """Add <type>_<field>_<k> for every slot of the rule set; '' where there is no stop."""
-    df = stop_arrays(df, ruleset, text)
+    return _slots(stop_arrays(df, ruleset, text), ruleset)
+
+
+def _slots(df: DataFrame, ruleset: Ruleset) -> DataFrame:
     slot = lambda t, k, f: F.expr(f"coalesce(get({t}_stops, {k - 1}).{f}, '')")
     return df.withColumns(
         {
@@ -269,10 +272,13 @@ def extract_each(df: DataFrame, rulesets, text: str = "text", keep=("source_file
         found = header(docs, (rule,))
         docs = found.select(*keep, DOC_TEXT, *shared, *[F.col(n).alias(c) for n, c in of_rule[key].items()])
         shared += of_rule[key].values()
+    # and so are splitters, and the parts of stops that several rule sets have
+    docs, arrays = _shared_stops(docs, rulesets)
+    shared += [c for c in docs.columns if c not in {*keep, DOC_TEXT, *shared}]
     done = []
     for r in rulesets:
         null = F.lit(None).cast("string")
-        docs = stop_fields(docs, r)
+        docs = _slots(docs.withColumns(arrays[r.name]) if r.name in arrays else stop_arrays(docs, r), r)
         out = {}
         for rule in r.header:
             out |= {n: F.col(c) for n, c in of_rule[id(rule)].items()}
@@ -285,6 +291,50 @@ def extract_each(df: DataFrame, rulesets, text: str = "text", keep=("source_file
     return docs.select(*keep, F.inline(F.array(*done)))
 
 
+def _shared_stops(docs: DataFrame, rulesets) -> tuple[DataFrame, dict]:
+    """Stops of the rule sets that cut a document at the same markers, parsed in one pass over the blocks.
+
+    Adds the pass to docs and returns, by name of rule set, the arrays of stops that stop_arrays would add. Only blocks
+    that have a slot in one of the rule sets are parsed. Rule sets alone with their markers are left to stop_arrays.
+    """
+    by_kind, arrays = {}, {}
+    for r in rulesets:
+        if isinstance(r.stop, stops.BlockStop) and r.stop.same_for_all_types and r.splitter.kind != "typed":
+            by_kind.setdefault(r.splitter.kind, []).append(r)
+    for kind, members in by_kind.items():
+        if len(members) == 1:
+            continue
+        cut, marks, read = f"_{kind}_cut", f"_{kind}_marks", f"_{kind}_read"
+        docs = docs.withColumn(cut, segment.blocks(F.col(DOC_TEXT), segment.Splitter(kind)))
+        need_address = any(r.splitter.require_address for r in members)
+        mark = lambda b, i: F.struct(
+            i.alias("at"),
+            segment.is_pickup(b).alias("pickup"),
+            (segment.has_address(b) if need_address else F.lit(True)).alias("address"),
+        )
+        docs = docs.withColumn(marks, F.transform(cut, mark))
+
+        def kept(r, kind_of_stop):
+            wanted = lambda m: m["pickup"] if kind_of_stop == "pickup" else ~m["pickup"]
+            ok = lambda m: wanted(m) & m["address"] if r.splitter.require_address else wanted(m)
+            return F.slice(F.filter(marks, ok), 1, r.caps[kind_of_stop])["at"]
+
+        at = {(r.name, t): f"_{kind}_{t}_{i}" for i, r in enumerate(members) for t in segment.TYPES}
+        docs = docs.withColumns({at[r.name, t]: kept(r, t) for r in members for t in segment.TYPES})
+        docs = docs.withColumn(f"_{kind}_used", F.array_distinct(F.concat(*at.values())))
+        docs = docs.withColumn(cut, F.transform(f"_{kind}_used", lambda i: F.get(cut, i)))
+        parsed, names = stops.parse_together(F.col(cut), [r.stop for r in members], "any")
+        docs = docs.withColumn(read, parsed).drop(cut, marks)
+
+        def stop_at(at_block, name):
+            found = F.get(read, F.array_position(f"_{kind}_used", at_block).cast("int") - 1)
+            return tx.let(found, lambda s: F.struct(*[s[name[f]].alias(f) for f in stops.FIELDS]))
+
+        for r, name in zip(members, names):
+            arrays[r.name] = {f"{t}_stops": F.transform(at[r.name, t], lambda i: stop_at(i, name)) for t in segment.TYPES}
+    return docs, arrays
+
+
 def extract_routed(df: DataFrame, rulesets: dict, source: str = "source", text: str = "text", keep=("source_file",)) -> DataFrame:
     """Each row goes through the rule set of its source; missing columns become ''.
 

@@ -67,9 +67,11 @@ def blocks(text: Column, splitter: Splitter) -> Column:
         )
     else:
         raise ValueError(splitter.kind)
-    if splitter.require_address:
-        out = F.filter(out, lambda b: b.rlike(rx(ADDRESS_WORD)))
-    return out
+    return F.filter(out, has_address) if splitter.require_address else out
+
+
+def has_address(block: Column) -> Column:
+    return block.rlike(rx(ADDRESS_WORD))
 
 
 def is_pickup(block: Column) -> Column:

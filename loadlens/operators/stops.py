@@ -20,8 +20,8 @@ from ..functions.text import SEP, captures, collapse, extract, group, let, repla
 FIELDS = ("customer", "address", "city", "state", "zipcode", "start_datetime", "end_datetime")
 
 
-def run_steps(items: Column, steps) -> Column:
-    """Array of structs with FIELDS, after mapping every item through the steps.
+def run_steps(items: Column, steps, fields=FIELDS) -> Column:
+    """Array of structs with the fields, after mapping every item through the steps.
 
     items is an array of structs; its fields are what the first step reads. Each step
     wraps the previous struct, so a value is computed once and then only referred to.
@@ -44,7 +44,7 @@ def run_steps(items: Column, steps) -> Column:
 
             new = make(col)
             if last:
-                return F.struct(*[(new[f] if f in new else col(f)).alias(f) for f in FIELDS])
+                return F.struct(*[(new[f] if f in new else col(f)).alias(f) for f in fields])
             made_at.update({name: n + 1 for name in new})
             return F.struct(s.alias("prev"), *[e.alias(name) for name, e in new.items()])
 
@@ -75,11 +75,19 @@ class Facility:
 
     def column(self, block: Column) -> Column:
         if self.skip is None:
-            name = F.regexp_extract(block, rx(self.pattern, "is"), 1)
-        else:
-            found = F.regexp_extract_all(block, F.lit(rx(self.pattern, "is")), F.lit(1))
-            wanted = F.filter(found, lambda c: ~c.rlike(rx(rf"\A\s*(?:{self.skip})")))
-            name = F.coalesce(F.get(wanted, F.lit(0)), F.lit(""))
+            return self.tidied(F.regexp_extract(block, rx(self.pattern, "is"), 1))
+        return self.chosen(self.candidates(block))
+
+    def candidates(self, block: Column) -> Column:
+        return F.regexp_extract_all(block, F.lit(rx(self.pattern, "is")), F.lit(1))
+
+    def chosen(self, found: Column) -> Column:
+        """The name, from all candidates of a block."""
+        if self.skip is not None:
+            found = F.filter(found, lambda c: ~c.rlike(rx(rf"\A\s*(?:{self.skip})")))
+        return self.tidied(F.coalesce(F.get(found, F.lit(0)), F.lit("")))
+
+    def tidied(self, name: Column) -> Column:
         name = strip(name)
         for step in self.cleanups:
             name = strip(name) if step is None else replace_all(name, [step])
@@ -138,8 +146,16 @@ class Geo:
         return [*steps, self._place]
 
     def _zone(self, c):
-        zone = collapse(replace_all(F.regexp_extract(c("block"), rx(self.zone, "is"), 1), self.removals))
-        return {"_zone": strip(replace_all(zone, [TRAILING_CODE])) if self.kind == "road" else zone}
+        return {"_zone": self.zone_end(self.cleared(self.zone_text(c("block"))))}
+
+    def zone_text(self, block: Column) -> Column:
+        return F.regexp_extract(block, rx(self.zone, "is"), 1)
+
+    def cleared(self, zone: Column) -> Column:
+        return collapse(replace_all(zone, self.removals))
+
+    def zone_end(self, zone: Column) -> Column:
+        return strip(replace_all(zone, [TRAILING_CODE])) if self.kind == "road" else zone
 
     def _match_by_tail(self, c):
         return {"_a": captures(c("_zone"), CITY_STATE_ZIP, 3)}
@@ -271,6 +287,48 @@ class BlockStop:
         return run_steps(_as_structs(blocks), steps)
 
 
+def parse_together(blocks: Column, parsers, kind: str) -> tuple[Column, list[dict]]:
+    """The blocks read by several BlockStops in one pass, and per BlockStop the name that each of FIELDS has in it.
+
+    Parts that are equal by value are evaluated once; so are the candidates of a facility pattern, the zone of a place
+    pattern and its clearing, whichever parts go on from them.
+    """
+    first, cleared, made = {}, {}, {}
+
+    def source(known: dict, key, name: str, column) -> str:
+        return known.setdefault(key, (f"{name}{len(known)}", column))[0]
+
+    def steps_of(part):
+        if isinstance(part, Facility):
+            found = source(first, (Facility, part.pattern), "found", lambda c: part.candidates(c("block")))
+            return [lambda c: {}, lambda c: {"customer": part.chosen(c(found))}]
+        if isinstance(part, Geo) and part.kind != "labelled":
+            zone = source(first, (Geo, part.zone), "found", lambda c: part.zone_text(c("block")))
+            clear = source(cleared, (part.zone, part.removals), "cleared", lambda c: part.cleared(c(zone)))
+            return [lambda c: {}, lambda c: {}, lambda c: {"_zone": part.zone_end(c(clear))}, *part.steps(kind)[1:]]
+        return part.steps(kind)
+
+    def own_names(make, prefix: str):
+        common = {"block", *(n for n, _ in first.values()), *(n for n, _ in cleared.values())}
+        here = lambda c: lambda name: c(name if name in common else prefix + name)
+        return lambda c: {prefix + name: e for name, e in make(here(c)).items()}
+
+    for parser in parsers:
+        for part in (parser.facility, parser.geo, parser.times):
+            if part not in made:
+                made[part] = f"p{len(made)}_", steps_of(part)
+    shared = [lambda c, s=s: {name: column(c) for name, column in s.values()} for s in (first, cleared)]
+    steps = _together(shared, *[[own_names(m, prefix) for m in makes] for prefix, makes in made.values()])
+    names = []
+    for parser in parsers:
+        prefix = lambda part: made[part][0]
+        place = {f: prefix(parser.geo) + f for f in ("address", "city", "state", "zipcode")}
+        moments = {f: prefix(parser.times) + f for f in ("start_datetime", "end_datetime")}
+        names.append({"customer": prefix(parser.facility) + "customer", **place, **moments})
+    every = tuple(dict.fromkeys(n for of_one in names for n in of_one.values()))
+    return run_steps(_as_structs(blocks), steps, every), names
+
+
 def _as_structs(blocks: Column) -> Column:
     return F.transform(blocks, lambda b: F.struct(b.alias("block")))
 

@@ -245,6 +245,31 @@ def test_generations_in_one_pass_equal_single_runs(spark):
     assert cities == {"cy_1": "Big Town", "cy_2": "OAK RD Town", "cy_3": "RD Town", "cy_4": "Town", "cy_5": "Big Town"}
 
 
+def test_generations_share_blocks_that_each_keeps(spark):
+    """Stops without an address, beyond the slots, or missing: every generation still reads its own."""
+    block = "Stop {n}: {t}\nFacility {f} Address {n} OAK RD SLIC Big Town, GA 3012{n} Contact None\nMon 01/0{n}/2024 from 08:00 - 09:30\n"
+    bare = "Stop {n}: {t}\nFacility {f} Contact None\nTue 01/0{n}/2024 at 10:15\n"
+    rnd = random.Random(8)
+    facilities = ["ACME Notes Numbers 5", "Notes here Facility BIG ONE", "X ~~A~~ No Touch", "PLANT 9 Lumper x"]
+    texts = ["Load 5\n", "Stop 1: Delivery\n"]
+    for _ in range(30):
+        stops = [
+            rnd.choice((block, block, bare)).format(n=n, t=rnd.choice(("Pick Up", "Delivery")), f=rnd.choice(facilities))
+            for n in range(1, rnd.randrange(2, 9))
+        ]
+        texts.append("Load 5\n" + "".join(stops) + "Total USD $ 1,200.00")
+    df = docs(spark, *texts)
+    generations = [rs.CY_2, rs.CY_3, rs.CY_4, rs.CY_5]
+    each = extract_each(df, generations).collect()
+    differ = set()
+    for r in generations:
+        alone = extract(df, r)
+        rows = sorted(tuple(row) for row in alone.collect())
+        assert rows == sorted(tuple(row[c] for c in alone.columns) for row in each if row.ruleset == r.name)
+        differ.add(str([row[alone.columns.index("pickup_customer_1")] for row in rows]))
+    assert len(differ) > 2
+
+
 def test_no_python_and_no_shuffle_in_the_plan(spark, tmp_path):
     docs(spark, "Load 5").write.parquet(str(tmp_path / "docs"))
     stored = spark.read.parquet(str(tmp_path / "docs"))
