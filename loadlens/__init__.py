@@ -4,7 +4,7 @@ from .functions.text import normalise
 from .operators.extract import Ruleset, extract, extract_routed, stop_rows
 from .operators.segment import stops_long, stops_ranked
 from .operators.validate import accuracy, compare, error_ledger, gate, missing_loads, schema_diff
-from .plans.pipeline import compare_rulesets, load, load_vendors, validate
+from .plans.pipeline import compare_rulesets, load, load_vendors, store_by_load, validate
 from .plans.rulesets import RULESETS
 
 __all__ = [
@@ -25,5 +25,6 @@ __all__ = [
     "stop_rows",
     "stops_long",
     "stops_ranked",
+    "store_by_load",
     "validate",
 ]

@@ -73,14 +73,23 @@ def _same_columns(df: DataFrame, spark: SparkSession, name: str) -> bool:
     return shape(df.schema) == shape(spark.table(name).schema)
 
 
-def overwrite(df: DataFrame, name: str, fmt: str = "parquet", merge_schema: bool = True, partition_by=(), accept=None) -> int:
+def _buckets(about: dict) -> tuple[int, tuple]:
+    """How a described table is bucketed: number and columns; 0 if it is not."""
+    found = re.findall(r"`([^`]*)`", about.get("Bucket Columns", ""))
+    return (int(about["Num Buckets"]), tuple(found)) if found else (0, ())
+
+
+def overwrite(
+    df: DataFrame, name: str, fmt: str = "parquet", merge_schema: bool = True, partition_by=(), accept=None, bucket_by=(0, ()),
+) -> int:
     """Replace a table's rows and return how many were written; a table that does not exist is made.
 
     Until all new rows are written the table is as it was, and so it stays if the job fails or accept(rows), called
     with the number of rows before they show, raises. df may read the table itself. The count is observed by the write,
     so the input is read once. Formats that merge schemas on their own replace in one commit and get the write option;
     others get the old columns here. A partitioned table has its files under a location of its own (EXTERNAL), as the
-    catalogue holds the place of every partition and these must not move.
+    catalogue holds the place of every partition and these must not move. bucket_by is a number of buckets and their
+    columns; a table that has buckets keeps them if none are given.
     """
     spark = df.sparkSession
     if fmt == "delta":
@@ -92,7 +101,8 @@ def overwrite(df: DataFrame, name: str, fmt: str = "parquet", merge_schema: bool
     mark = uuid.uuid4().hex
     if exists:
         about = _described(spark, name)
-        if not partition_by and not about["partitioned"] and about.get("Provider") == fmt and _same_columns(df, spark, name):
+        bucket_by = bucket_by if bucket_by[0] else _buckets(about)
+        if not bucket_by[0] and not partition_by and not about["partitioned"] and about.get("Provider") == fmt and _same_columns(df, spark, name):
             old = about["Location"]
             new = f"{re.sub('-[0-9a-f]{32}$', '', old.rstrip('/'))}-{mark}"
             try:
@@ -111,7 +121,12 @@ def overwrite(df: DataFrame, name: str, fmt: str = "parquet", merge_schema: bool
     before = about["Location"] if exists and about.get("Type") == "EXTERNAL" else None
     try:
         options = {"path": place} if place else {}
-        rows = _counted(df, lambda d: d.write.format(fmt).options(**options).partitionBy(*partition_by).saveAsTable(staged))
+
+        def write(d):
+            writer = d.write.format(fmt).options(**options).partitionBy(*partition_by)
+            (writer.bucketBy(bucket_by[0], *bucket_by[1]) if bucket_by[0] else writer).saveAsTable(staged)
+
+        rows = _counted(df, write)
         if accept:
             accept(rows)
         if exists:

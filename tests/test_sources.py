@@ -241,3 +241,51 @@ def test_ledger(spark):
     assert pages.require_converted(counts) == 1
     with pytest.raises(ValueError):
         pages.require_converted(counts.filter("source = 'y'"))
+
+
+def _exchanges_of_the_target(df, table):
+    """Exchanges above the scan of the table in the physical plan, up to the first join."""
+    lines = df._jdf.queryExecution().executedPlan().toString().split("\n")
+    depth = lambda line: len(line) - len(line.lstrip(" :+-*()0123456789"))
+    scans = [i for i, line in enumerate(lines) if "FileScan" in line and f".{table}[" in line]
+    assert scans
+    found = []
+    for i in scans:
+        below = depth(lines[i])
+        for line in reversed(lines[:i]):
+            if depth(line) < below:
+                below = depth(line)
+                if "Join" in line:
+                    break
+                if "Exchange" in line:
+                    found.append(line)
+    return found
+
+
+def test_validation_where_the_target_lies(spark, folder):
+    rows = spark.range(0, 900, 1, 3).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN '' ELSE cast(id % 400 AS string) END AS loadConfirmationNumber",
+        "concat('f', id) AS source_file", "concat('city ', id % 7) AS broker_city",
+    )
+    tables.overwrite(rows, "loads_any")
+    assert pipeline.store_by_load(spark, "loads_any", "loads_by_load") == rows.select("loadConfirmationNumber").distinct().count()
+    truth = spark.range(0, 450).selectExpr(
+        "CASE WHEN id = 0 THEN '' ELSE cast(id AS string) END AS loadConfirmationNumber", "concat('f', id) AS source_file",
+        "'city 1' AS broker_city", "'x' AS carrier_mc",
+    )
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plain = loadlens.validate(spark, "loads_any", truth, raise_on_error=False)
+        stored = loadlens.validate(spark, "loads_by_load", truth, raise_on_error=False)
+        for part, frame in plain.items():
+            assert sorted(map(str, frame.collect())) == sorted(map(str, stored[part].collect())), part
+        for part in ("results", "missing_loads"):
+            assert _exchanges_of_the_target(plain[part], "loads_any")
+            assert not _exchanges_of_the_target(stored[part], "loads_by_load"), part
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # the buckets stay when the table is replaced, also by a writer that does not know of them
+    assert tables.overwrite(spark.table("loads_any").limit(50), "loads_by_load") == 50
+    about = tables._described(spark, "loads_by_load")
+    assert tables._buckets(about) == (8, ("loadConfirmationNumber",)) and spark.table("loads_by_load").count() == 50
