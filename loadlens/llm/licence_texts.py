@@ -90,3 +90,21 @@ NOTICES = (
     ("MIT", "SPDX-License-Identifier: MIT"),
     ("MPL-2.0", "SPDX-License-Identifier: MPL-2.0"),
 )
+
+#: Licences too long to stand here, as (name, SHA-256 of the canonical text, its length). The texts are
+#: those of their publishers with title, preamble and appendix; a test makes the digests from them where a system has them.
+DIGESTS = (
+    ("Apache-2.0", "4580e5390400d27df89edd0617548ac0e66eaa029f6e07cf98aac9cd100b3a37", 9826),
+    ("Artistic-1.0-Perl", "08f1dc258c8f9e175155356aa1dd0dead8cfdec586bc1bb4c8b1452699a91702", 5833),
+    ("CC0-1.0", "96bdc7f63190fb4bd1ae584b890300ed7517d858b34c945642a3b9b2f1612a5f", 6692),
+    ("GFDL-1.2", "15f6a8d360ffdecc988c29279c00f23e20de17f14f2a06572ab0d41de6e98b7b", 19578),
+    ("GFDL-1.3", "2d36daeff2ad303badb6dee8149748be25e22974dd468e1e8a55cf40f16fc01d", 22013),
+    ("GPL-1.0", "8f586b09c093668e2db772bdcfc1d5dc0b03e0e862fccbff035e1bf134e9b224", 11765),
+    ("GPL-2.0", "efe73660e5476cf0368fc0fc143f624ff9d1b73c4484b14a9969dd20c5786821", 17117),
+    ("GPL-3.0", "eaab5d82fdcca441d83a1913bbf07e4de3a739e190578c0bffde24f84e93bb2a", 33406),
+    ("LGPL-2.0", "61af4dcea4e412e8ccfb8877fd2762bd6d962f8d42a9fa2c06cf7b4613f2c908", 24130),
+    ("LGPL-2.1", "4d55922bdeafabde164d75448bbfb0b474bf952bbb541325364010900acd9891", 25217),
+    ("LGPL-3.0", "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be", 7104),
+    ("MPL-1.1", "fcb579371133afd771fed87cd5d8c6dc5648746c9945d4adf08ec5c79aba5c61", 22319),
+    ("MPL-2.0", "9e79a7d513376f6fa1500e4df4f6276c6e7e61c5c3e28dcdb1acee24033acc56", 14272),
+)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .licence_texts import NOTICES, TEXTS
+from .licence_texts import DIGESTS, NOTICES, TEXTS
 from .shared import stored
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -56,15 +56,19 @@ def digest(words: Column) -> Column:
     return F.when(words != "", F.sha2(words, 256))
 
 
-def known_digests(spark: SparkSession, licences) -> DataFrame:
-    """(digest, licence, size) from (name, text) pairs or a DataFrame of name and text; of equal texts the first name."""
+def known_digests(spark: SparkSession, licences, digests=()) -> DataFrame:
+    """(digest, licence, size) from (name, text) pairs or a DataFrame of name and text; of equal texts the first name.
+
+    digests are licences known by (name, digest, size) alone, of canonical texts.
+    """
     if not isinstance(licences, DataFrame):
         licences = spark.createDataFrame(list(licences), "name string, text string")
     words = canonical(canonical_lines(F.col("text")))
     known = licences.select("name", words.alias("words")).filter("words <> ''")
-    return known.groupBy(digest(F.col("words")).alias("digest")).agg(
-        F.min("name").alias("licence"), F.max(F.length("words")).alias("size")
-    )
+    known = known.select("name", digest(F.col("words")).alias("digest"), F.length("words").alias("size"))
+    if digests:
+        known = known.unionByName(spark.createDataFrame(list(digests), "name string, digest string, size int"))
+    return known.groupBy("digest").agg(F.min("name").alias("licence"), F.max("size").alias("size"))
 
 
 def scan_licences(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", licences=None) -> DataFrame:
@@ -73,10 +77,12 @@ def scan_licences(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", l
     digest is that of the whole text, null if no words are left; licence the known licence with this digest, or null;
     notices the names of the licences whose text is one line of the document, in order, joined by commas, '' if none.
     Null and empty texts have no digest. Repeated rows are rows like any other. Other columns are not read; a table
-    without rows gives none. licences: (name, text) pairs or a DataFrame of them; by default those of licence_texts.
+    without rows gives none. licences: (name, text) pairs or a DataFrame of them; by default the texts, notices and
+    digests of licence_texts.
     """
     spark = docs.sparkSession
-    known = stored(known_digests(spark, TEXTS + NOTICES if licences is None else licences), "licences")
+    default = (TEXTS + NOTICES, DIGESTS)
+    known = stored(known_digests(spark, *(default if licences is None else (licences,))), "licences")
     small = known.count() <= MOST_BROADCAST
     # a line can only be a known text if it is as long as one
     sizes = [r.size for r in known.select("size").distinct().limit(MOST_SIZES + 1).collect()]
@@ -117,11 +123,14 @@ def oracle() -> str:
         return words
 
     canon = lambda lines: f"rtrim({spelt(f"concat(array_to_string({lines}, ' '), ' ')")})"
+    digests = ", ".join(f"('{n}', '{d}')" for n, d, _ in DIGESTS)
     values = ", ".join("('" + n + "', '" + t.replace("'", "''") + "')" for n, t in TEXTS + NOTICES)
     return f"""
         WITH known AS (
-            SELECT sha256(words) AS digest, min(name) AS licence
-            FROM (SELECT name, {canon(lines("t"))} AS words FROM (VALUES {values}) v(name, t)) GROUP BY 1
+            SELECT digest, min(name) AS licence FROM (
+                SELECT name, sha256({canon(lines("t"))}) AS digest FROM (VALUES {values}) v(name, t)
+                UNION ALL SELECT * FROM (VALUES {digests}) d(name, digest)
+            ) GROUP BY 1
         ), canon AS (SELECT doc_id, row_number() OVER () AS r, {lines("text")} AS lines FROM documents
         ), whole AS (SELECT r, doc_id, {canon("lines")} AS words FROM canon
         ), noted AS (

@@ -14,9 +14,15 @@ WORD = f"[^{SPACES}]+"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or an own one where it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir.
+
+    Where it is unset, a session on one machine gets a folder of its own; on a cluster, whose executors would not see
+    it, that is an error.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="loadlens-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
