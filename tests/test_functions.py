@@ -179,3 +179,25 @@ def test_canonical_paths(spark):
     assert canon("any_folder") == "/v/raw/cy/pdf/1 a+b.pdf"
     assert canon("raw") == path
     assert evaluate(spark, [" a.txt/b.txt ", None], tx.comparable_path) == ["a.pdf/b.pdf", ""]
+
+
+def test_captures_search_without_a_lazy_gap(spark):
+    """The first match, wherever it stands, line ends before and behind it included; found by a plain search."""
+    rng = random.Random(11)
+    texts = ["".join(rng.choice(["a", "A", "1", "22", "x", "b", "\n", " ", "é"]) for _ in range(rng.randint(0, 12))) for _ in range(2000)]
+    plain = re.compile(r"a(\d+)(x)?b?", re.I)
+    found = [["", m[1], m[2] or ""] if (m := plain.search(t)) else [t] for t in texts]
+    assert any(len(f) > 1 for f in found) and any(len(f) == 1 for f in found)
+    caps = lambda c: tx.captures(c, plain.pattern, 2)
+    assert evaluate(spark, texts, caps) == found
+    plan = spark.range(1).select(caps(F.col("id").cast("string")))._jdf.queryExecution().analyzed().toString()
+    assert ".*?" not in plan
+
+
+def test_lines_are_joined_as_by_a_plain_pattern(spark):
+    texts = random_texts(["a", "é", "\U00010400", "\n", "B", "7", " ", ".", "\u2028", "\x1c"], n=2000, length=10)
+    plain = lambda c: tx.replace_all(c, [(r"(?<=\w)\n(?=[A-Z0-9])", " ", "")])
+    (step,) = [s for s in tx.LINE_STEPS if s[0].endswith("(?=[A-Z0-9])")]
+    assert evaluate(spark, texts, lambda c: tx.replace_all(c, [step[:3]])) == evaluate(spark, texts, plain)
+    # the look back is tried at line ends only
+    assert step[0].startswith(r"(?=\n)")
