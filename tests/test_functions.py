@@ -201,3 +201,8 @@ def test_lines_are_joined_as_by_a_plain_pattern(spark):
     assert evaluate(spark, texts, lambda c: tx.replace_all(c, [step[:3]])) == evaluate(spark, texts, plain)
     # the look back is tried at line ends only
     assert step[0].startswith(r"(?=\n)")
+
+
+def test_filled(spark):
+    values = ["", *tx.WHITE_SPACE, tx.WHITE_SPACE, "\u200b", "x", " x", "\u2003\n\u00e9\n", "\U0001f600", None]
+    assert evaluate(spark, values, tx.filled) == [bool((v or "").strip(tx.WHITE_SPACE)) for v in values]
