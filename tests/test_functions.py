@@ -203,6 +203,13 @@ def test_lines_are_joined_as_by_a_plain_pattern(spark):
     assert step[0].startswith(r"(?=\n)")
 
 
+def test_single_spaces_are_left_alone(spark):
+    texts = random_texts(["a", " ", "\t", "\u00a0", "\n"], n=2000, length=12)
+    step = tx.SPACES[0]
+    assert evaluate(spark, texts, lambda c: tx.replace_all(c, [step[:3]])) == [re.sub("[ \t\u00a0]+", " ", t) for t in texts]
+    assert not re.search(step[0].replace("*+", "*").replace("++", "+"), "a b")
+
+
 def test_filled(spark):
     values = ["", *tx.WHITE_SPACE, tx.WHITE_SPACE, "\u200b", "x", " x", "\u2003\n\u00e9\n", "\U0001f600", None]
     assert evaluate(spark, values, tx.filled) == [bool((v or "").strip(tx.WHITE_SPACE)) for v in values]
