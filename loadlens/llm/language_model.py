@@ -2,7 +2,7 @@
 
 Each context has a restaurant whose customers are the words that follow it; a table of a restaurant is a customer
 of the parent, the restaurant of words without context; its tables draw on an even distribution. A context is
-the word before, by its 64-bit hash: there are as many restaurants as words, however large the corpus is.
+the word before, by the first 40 bits of its hash: there are as many restaurants as words, however large the corpus is.
 
 The work is dealt out by the word that is scored. A bucket holds all customers that eat its words, in all
 contexts, and its words' part of the parent. What buckets share is the customers and tables of each context: they
@@ -31,7 +31,8 @@ from .packing import pack, unpack
 from .shared import stored
 from .words import LOWER, blocks, mixed, words_in
 
-START = (1 << 64) - 1  # the context of a first word, among word hashes; sorts last
+CONTEXT_BITS = 40  # of a word's hash: of ten million words about 45 pairs share a context; lists are shorter than with 64
+START = (1 << CONTEXT_BITS) - 1  # the context of a first word, among word hashes; sorts last
 CONTEXTS = (1 << 13) + 1  # contexts of a small model, for tests; score_texts has no such number
 END = 0x5EED0E4D  # stands for the end of a text among word hashes
 CHUNK_BYTES = 6 << 20
@@ -43,6 +44,7 @@ ROUNDS = SMALL  # parts in which a sweep reseats the customers of a larger dish
 BURN_IN = 12  # Gibbs sweeps before tables are reported, and again before samples
 SAMPLES = 4
 BETWEEN = 3  # sweeps from sample to sample
+SCORE_BITS = 32  # binary places of the sums that a bucket sends back
 SEED = 11
 
 
@@ -73,16 +75,21 @@ class Restaurant:
 
     def enter(self, c: np.ndarray, q: np.ndarray) -> np.ndarray:
         """Tables when c customers of a dish have come; q: weight of a new table for each dish."""
-        t, n = np.ones(len(c)), np.ones(len(c))
-        while (n < c).any():
-            step = np.minimum(np.maximum(1.0, n / 4), c - n)
-            t += np.where(step > 0, step * q / (n - self.d * t + q), 0.0)
-            n += step
+        t, n = np.ones(len(c)), 1.0
+        # as many have come to every dish that waits for more
+        waits = np.flatnonzero(c > n)
+        while len(waits):
+            step = np.minimum(max(1.0, n / 4), c[waits] - n)
+            t[waits] += step * q[waits] / (n - self.d * t[waits] + q[waits])
+            n += max(1.0, n / 4)
+            waits = waits[c[waits] > n]
         return np.clip(np.rint(t), 1, c)
 
     def leaving(self, c: np.ndarray, t: np.ndarray) -> np.ndarray:
         """How likely a customer sits alone."""
         small = c <= SMALL
+        if small.all():
+            return self.alone[c.astype(np.intp, copy=False), t.astype(np.intp)]
         large = (t - 1) / np.maximum(c - 1, 1)
         with np.errstate(divide="ignore"):
             large = large * np.interp(-np.log(large), self.log_size, self.factor)
@@ -97,22 +104,31 @@ class Restaurant:
         return np.where(c > 1, np.minimum(t - left + new, c), 1.0)
 
 
-def rounds(c: np.ndarray):
-    """A sweep over dishes of c customers: (dishes, customers of each that are reseated) of one round after another.
+def in_rounds(c: np.ndarray) -> tuple[np.ndarray, list]:
+    """A sweep over dishes of c customers: an order of the dishes, and of one round after another its range in that order
+    and how many customers of each dish are reseated.
 
     Dishes of up to SMALL customers have a round for each, larger ones ROUNDS rounds with equal parts. None: one of each.
     """
     order = np.argsort(-c, kind="stable")
-    down = c[order]
-    large = order[: np.searchsorted(-down, -SMALL)]
+    down, parts = c[order], []
+    large = int(np.searchsorted(-down, -SMALL))
+    each, rest = np.divmod(down[:large].astype(np.int64), ROUNDS)
     for k in range(1, ROUNDS + 1):
-        if len(large):
-            m = c[large].astype(np.int64)
-            # exact also where m k is beyond 64 bits
-            part = lambda k: m // ROUNDS * k + m % ROUNDS * k // ROUNDS
-            yield large, part(k) - part(k - 1)
-        if k <= SMALL and len(small := order[len(large) : np.searchsorted(-down, -max(k, 2), side="right")]):
-            yield small, None
+        if large:
+            # the rest is spread evenly over the rounds
+            more = np.arange(ROUNDS) * k // ROUNDS - np.arange(ROUNDS) * (k - 1) // ROUNDS
+            parts.append((0, large, each + more[rest]))
+        if k <= SMALL and (end := int(np.searchsorted(-down, -max(k, 2), side="right"))) > large:
+            parts.append((large, end, None))
+    return order, parts
+
+
+def rounds(c: np.ndarray):
+    """The same as (dishes, customers of each that are reseated)."""
+    order, parts = in_rounds(c)
+    for first, end, m in parts:
+        yield order[first:end], m
 
 
 class Seating:
@@ -152,8 +168,9 @@ class Seating:
 
     def parent(self, words=slice(None)) -> np.ndarray:
         """The probability of each word without context."""
-        top = np.minimum(self.top_t[words], self.customers[words])
-        return (self.customers[words] - self.top.d * top + self.top_weight()) / (STRENGTH + self.all_tables)
+        customers = self.customers[words]
+        top = np.minimum(self.top_t[words], customers)
+        return (customers - self.top.d * top + self.top_weight()) / (STRENGTH + self.all_tables)
 
     def unknown(self) -> float:
         return self.top_weight() / (STRENGTH + self.all_tables)
@@ -164,24 +181,35 @@ class Seating:
     def sweep(self, times: int) -> None:
         """Every customer leaves and sits down again; a round sees what the rounds before it have changed."""
         if self.rounds is None:
-            self.rounds = [(at, m, self.of[at], self.context[at], self.c[at]) for at, m in rounds(self.c)]
+            order, parts = in_rounds(self.c)
+            # in this order the dishes of a round lie side by side
+            seated = order[: max((end for _, end, _ in parts), default=0)]
+            self.rounds = seated, parts, self.of[seated], self.context[seated], self.c[seated]
+        seated, parts, of, context, c = self.rounds
+        tables = self.t[seated]
         for _ in range(times):
-            for at, m, of, context, c in self.rounds:
-                old = self.t[at]
-                q = (STRENGTH + self.low.d * self.tables[context]) * self.parent(of)
-                t = self.low.step(c, old, q, self.rng, m)
-                np.add.at(self.tables, context, t - old)
-                np.add.at(self.customers, of, t - old)
-                self.all_tables += float((t - old).sum())
-                self.t[at] = t
+            for first, end, m in parts:
+                w, x, old = of[first:end], context[first:end], tables[first:end]
+                p = self.parent()[w] if len(w) > 2 * len(self.word) else self.parent(w)
+                t = self.low.step(c[first:end], old, (STRENGTH + self.low.d * self.tables[x]) * p, self.rng, m)
+                moved = np.flatnonzero(t != old)
+                by = t[moved] - old[moved]
+                np.add.at(self.tables, x[moved], by)
+                np.add.at(self.customers, w[moved], by)
+                self.all_tables += float(by.sum())
+                tables[first:end] = t
             top = np.minimum(self.top_t, self.customers)
             self.top_tables += float((top - self.top_t).sum())
             self.top_t = top
-            for at, m in rounds(self.customers):
-                old = self.top_t[at]
-                top = self.top.step(self.customers[at], old, np.full(len(at), self.top_weight()), self.rng, m)
-                self.top_tables += float((top - old).sum())
-                self.top_t[at] = top
+            order, top_parts = in_rounds(self.customers)
+            customers, top = self.customers[order], self.top_t[order]
+            for first, end, m in top_parts:
+                old = top[first:end]
+                t = self.top.step(customers[first:end], old, np.full(end - first, self.top_weight()), self.rng, m)
+                self.top_tables += float((t - old).sum())
+                top[first:end] = t
+            self.top_t[order] = top
+        self.t[seated] = tables
 
     def sample(self) -> dict:
         back = (STRENGTH + self.low.d * self.tables) / (STRENGTH + self.totals["customers"])
@@ -190,25 +218,27 @@ class Seating:
         return {"back": back, "parent": p, "seen": seen, "unknown": self.unknown()}
 
 
-def _lists(buckets: int):
+def _lists(buckets: int, training: bool):
+    """The lists, with training counts and without holders, or without counts and with holders; size: how many they are."""
+
     def run(batches):
         from pyspark import TaskContext
 
         part, chunk = TaskContext.get().partitionId(), 0
-        names = ["chunk", "bucket", "ids", "pairs", "holders"]
-        types = [pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.binary(), pa.binary()]
+        names = ["chunk", "bucket", "ids", "pairs", "holders", "size"]
+        types = [pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.int64()]
         row = lambda *v: pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(v, types)], names)
 
         def out(ids, keys, docs):
             nonlocal chunk
             number = (part << 32) + chunk
             chunk += 1
-            yield row(number, number % buckets, ids, None, None)
+            if not training:
+                yield row(number, number % buckets, ids, None, None, None)
             key, doc = np.concatenate(keys), np.concatenate(docs)
-            training = np.array([not held_out(i) for i in ids])
             word, which = np.unique(key, return_inverse=True)
             # the context is the word before in the same text
-            before = np.append(word, np.uint64(START))
+            before = np.append(word >> np.uint64(64 - CONTEXT_BITS), np.uint64(START))
             context = np.append(len(word), which[:-1])
             context[1:][doc[1:] != doc[:-1]] = len(word)
             place = (mixed(word) % np.uint64(buckets)).astype(np.int64)
@@ -225,7 +255,8 @@ def _lists(buckets: int):
             first = np.flatnonzero(new)
             of_pair = np.cumsum(new) - 1
             holders = np.diff(np.append(first, len(pair)))
-            trained = np.bincount(of_pair, n * training[doc]).astype(np.int64)
+            if training:
+                counts = np.bincount(of_pair, n * np.array([not held_out(i) for i in ids])[doc]).astype(np.int64)
             pair = pair[first] if pairs is None else pairs[pair[first]]
             pair_word, context = pair // len(before), pair % len(before)
             word_cut = np.searchsorted(place, np.arange(buckets + 1))
@@ -237,7 +268,8 @@ def _lists(buckets: int):
                     continue
                 each = np.bincount(pair_word[p] - w.start, minlength=w.stop - w.start)
                 own, at = np.unique(context[p], return_inverse=True)
-                yield row(number, b, None, pack(_steps(word[w]), each, _steps(before[own]), at, trained[p]), pack(holders[p], doc[h], n[h]))
+                pairs_here = pack(_steps(word[w]), each, _steps(before[own]), at, *([counts[p]] if training else []))
+                yield row(number, b, None, pairs_here, None if training else pack(holders[p], doc[h], n[h]), h.stop - h.start)
 
         ids, keys, docs, size = [], [], [], 0
         for batch in batches:
@@ -260,19 +292,44 @@ def _lists(buckets: int):
     return run
 
 
+def _planes(x: np.ndarray) -> np.ndarray:
+    """64-bit numbers as bytes, the lowest of all first: the highest are mostly 0."""
+    return x.astype("<u8").view(np.uint8).reshape(-1, 8).T.ravel()
+
+
+def _from_planes(x: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(x.astype(np.uint8).reshape(8, -1).T).view("<u8").ravel()
+
+
 def _steps(keys: np.ndarray) -> np.ndarray:
-    """Sorted 64-bit keys as the bytes of their differences, the lowest bytes first: the highest are mostly 0."""
-    return np.diff(keys, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T.ravel()
+    """Sorted 64-bit keys as the bytes of their differences."""
+    return _planes(np.diff(keys, prepend=np.uint64(0)))
 
 
 def _keys(steps: np.ndarray) -> np.ndarray:
-    return np.cumsum(np.ascontiguousarray(steps.astype(np.uint8).reshape(8, -1).T).view("<u8").ravel(), dtype=np.uint64)
+    return np.cumsum(_from_planes(steps), dtype=np.uint64)
 
 
 def _pairs(packed: bytes):
-    """A list: sorted words, the word of each pair, sorted contexts, the context of each pair, its training count."""
-    word, each, before, context, n = unpack(packed)
-    return _keys(word), np.repeat(np.arange(len(each)), each), _keys(before), context, n
+    """A list: sorted words, the word of each pair, sorted contexts, the context of each pair, its training count if any."""
+    word, each, before, context, *n = unpack(packed)
+    return _keys(word), np.repeat(np.arange(len(each)), each), _keys(before), context, *n
+
+
+def _packed_sums(tokens, known, base, score) -> bytes:
+    """Sums of a list by document. Logarithms have SCORE_BITS binary places, fewer where they would not fit."""
+    logs = np.concatenate([base, score])
+    bits = min(SCORE_BITS, 61 - int(np.ceil(np.log2(np.abs(logs).max(initial=1.0)))))
+    fixed = np.rint(np.ldexp(logs, bits)).astype(np.int64)
+    tokens, known = (np.rint(x).astype(np.int64) for x in (tokens, known))
+    return pack(np.array([bits]), tokens, tokens - known, _planes(((fixed << 1) ^ (fixed >> 63)).view(np.uint64)))
+
+
+def _unpacked_sums(packed: bytes) -> np.ndarray:
+    bits, tokens, unknown, logs = unpack(packed)
+    logs = _from_planes(logs)
+    logs = np.ldexp((logs >> np.uint64(1)).astype(np.int64) ^ -(logs & np.uint64(1)).astype(np.int64), -int(bits[0]))
+    return np.concatenate([tokens, tokens - unknown, logs]).reshape(4, -1)
 
 
 def _added(parts):
@@ -298,7 +355,7 @@ def _counts(shards: int):
     def out(bucket, parts, size):
         word, of, before, context, c = _added(parts)
         pairs = np.bincount(context, minlength=len(before))
-        cut = np.searchsorted((before >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32), np.arange(shards + 1).astype(np.uint64))
+        cut = np.searchsorted((before >> np.uint64(CONTEXT_BITS - 32)) * np.uint64(shards) >> np.uint64(32), np.arange(shards + 1).astype(np.uint64))
         sent = [pack(_steps(before[a:b]), pairs[a:b]) if a < b else None for a, b in zip(cut[:-1], cut[1:])]
         spread = np.bincount(of, minlength=len(word))
         stats = [
@@ -431,7 +488,7 @@ def _scores(totals: dict):
                         seen_mean = seen_mean + samples[-1].pop("seen") / SAMPLES
                     known = np.bincount(seating.of, seating.c, len(seating.word))
                     codes = seating.of * len(before) + seating.context
-                word, of, mine, context, _ = _pairs(pairs)
+                word, of, mine, context = _pairs(pairs)
                 context = np.searchsorted(before, mine)[context]
                 at = np.searchsorted(seating.word, word)
                 at[at == len(seating.word)] = 0
@@ -449,8 +506,7 @@ def _scores(totals: dict):
                 base = np.log10((c + 0.1) / (n_all + even))[of]
                 each, doc, n = unpack(holders)
                 pair = np.repeat(np.arange(len(of)), each)
-                sums = [np.bincount(doc, x) for x in (n, n * (c > 0)[of][pair], n * base[pair], n * score[pair])]
-                done.append(np.concatenate(sums).astype("<f8").tobytes())
+                done.append(_packed_sums(*[np.bincount(doc, x) for x in (n, n * (c > 0)[of][pair], n * base[pair], n * score[pair])]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("chunk"), batch.column("bucket"), batch.column("ids"), pa.array(done, pa.binary())], ["chunk", "bucket", "ids", "sums"]
             ).filter(pa.array([c is not None for c in batch.column("chunk").to_pylist()]))
@@ -465,7 +521,7 @@ def _joined(total_tokens: int):
         sums = np.zeros((4, len(ids)))
         for part in table.column("sums").to_pylist():
             if part is not None:
-                part = np.frombuffer(part, "<f8").reshape(4, -1)
+                part = _unpacked_sums(part)
                 sums[:, : part.shape[1]] += part
         counts = np.rint(sums[:2]).astype(np.int64)
         return pa.table({
@@ -501,9 +557,10 @@ def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     buckets = min(max(-(-size // BUCKET_BYTES), BUCKETS[0]), BUCKETS[1])
     # made twice, for counts and for scores, since they take more room than the texts
-    lists = docs.mapInArrow(_lists(buckets), "chunk long, bucket int, ids array<long>, pairs binary, holders binary")
-    counts = lists.filter("pairs IS NOT NULL").select("bucket", "pairs", F.length("holders").cast("long").alias("size"))
-    counts = counts.repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    lists = lambda training: docs.mapInArrow(
+        _lists(buckets, training), "chunk long, bucket int, ids array<long>, pairs binary, holders binary, size long"
+    )
+    counts = lists(True).select("bucket", "pairs", "size").repartition(buckets, "bucket").sortWithinPartitions("bucket")
     counts = stored(
         counts.mapInArrow(_counts(buckets), "bucket int, model binary, parts array<binary>, stats array<long>, size long"), "counts",
         release=True,
@@ -514,7 +571,7 @@ def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         "d": _discount(one, two), "d_top": _discount(one_top, two_top),
     }
     null = lambda kind, name: F.lit(None).cast(kind).alias(name)
-    by_shard = lambda df, f: stored(df.groupBy("shard").applyInArrow(f, "bucket int, shard int, share binary"), "contexts", release=True)
+    by_shard = lambda df, f: df.groupBy("shard").applyInArrow(f, "bucket int, shard int, share binary")
     places = by_shard(counts.select("bucket", F.posexplode("parts").alias("shard", "part")).filter("part IS NOT NULL"), _places)
     rows = counts.select("bucket", null("int", "shard"), "model", null("binary", "share")).unionByName(
         places.select("bucket", "shard", null("binary", "model"), "share")
@@ -528,7 +585,7 @@ def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         release=True,
     )
     totals["top_tables"], totals["all_tables"] = _sums(seated, "stats") or [0, 0]
-    contexts = by_shard(seated.select("bucket", F.inline("parts")), _shared)
+    contexts = stored(by_shard(seated.select("bucket", F.inline("parts")), _shared), "contexts", release=True)
     # a bucket with more than its share of lists is scored by several tasks
     sizes = {r.bucket: r["size"] for r in counts.select("bucket", "size").collect()}
     mean = max(sum(n or 0 for n in sizes.values()) / max(len(sizes), 1), 1)
@@ -541,7 +598,7 @@ def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     row = lambda df: df.select(*[F.col(c) if c in df.columns else null(kind, c) for c, kind in columns.items()])
     every = F.explode(F.sequence(F.lit(0), copies - 1))
     models = counts.select("bucket", "model", "parts").join(seated.select("bucket", "seat"), "bucket").withColumn("copy", every)
-    texts = lists.withColumn("copy", F.pmod(F.xxhash64("chunk"), copies).cast("int"))
+    texts = lists(False).withColumn("copy", F.pmod(F.xxhash64("chunk"), copies).cast("int"))
     rows = row(models).unionByName(row(contexts.withColumn("copy", every))).unionByName(row(texts))
     # the model, then its contexts in order, then lists
     dealt = rows.repartition(buckets, "bucket", "copy").sortWithinPartitions(
