@@ -64,10 +64,13 @@ class Restaurant:
             t = np.arange(1, c + 1)
             with np.errstate(divide="ignore", invalid="ignore"):
                 log[c, 1 : c + 1] = np.logaddexp(log[c - 1, t - 1], np.log(np.maximum(c - 1 - d * t, 1e-300)) + log[c - 1, t])
-        self.alone = np.zeros((SMALL + 1, SMALL + 2))
+        # by c and t, in one line: whether a customer sits alone, and the weight of the tables that are there, for another
+        alone, stay = np.zeros((SMALL + 1, SMALL + 2)), np.full((SMALL + 1, SMALL + 2), np.inf)
         for c in range(2, SMALL + 1):
             t = np.arange(1, c + 1)
-            self.alone[c, 1 : c + 1] = np.exp(log[c - 1, t - 1] - log[c, t])
+            alone[c, 1 : c + 1] = np.exp(log[c - 1, t - 1] - log[c, t])
+            stay[c, : c + 1] = c - 1 - d * np.arange(c + 1)
+        self.alone, self.stay = alone.ravel(), stay.ravel()
         # saddle point of larger numbers: over the log of customers a table, the factor beside (t - 1) / (c - 1)
         u = -np.geomspace(1e-6, 700, 4096)
         self.factor = -d * np.expm1(u) / -np.expm1(d * u)
@@ -86,22 +89,80 @@ class Restaurant:
         return np.clip(np.rint(t), 1, c)
 
     def leaving(self, c: np.ndarray, t: np.ndarray) -> np.ndarray:
-        """How likely a customer sits alone."""
-        small = c <= SMALL
-        if small.all():
-            return self.alone[c.astype(np.intp, copy=False), t.astype(np.intp)]
-        large = (t - 1) / np.maximum(c - 1, 1)
-        with np.errstate(divide="ignore"):
-            large = large * np.interp(-np.log(large), self.log_size, self.factor)
-        return np.where(small, self.alone[np.where(small, c, 0).astype(int), np.where(small, t, 0).astype(int)], large)
+        """The odds that a customer of a dish with more than SMALL sits alone."""
+        share = (t - 1) / (c - 1)
+        share *= np.interp(-np.log(np.maximum(share, 1e-300)), self.log_size, self.factor)
+        share = np.minimum(share, 1 - 1e-15)
+        return share / (1 - share)
+
+    def one_by_one(self, place: np.ndarray, q, rng: np.random.Generator) -> np.ndarray:
+        """One customer of every dish leaves and sits down again: what its tables change by. place is where c and t are, and changes with t.
+
+        The only table is never left, and of c tables one always is, so t stays between 1 and c.
+        """
+        left = rng.random(len(place)) < self.alone.take(place)
+        place -= left
+        stay = self.stay.take(place)
+        stay += q
+        stay *= rng.random(len(place))
+        new = stay < q
+        place += new
+        return np.subtract(new, left, dtype=np.int8)
+
+    def at_once(self, c: np.ndarray, t: np.ndarray, q, away: np.ndarray, m: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+        """m of more than SMALL customers of every dish leave and sit down again: its tables then. away: the odds that one sits alone."""
+        left = np.minimum(_successes(m, away, rng), t - 1)
+        new = _successes(m, q / (c - 1 - self.d * (t - left / m)), rng)
+        return np.minimum(t - left + new, c)
 
     def step(self, c: np.ndarray, t: np.ndarray, q: np.ndarray, rng: np.random.Generator, m: np.ndarray | None = None) -> np.ndarray:
         """One customer of every dish, or m at once, leave and sit down again. Dishes of one customer stay as they are."""
-        draw = lambda p: rng.random(len(p)) < p if m is None else rng.binomial(m, np.clip(p, 0, 1))
-        each = 1 if m is None else m
-        left = np.minimum(draw(self.leaving(c, t)), t - 1)
-        new = draw(q / (q + (c - 1) - self.d * (t - left / each)))
-        return np.where(c > 1, np.minimum(t - left + new, c), 1.0)
+        dishes = Dishes(self, c, t, 0 if m is None else len(c), rng)
+        dishes.reseat(0, len(c), m, q)
+        return dishes.tables()
+
+
+def _place(c: np.ndarray, t: np.ndarray) -> np.ndarray:
+    return c.astype(np.intp) * (SMALL + 2) + t.astype(np.intp)
+
+
+def _successes(m: np.ndarray, odds: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """Binomial draws: the first success by a geometric draw, and only where it is among the m trials those after it."""
+    out, u = np.zeros(len(m)), rng.random(len(m))
+    # m times the odds is above the chance of a success, so none is passed over
+    at = (u < m * odds).nonzero()[0]
+    odds = odds[at]
+    left = m[at] - 1 - np.floor(np.log1p(-u[at]) / -np.log1p(odds))
+    out[at[left >= 0]] = 1
+    more = (left > 0).nonzero()[0]
+    if len(more):
+        odds = odds[more]
+        out[at[more]] += rng.binomial(left[more].astype(np.int64), odds / (1 + odds))
+    return out
+
+
+class Dishes:
+    """The tables of dishes while they are reseated: the first `large` ones by many customers at once, the others by one."""
+
+    def __init__(self, restaurant: Restaurant, c: np.ndarray, t: np.ndarray, large: int, rng: np.random.Generator):
+        self.restaurant, self.large, self.rng = restaurant, large, rng
+        self.c, self.t = c[:large].astype(float), t[:large].astype(float)
+        self.away = restaurant.leaving(self.c, self.t)  # only what moves is looked up again
+        self.start = _place(c[large:], np.zeros(len(c) - large))
+        self.place = self.start + t[large:].astype(np.intp)
+
+    def reseat(self, first: int, end: int, m: np.ndarray | None, q) -> np.ndarray:
+        """A round: what the tables of its dishes change by."""
+        if m is None:
+            return self.restaurant.one_by_one(self.place[first - self.large : end - self.large], q, self.rng)
+        t = self.restaurant.at_once(self.c, self.t, q, self.away, m.astype(float), self.rng)
+        by, self.t = t - self.t, t
+        moved = (by != 0).nonzero()[0]
+        self.away[moved] = self.restaurant.leaving(self.c[moved], t[moved])
+        return by
+
+    def tables(self) -> np.ndarray:
+        return np.concatenate([self.t, self.place - self.start])
 
 
 def in_rounds(c: np.ndarray) -> tuple[np.ndarray, list]:
@@ -110,20 +171,28 @@ def in_rounds(c: np.ndarray) -> tuple[np.ndarray, list]:
 
     Dishes of up to SMALL customers have a round for each, larger ones ROUNDS rounds with equal parts. None: one of each.
     """
-    order = np.argsort(-c, kind="stable")
-    down, parts = c[order], []
-    large = int(np.searchsorted(-down, -SMALL))
-    each, rest = np.divmod(down[:large].astype(np.int64), ROUNDS)
+    # bytes are sorted in one pass; large dishes need no order
+    up = np.uint8(SMALL + 1) - np.minimum(c, SMALL + 1).astype(np.uint8)
+    order = np.argsort(up, kind="stable")
+    up, parts = up[order], []
+    # dishes with more than so many customers come first
+    above = lambda n: int(np.searchsorted(up, SMALL + 1 - n))
+    large = above(SMALL)
+    each, rest = np.divmod(c[order[:large]].astype(np.int64), ROUNDS)
     for k in range(1, ROUNDS + 1):
         if large:
             # the rest is spread evenly over the rounds
             more = np.arange(ROUNDS) * k // ROUNDS - np.arange(ROUNDS) * (k - 1) // ROUNDS
             parts.append((0, large, each + more[rest]))
-        if k <= SMALL and (end := int(np.searchsorted(-down, -max(k, 2), side="right"))) > large:
+        if k <= SMALL and (end := above(max(k, 2) - 1)) > large:
             parts.append((large, end, None))
     return order, parts
 
 
+def _large(parts: list) -> int:
+    return parts[0][1] if parts and parts[0][2] is not None else 0
+
+
 def rounds(c: np.ndarray):
     """The same as (dishes, customers of each that are reseated)."""
     order, parts = in_rounds(c)
@@ -166,11 +235,14 @@ class Seating:
     def top_weight(self) -> float:
         return (STRENGTH + self.top.d * self.top_tables) * self.even
 
-    def parent(self, words=slice(None)) -> np.ndarray:
+    def parent(self) -> np.ndarray:
         """The probability of each word without context."""
+        return (self.served(slice(None)) + self.top_weight()) / (STRENGTH + self.all_tables)
+
+    def served(self, words) -> np.ndarray:
+        """The weight of the tables of words in the parent."""
         customers = self.customers[words]
-        top = np.minimum(self.top_t[words], customers)
-        return (customers - self.top.d * top + self.top_weight()) / (STRENGTH + self.all_tables)
+        return customers - self.top.d * np.minimum(self.top_t[words], customers)
 
     def unknown(self) -> float:
         return self.top_weight() / (STRENGTH + self.all_tables)
@@ -184,32 +256,35 @@ class Seating:
             order, parts = in_rounds(self.c)
             # in this order the dishes of a round lie side by side
             seated = order[: max((end for _, end, _ in parts), default=0)]
-            self.rounds = seated, parts, self.of[seated], self.context[seated], self.c[seated]
-        seated, parts, of, context, c = self.rounds
-        tables = self.t[seated]
+            self.rounds = seated, parts, self.of[seated], self.context[seated]
+        seated, parts, of, context = self.rounds
+        dishes = Dishes(self.low, self.c[seated], self.t[seated], _large(parts), self.rng)
+        weight = STRENGTH + self.low.d * self.tables
         for _ in range(times):
+            # both are kept up to date where something moves
+            served = self.served(slice(None))
             for first, end, m in parts:
-                w, x, old = of[first:end], context[first:end], tables[first:end]
-                p = self.parent()[w] if len(w) > 2 * len(self.word) else self.parent(w)
-                t = self.low.step(c[first:end], old, (STRENGTH + self.low.d * self.tables[x]) * p, self.rng, m)
-                moved = np.flatnonzero(t != old)
-                by = t[moved] - old[moved]
-                np.add.at(self.tables, x[moved], by)
-                np.add.at(self.customers, w[moved], by)
+                w, x = of[first:end], context[first:end]
+                q = served.take(w)
+                q += self.top_weight()
+                q *= weight.take(x)
+                q /= STRENGTH + self.all_tables
+                by = dishes.reseat(first, end, m, q)
+                moved = (by != 0).nonzero()[0]
+                w, x, by = w[moved], x[moved], by[moved].astype(float)
+                np.add.at(self.tables, x, by)
+                np.add.at(self.customers, w, by)
                 self.all_tables += float(by.sum())
-                tables[first:end] = t
+                weight[x] = STRENGTH + self.low.d * self.tables[x]
+                served[w] = self.served(w)
             top = np.minimum(self.top_t, self.customers)
             self.top_tables += float((top - self.top_t).sum())
-            self.top_t = top
             order, top_parts = in_rounds(self.customers)
-            customers, top = self.customers[order], self.top_t[order]
-            for first, end, m in top_parts:
-                old = top[first:end]
-                t = self.top.step(customers[first:end], old, np.full(end - first, self.top_weight()), self.rng, m)
-                self.top_tables += float((t - old).sum())
-                top[first:end] = t
-            self.top_t[order] = top
-        self.t[seated] = tables
+            top_dishes = Dishes(self.top, self.customers[order], top[order], _large(top_parts), self.rng)
+            for part in top_parts:
+                self.top_tables += float(top_dishes.reseat(*part, self.top_weight()).sum())
+            self.top_t[order] = top_dishes.tables()
+        self.t[seated] = dishes.tables()
 
     def sample(self) -> dict:
         back = (STRENGTH + self.low.d * self.tables) / (STRENGTH + self.totals["customers"])
@@ -218,6 +293,38 @@ class Seating:
         return {"back": back, "parent": p, "seen": seen, "unknown": self.unknown()}
 
 
+class Sorted:
+    """Different keys in order, found like np.searchsorted, but from a table: the first bits of hashes nearly tell their place."""
+
+    def __init__(self, keys: np.ndarray, bits: int):
+        self.shift = np.uint64(max(bits - len(keys).bit_length() - 1, 0))
+        self.keys = np.append(keys, np.uint64((1 << 64) - 1))
+        size = np.bincount((keys >> self.shift).astype(np.intp), minlength=(1 << bits >> int(self.shift)))
+        self.start = np.concatenate(([0], np.cumsum(size, dtype=np.int64)))
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        at = self.start.take((keys >> self.shift).astype(np.intp))
+        behind = (self.keys.take(at) < keys).nonzero()[0]
+        for _ in range(16):
+            if not len(behind):
+                break
+            at[behind] += 1
+            behind = behind[self.keys[at[behind]] < keys[behind]]
+        # keys that crowd together
+        at[behind] = np.searchsorted(self.keys[:-1], keys[behind])
+        return at
+
+
+def _once(ordered: np.ndarray) -> np.ndarray:
+    return ordered[np.append(True, ordered[1:] != ordered[:-1])[: len(ordered)]]
+
+
+def _different(keys: np.ndarray, bits: int = 64) -> tuple[np.ndarray, np.ndarray]:
+    """np.unique of hashes with the inverse; numbers are sorted several times faster than their places."""
+    ordered = _once(np.sort(keys))
+    return ordered, Sorted(ordered, bits)(keys)
+
+
 def _lists(buckets: int, training: bool):
     """The lists, with training counts and without holders, or without counts and with holders; size: how many they are."""
 
@@ -236,7 +343,7 @@ def _lists(buckets: int, training: bool):
             if not training:
                 yield row(number, number % buckets, ids, None, None, None)
             key, doc = np.concatenate(keys), np.concatenate(docs)
-            word, which = np.unique(key, return_inverse=True)
+            word, which = _different(key)
             # the context is the word before in the same text
             before = np.append(word >> np.uint64(64 - CONTEXT_BITS), np.uint64(START))
             context = np.append(len(word), which[:-1])
@@ -262,12 +369,15 @@ def _lists(buckets: int, training: bool):
             word_cut = np.searchsorted(place, np.arange(buckets + 1))
             pair_cut = np.searchsorted(pair_word, word_cut)
             cut = np.append(first, len(doc))[pair_cut]
+            place_of = np.zeros(len(before), np.int64)
             for b in range(buckets):
                 w, p, h = (slice(x[b], x[b + 1]) for x in (word_cut, pair_cut, cut))
                 if w.start == w.stop:
                     continue
                 each = np.bincount(pair_word[p] - w.start, minlength=w.stop - w.start)
-                own, at = np.unique(context[p], return_inverse=True)
+                own = _once(np.sort(context[p]))
+                place_of[own] = np.arange(len(own))
+                at = place_of[context[p]]
                 pairs_here = pack(_steps(word[w]), each, _steps(before[own]), at, *([counts[p]] if training else []))
                 yield row(number, b, None, pairs_here, None if training else pack(holders[p], doc[h], n[h]), h.stop - h.start)
 
@@ -334,17 +444,29 @@ def _unpacked_sums(packed: bytes) -> np.ndarray:
 
 def _added(parts):
     """Pairs of several chunks with words and contexts sorted, pairs in order, counts added."""
-    word, which = np.unique(np.concatenate([w for w, *_ in parts]), return_inverse=True)
-    before, at = np.unique(np.concatenate([x for _, _, x, _, _ in parts]), return_inverse=True)
+    word, which = _different(np.concatenate([w for w, *_ in parts]))
+    before, at = _different(np.concatenate([x for _, _, x, _, _ in parts]), CONTEXT_BITS)
     i, j, codes = 0, 0, []
     for w, of, own, context, _ in parts:
         codes.append(which[i : i + len(w)][of] * len(before) + at[j : j + len(own)][context])
         i, j = i + len(w), j + len(own)
-    code, where = np.unique(np.concatenate(codes), return_inverse=True)
-    n = np.bincount(where, np.concatenate([n for *_, n in parts])).astype(np.int64)
+    code, n = _summed(np.concatenate(codes), np.concatenate([n for *_, n in parts]))
     return word, code // max(len(before), 1), before, code % max(len(before), 1), n
 
 
+def _summed(code: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different codes in order, and the numbers of each added up."""
+    bits = int(n.max(initial=0)).bit_length()
+    if not len(code) or int(code.max()) >= 1 << (63 - bits):
+        code, where = np.unique(code, return_inverse=True)
+        return code, np.bincount(where, n).astype(np.int64)
+    # in one number both are sorted at once
+    both = np.sort(code << bits | n)
+    code, n = both >> bits, both & ((1 << bits) - 1)
+    first = np.flatnonzero(np.append(True, code[1:] != code[:-1]))
+    return code[first], np.add.reduceat(n, first)
+
+
 def _counts(shards: int):
     """(bucket, pairs, size) in order of buckets -> (bucket, model, what each shard gets of its contexts, statistics, size).
 
@@ -370,8 +492,8 @@ def _counts(shards: int):
     def trained(packed):
         word, of, before, context, n = _pairs(packed)
         keep = n > 0
-        have = np.unique(of[keep])
-        return word[have], np.searchsorted(have, of[keep]), before, context[keep], n[keep]
+        have = np.bincount(of[keep], minlength=len(word)) > 0
+        return word[have], (np.cumsum(have) - 1)[of[keep]], before, context[keep], n[keep]
 
     def run(batches):
         bucket, parts, size = None, [], 0
@@ -488,9 +610,10 @@ def _scores(totals: dict):
                         seen_mean = seen_mean + samples[-1].pop("seen") / SAMPLES
                     known = np.bincount(seating.of, seating.c, len(seating.word))
                     codes = seating.of * len(before) + seating.context
+                    find_word, find_before = Sorted(seating.word, 64), Sorted(before, CONTEXT_BITS)
                 word, of, mine, context = _pairs(pairs)
-                context = np.searchsorted(before, mine)[context]
-                at = np.searchsorted(seating.word, word)
+                context = find_before(mine)[context]
+                at = find_word(word)
                 at[at == len(seating.word)] = 0
                 hit = seating.word[at] == word if len(seating.word) else np.zeros(len(word), bool)
                 c = np.where(hit, known[at], 0) if len(known) else np.zeros(len(word))
@@ -498,11 +621,12 @@ def _scores(totals: dict):
                 place = np.searchsorted(codes, code)
                 place[place == len(codes)] = 0
                 seen = hit[of] & (codes[place] == code) if len(codes) else np.zeros(len(of), bool)
-                p = np.zeros(len(of))
+                p, other = np.zeros(len(of)), np.flatnonzero(~seen)
+                p[seen] = seen_mean[place[seen]] if len(codes) else 0
                 for s in samples:
                     parent = np.where(hit, s["parent"][at], s["unknown"]) if len(known) else np.full(len(word), s["unknown"])
-                    p += s["back"][context] * parent[of] / SAMPLES
-                score = np.log10(np.where(seen, seen_mean[place], p) if len(codes) else p)
+                    p[other] += s["back"][context[other]] * parent[of[other]] / SAMPLES
+                score = np.log10(p)
                 base = np.log10((c + 0.1) / (n_all + even))[of]
                 each, doc, n = unpack(holders)
                 pair = np.repeat(np.arange(len(of)), each)
